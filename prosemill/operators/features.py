@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from prosemill import schema as S
 from prosemill.functions.text import bigrams, tokens
-from prosemill.operators.words import counted_in_row
+from prosemill.operators.words import counted_in_row, unpacked
 
 # A term is kept from this many training documents on, and up to
 # this share of them.
@@ -89,8 +89,7 @@ def fitted_vocabulary(
     train = F.col("split") == S.SPLITS[0]
     train_rows = split.where(train).agg(F.count(F.lit(1)).alias("n")).scalar()
     counts = (
-        terms.where(train)
-        .select("setting", F.inline("terms"))
+        unpacked(terms.where(train), "terms", "setting")
         .groupBy("setting", "term")
         .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
         .where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * train_rows))
@@ -210,9 +209,14 @@ def _norm(entries: Column) -> Column:
 def long_features(features: DataFrame, *, id_col: str = S.ARTICLE_ID) -> DataFrame:
     """One row per document and known term: (setting, representation, split, id, term_idx, weight)."""
     pairs = F.arrays_zip(F.col("indices").alias("term_idx"), F.col("weights").alias("weight"))
-    return features.select(
-        "setting", "representation", "split", id_col, F.inline(pairs).alias("term_idx", "weight")
+    rows = features.select(
+        "setting",
+        "representation",
+        "split",
+        id_col,
+        F.inline_outer(pairs).alias("term_idx", "weight"),
     )
+    return rows.where(F.col("term_idx").isNotNull())
 
 
 def feature_summary(

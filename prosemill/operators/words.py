@@ -26,6 +26,16 @@ def counted_in_row(df: DataFrame, column: str) -> DataFrame:
     return started.select(*others, run_lengths(F.col("_ordered"), F.col("_starts")).alias(column))
 
 
+def unpacked(df: DataFrame, column: str, *keys: str) -> DataFrame:
+    """Rows (keys, term, tf) of documents with at least one term.
+
+    The outer form is on purpose: for the inner one the optimizer adds a filter on
+    the size of the array and pushes it down, where the array is built once more
+    for every element looked at.
+    """
+    return df.select(*keys, F.inline_outer(column)).where(F.col("term").isNotNull())
+
+
 def document_words(df: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
     """Rows (row id, field, words) with the counted words of every non-blank field."""
     stop_words = english_stop_words() if stop_words is None else stop_words
@@ -52,8 +62,7 @@ def top_words(
     `words` has (label, field, words). Ties are broken by the word.
     """
     counts = (
-        words.where(F.col(S.LABEL).isNotNull())
-        .select("field", S.LABEL, F.inline("words"))
+        unpacked(words.where(F.col(S.LABEL).isNotNull()), "words", "field", S.LABEL)
         .groupBy("field", S.LABEL, "term")
         .agg(F.sum("tf").alias("count"), F.count(F.lit(1)).alias("document_count"))
         .where(F.col("document_count") >= min_df)
