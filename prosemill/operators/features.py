@@ -148,8 +148,9 @@ def feature_rows(
 ) -> DataFrame:
     """Rows (setting, representation, split, id, label, indices, weights).
 
-    Unknown terms are dropped; a document without a known term keeps its row with
-    empty arrays. The vocabulary has at most cap rows per setting and
+    Unknown terms are dropped before the rows of a document are put together again;
+    only its first entry stays in any case, so that a document without a known
+    term keeps its row with empty arrays. The vocabulary has at most cap rows per setting and
     representation, which bounds the broadcast.
     """
     representations = list(representations)
@@ -159,10 +160,14 @@ def feature_rows(
         for i, r in enumerate(representations)
     ]
     by_term = vocabulary.groupBy("setting", "term").agg(F.max("idf").alias("_idf"), *positions)
-    known = terms.select(*keys, F.inline_outer("terms")).join(
-        F.broadcast(by_term), ["setting", "term"], "left"
+    entries = terms.select(*keys, F.posexplode_outer("terms").alias("_place", "_entry"))
+    placed = entries.select(
+        *keys, "_place", F.col("_entry.term").alias("term"), F.col("_entry.tf").alias("tf")
     )
-    entries = [
+    matched = placed.join(F.broadcast(by_term), ["setting", "term"], "left")
+    is_known = F.coalesce(*[F.col(f"_idx{i}") for i in range(len(representations))]).isNotNull()
+    known = matched.where(is_known | (F.coalesce("_place", F.lit(0)) == 0))
+    lists = [
         F.collect_list(
             F.when(
                 F.col(f"_idx{i}").isNotNull(),
@@ -186,8 +191,8 @@ def feature_rows(
             for i, r in enumerate(representations)
         ]
     )
-    packed = known.groupBy(*keys).agg(*entries).select(*keys, F.inline(per_kind))
-    packed = packed.withColumn("_norm", F.when(F.col("_unit"), _norm(F.col("_entries"))))
+    packed = known.groupBy(*keys).agg(*lists).select(*keys, F.inline(per_kind))
+    raw_weights = F.col("_entries.weight")
     return packed.select(
         "setting",
         "representation",
@@ -195,15 +200,19 @@ def feature_rows(
         id_col,
         S.LABEL,
         F.col("_entries.term_idx").alias("indices"),
-        F.transform(
-            "_entries", lambda e: e["weight"] / F.coalesce(F.col("_norm"), F.lit(1.0))
-        ).alias("weights"),
+        F.when(F.col("_unit"), _unit_length(raw_weights)).otherwise(raw_weights).alias("weights"),
     )
 
 
-def _norm(entries: Column) -> Column:
-    squares = F.aggregate(entries, F.lit(0.0), lambda acc, e: acc + e["weight"] * e["weight"])
-    return F.sqrt(squares)
+def _unit_length(weights: Column) -> Column:
+    """Divide by the Euclidean length.
+
+    The length is passed as an array of its own: named inside the lambda it would
+    be worked out anew for every weight.
+    """
+    squares = F.aggregate(weights, F.lit(0.0), lambda acc, w: acc + w * w)
+    lengths = F.array_repeat(F.sqrt(squares), F.size(weights))
+    return F.zip_with(weights, lengths, lambda w, length: w / length)
 
 
 def long_features(features: DataFrame, *, id_col: str = S.ARTICLE_ID) -> DataFrame:
