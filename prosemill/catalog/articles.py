@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from prosemill import schema as S
 from prosemill.functions.text import filled, strip
+from prosemill.sources import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +18,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row id, title (first line) and text (the rest) of every document."""
     line_end = F.instr("text", F.lit("\n"))
     body = F.when(line_end > 0, F.substr("text", line_end + 1)).otherwise("")
-    return table(spark, sf_dir, "documents").select(
+    texts = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return texts.select(
         F.col("doc_id").alias(S.ROW_ID),
         strip(filled(F.substring_index("text", "\n", 1))).alias(S.TITLE),
         strip(filled(body)).alias(S.TEXT),

@@ -17,6 +17,7 @@ from prosemill.operators import stage1 as St
 from prosemill.operators import words as Wo
 from prosemill.operators.sampling import label_samples
 from prosemill.session import written
+from prosemill.sources import spread
 
 # The supplied texts hold no news sources, so frequent words stand in for them.
 STAND_INS = ["with", "from", "that", "this"]
@@ -35,7 +36,8 @@ def numbered_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    return spread(pages, "page_id").select(
         "page_id", clean_text(F.col("html")).alias("clean_html")
     )
 

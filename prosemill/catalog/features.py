@@ -30,23 +30,24 @@ def split(spark: SparkSession, sf_dir: str, per_class: int | None = None) -> Dat
     return Sa.sample_and_split(labels(spark, sf_dir), per_class, id_col=S.ROW_ID)
 
 
-def split_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def split_texts(spark: SparkSession, sf_dir: str, parts: DataFrame | None = None) -> DataFrame:
     """Lowered title, body and both of all labelled documents with their split part."""
+    parts = split(spark, sf_dir) if parts is None else parts
     docs = documents(spark, sf_dir).select(
         S.ROW_ID, F.lower(S.TITLE).alias("clean_title"), F.lower(S.TEXT).alias("clean_body")
     )
     docs = docs.withColumn("clean_title_body", joined(F.col("clean_title"), F.col("clean_body")))
     columns = list(S.INPUT_SETTINGS.values())
-    return Sa.split_texts(split(spark, sf_dir), docs, columns, id_col=S.ROW_ID)
+    return Sa.split_texts(parts, docs, columns, id_col=S.ROW_ID)
 
 
 def fitted(
     spark: SparkSession, sf_dir: str, kinds: list[Fe.Representation]
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Split, document terms and vocabulary; terms are written once and read twice."""
-    texts = split_texts(spark, sf_dir)
+    """Split, document terms and vocabulary; what is read twice is written first."""
+    parts = written(split(spark, sf_dir), "split")
+    texts = split_texts(spark, sf_dir, parts)
     terms = written(Fe.document_terms(texts, kinds, id_col=S.ROW_ID), "terms")
-    parts = split(spark, sf_dir)
     return parts, terms, Fe.fitted_vocabulary(terms, parts, kinds)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ID_BITS = 20
@@ -50,37 +50,27 @@ def with_random_order(df: DataFrame, id_col: str, seed: int) -> DataFrame:
     )
 
 
-def bucket_sizes(ordered: DataFrame, stratum: str) -> DataFrame:
-    """Rows per stratum and bucket: at most 2^16 rows for each stratum."""
-    return ordered.groupBy(stratum, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-
-
 def ranked_up_to(
-    ordered: DataFrame,
-    sizes: DataFrame,
-    limits: DataFrame,
-    stratum: str,
-    name: str,
-    id_col: str,
+    ordered: DataFrame, take: Column, stratum: str, name: str, id_col: str
 ) -> DataFrame:
-    """Rank rows in random order within the stratum; keep ranks below `_take`.
+    """Rank rows in random order within the stratum; keep ranks below `take`.
 
-    `limits` has one row per stratum with `_take` and any columns to carry along.
-    The offsets (2^16 rows per stratum at most, a fixed bound) are broadcast, and
-    buckets behind the limit are dropped before the one shuffle.
+    Buckets are counted first. Their offsets (2^16 rows for each stratum at most,
+    a fixed bound) are broadcast, and buckets behind the limit are dropped before
+    the one shuffle of rows. No task sees more than one bucket at a time.
     """
+    sizes = ordered.groupBy(stratum, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     running = Window.partitionBy(stratum).orderBy("_bucket")
     offsets = (
         sizes.withColumn("_offset", F.sum("_rows").over(running) - F.col("_rows"))
+        .where(F.col("_offset") < take)
         .drop("_rows")
-        .join(F.broadcast(limits), stratum)
-        .where(F.col("_offset") < F.col("_take"))
     )
     in_bucket = Window.partitionBy(stratum, "_bucket").orderBy("_order", id_col)
     return (
         ordered.join(F.broadcast(offsets), [stratum, "_bucket"])
         .withColumn("_position", F.row_number().over(in_bucket))
         .withColumn(name, F.col("_offset") + F.col("_position") - 1)
-        .where(F.col(name) < F.col("_take"))
+        .where(F.col(name) < take)
         .drop("_position", "_offset", "_bucket", "_order")
     )

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosemill import schema as S
-from prosemill.operators.ranking import bucket_sizes, ranked_up_to, with_random_order
+from prosemill.operators.ranking import ranked_up_to, with_random_order
 
 # Seeds of the sample and split step and of the inspected examples.
 SPLIT_SEED = 123
@@ -16,85 +18,77 @@ HOLDOUT_SHARE = 0.2
 TEST_SHARE = 0.5
 
 
-def class_sizes(sizes: DataFrame) -> DataFrame:
-    """Rows per label from the bucket sizes: as many rows as there are labels."""
-    return sizes.groupBy(S.LABEL).agg(F.sum("_rows").alias("_class_rows"))
+def class_sizes(df: DataFrame) -> dict[int, int]:
+    """Rows per label, without rows that have none: as many entries as labels."""
+    labelled = df.select(S.LABEL).where(F.col(S.LABEL).isNotNull())
+    return dict(sorted((row[0], row[1]) for row in labelled.groupBy(S.LABEL).count().collect()))
+
+
+def sample_sizes(classes: dict[int, int], per_class: int | None) -> dict[int, int]:
+    """`per_class` for each label, or all rows if any class is smaller."""
+    if per_class is None or min(classes.values(), default=0) < per_class:
+        return classes
+    return dict.fromkeys(classes, per_class)
 
 
-def _whole_or(per_class: int) -> Column:
-    smallest = F.min("_class_rows").over(Window.partitionBy())
-    return F.when(smallest < per_class, F.col("_class_rows")).otherwise(F.lit(per_class))
+def shared_out(total: int, weights: dict[int, int]) -> dict[int, int]:
+    """Share a total over the labels by largest remainder, ties to the lower label."""
+    weight_sum = sum(weights.values())
+    exact = {label: weight / weight_sum * total for label, weight in weights.items()}
+    quota = {label: math.floor(share) for label, share in exact.items()}
+    by_remainder = sorted(exact, key=lambda label: (quota[label] - exact[label], label))
+    for label in by_remainder[: total - sum(quota.values())]:
+        quota[label] += 1
+    return quota
 
 
-def _exactly(per_class: int) -> Column:
-    short = F.raise_error(F.lit(f"A class has fewer than {per_class} rows to sample from."))
-    return F.when(F.col("_class_rows") < per_class, short).otherwise(F.lit(per_class))
+def split_quotas(sizes: dict[int, int]) -> tuple[dict[int, int], dict[int, int]]:
+    """Rows of train and of val per label; the rest is test.
+
+    The totals are rounded as a whole: the holdout up, its test half up.
+    """
+    total = sum(sizes.values())
+    held = math.ceil(total * HOLDOUT_SHARE)
+    val_total = held - math.ceil(held * TEST_SHARE)
+    if not sizes or min(sizes.values()) < 2 or held < len(sizes):
+        raise ValueError("Too few rows in a class for a stratified split.")
+    train = shared_out(total - held, sizes)
+    rest = {label: sizes[label] - train[label] for label in sizes}
+    return train, shared_out(val_total, rest)
+
+
+def by_label(values: dict[int, int]) -> Column:
+    """The value that belongs to the label of a row."""
+    found = F.lit(None).cast("long")
+    for label, value in values.items():
+        found = F.when(F.col(S.LABEL) == label, F.lit(value).cast("long")).otherwise(found)
+    return found
 
 
 def downsample(
     df: DataFrame, per_class: int, *, seed: int = SPLIT_SEED, id_col: str = S.ARTICLE_ID
 ) -> DataFrame:
-    """Exactly `per_class` rows of each label, or the whole table if any class is smaller."""
-    return _taken(df, _whole_or(per_class), seed, id_col)
+    """Exactly `per_class` rows of each label, or the table as it is if any class is smaller."""
+    classes = class_sizes(df)
+    if min(classes.values(), default=0) < per_class:
+        return df
+    return _taken(df, sample_sizes(classes, per_class), seed, id_col)
 
 
 def label_samples(
     df: DataFrame, per_class: int = 5, *, seed: int = EXAMPLE_SEED, id_col: str = S.ROW_ID
 ) -> DataFrame:
     """Exactly `per_class` rows of each label; too small a class is an error."""
-    return _taken(df, _exactly(per_class), seed, id_col)
-
-
-def _taken(df: DataFrame, take: Column, seed: int, id_col: str) -> DataFrame:
-    ordered = with_random_order(df.where(F.col(S.LABEL).isNotNull()), id_col, seed)
-    sizes = bucket_sizes(ordered, S.LABEL)
-    limits = class_sizes(sizes).select(S.LABEL, take.cast("long").alias("_take"))
-    ranked = ranked_up_to(ordered, sizes, limits, S.LABEL, "_rank", id_col)
-    return ranked.select(*df.columns)
-
-
-def _shared_out(total: Column, weight: Column, weight_sum: Column) -> tuple[Column, Column]:
-    """Whole part and remainder of a class's share of a total."""
-    exact = weight / weight_sum * total
-    return F.floor(exact), exact - F.floor(exact)
+    classes = class_sizes(df)
+    short = [label for label, rows in classes.items() if rows < per_class]
+    if short:
+        raise ValueError(f"Fewer than {per_class} rows to sample from for labels: {short}")
+    return _taken(df, dict.fromkeys(classes, per_class), seed, id_col)
 
 
-def split_limits(sizes: DataFrame, per_class: int | None = None) -> DataFrame:
-    """Per label the sampled rows and the ranks at which train and val end.
-
-    Totals are rounded as a whole (the holdout up, its test half up) and shared
-    over the labels by largest remainder, ties to the lower label. Works on one
-    row per label.
-    """
-    everyone = Window.partitionBy()
-    take = F.col("_class_rows") if per_class is None else _whole_or(per_class)
-    frame = class_sizes(sizes).withColumn("_take", take.cast("long"))
-    frame = frame.withColumn("_all", F.sum("_take").over(everyone))
-    frame = frame.withColumn("_held", F.ceil(F.col("_all") * F.lit(HOLDOUT_SHARE)))
-    frame = _with_quota(frame, "_train", F.col("_all") - F.col("_held"), "_take", "_all")
-    frame = frame.withColumn("_rest", F.col("_take") - F.col("_train"))
-    val_total = F.col("_held") - F.ceil(F.col("_held") * F.lit(TEST_SHARE))
-    frame = _with_quota(frame, "_val", val_total, "_rest", "_held")
-    classes = F.count(F.lit(1)).over(everyone)
-    too_small = (F.min("_take").over(everyone) < 2) | (F.col("_held") < classes)
-    refusal = F.raise_error(F.lit("Too few rows in a class for a stratified split."))
-    return frame.select(
-        S.LABEL,
-        F.when(too_small, refusal).otherwise(F.col("_take")).cast("long").alias("_take"),
-        F.col("_train").alias("_train_end"),
-        (F.col("_train") + F.col("_val")).alias("_val_end"),
-    )
-
-
-def _with_quota(
-    frame: DataFrame, name: str, total: Column, weight: str, weight_sum: str
-) -> DataFrame:
-    whole, remainder = _shared_out(total, F.col(weight), F.col(weight_sum))
-    counted = frame.withColumn("_total", total).withColumns({"_whole": whole, "_left": remainder})
-    by_remainder = Window.partitionBy().orderBy(F.desc("_left"), S.LABEL)
-    spare = F.col("_total") - F.sum("_whole").over(Window.partitionBy())
-    extra = (F.row_number().over(by_remainder) <= spare).cast("long")
-    return counted.withColumn(name, F.col("_whole") + extra).drop("_total", "_whole", "_left")
+def _taken(df: DataFrame, sizes: dict[int, int], seed: int, id_col: str) -> DataFrame:
+    ordered = with_random_order(df, id_col, seed)
+    return ranked_up_to(ordered, by_label(sizes), S.LABEL, "_rank", id_col).select(*df.columns)
 
 
 def sample_and_split(
@@ -107,17 +101,16 @@ def sample_and_split(
     """Rows (id, label, split): sample and 80/10/10 split in one ranked pass.
 
     Ranks below the sample size are in random order already, so the first of
-    them are train, the next val and the rest test.
+    them are train, the next val and the rest test. Only ids and labels are read.
     """
-    narrow = df.select(id_col, S.LABEL).where(F.col(S.LABEL).isNotNull())
-    ordered = with_random_order(narrow, id_col, seed)
-    sizes = bucket_sizes(ordered, S.LABEL)
-    ranked = ranked_up_to(
-        ordered, sizes, split_limits(sizes, per_class), S.LABEL, "_rank", id_col
-    )
+    sizes = sample_sizes(class_sizes(df), per_class)
+    train, val = split_quotas(sizes)
+    val_end = {label: train[label] + val[label] for label in sizes}
+    ordered = with_random_order(df.select(id_col, S.LABEL), id_col, seed)
+    ranked = ranked_up_to(ordered, by_label(sizes), S.LABEL, "_rank", id_col)
     split = (
-        F.when(F.col("_rank") < F.col("_train_end"), S.SPLITS[0])
-        .when(F.col("_rank") < F.col("_val_end"), S.SPLITS[1])
+        F.when(F.col("_rank") < by_label(train), S.SPLITS[0])
+        .when(F.col("_rank") < by_label(val_end), S.SPLITS[1])
         .otherwise(S.SPLITS[2])
     )
     return ranked.select(id_col, S.LABEL, split.alias("split"))
@@ -126,17 +119,22 @@ def sample_and_split(
 def split_texts(
     split: DataFrame, articles: DataFrame, columns: list[str], *, id_col: str = S.ARTICLE_ID
 ) -> DataFrame:
-    """Look up the texts of the split rows; a missing text is blank, a missing row an error.
+    """Look up the texts of the split rows; a missing text is blank.
 
-    No hint: a small split is broadcast by its size, a large one is joined on the
-    unique id.
+    Give a written split: its size is then known, so a small one is broadcast to
+    the texts where they lie, and a large one is joined on the unique id. The join
+    is an inner one because an outer one could not broadcast the split; see
+    `require_all_found` for ids without an article.
     """
-    known = articles.select(
-        id_col,
-        *[F.coalesce(F.col(name), F.lit("")).alias(name) for name in columns],
-        F.lit(True).alias("_known"),
-    )
-    missing = F.raise_error(F.concat(F.lit("No article with id "), F.col(id_col).cast("string")))
-    found = split.join(known, id_col, "left")
-    guarded = F.when(F.col("_known"), F.col(columns[0])).otherwise(missing)
-    return found.select(*split.columns, guarded.alias(columns[0]), *columns[1:])
+    texts = [F.coalesce(F.col(name), F.lit("")).alias(name) for name in columns]
+    return split.join(articles.select(id_col, *texts), id_col).select(*split.columns, *columns)
+
+
+def require_all_found(
+    found: DataFrame, split: DataFrame, *, id_col: str = S.ARTICLE_ID
+) -> DataFrame:
+    """Stop if the texts of a split row were not found. Both tables should be written ones."""
+    if found.count() != split.count():
+        missing = split.join(found, id_col, "left_anti").select(id_col).orderBy(id_col)
+        raise KeyError(f"No article for ids: {[row[0] for row in missing.limit(20).collect()]}")
+    return found
