@@ -14,7 +14,7 @@ NA_VALUES = (
 )
 _QUOTING = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 _VERBATIM = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-_BYTE_ORDER_MARK = "﻿"
+_BYTE_ORDER_MARK = "\ufeff"
 
 
 def read_csv(
