@@ -9,7 +9,7 @@ from prosemill import schema as S
 from prosemill.catalog.articles import documents, labelled, labels, table
 from prosemill.catalog.sql import ARTICLES, SPACE, SPACES, STAGE1, half_even, words
 from prosemill.catalog.stage1 import numbered
-from prosemill.functions.cleaning import SOURCE_MARKERS, clean_text
+from prosemill.functions.cleaning import SOURCE_MARKERS, clean_column
 from prosemill.functions.text import joined, preview
 from prosemill.operators import cleaning as Cl
 from prosemill.operators import markers as M
@@ -37,9 +37,7 @@ def numbered_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    return spread(pages, "page_id").select(
-        "page_id", clean_text(F.col("html")).alias("clean_html")
-    )
+    return clean_column(spread(pages, "page_id"), "html", "clean_html").drop("html")
 
 
 def clean_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,14 +76,14 @@ def profile_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         S.ROW_ID, F.lower(F.concat(S.TITLE, F.lit(" "), S.TEXT)).alias("_lowered")
     )
     found = M.with_found_markers(docs, "_lowered", STAND_INS, "found")
-    return M.marker_hits(labelled(found, sf_dir), "found", STAND_INS)
+    return M.marker_hits(labelled(found, sf_dir), {"profile": "found"}, STAND_INS)
 
 
 def marker_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-ins before and after cleaning, both searched in one pass over the texts."""
     docs = Cl.with_raw_text(documents(spark, sf_dir))
-    for source, target in ((S.TITLE, "clean_title"), (S.TEXT, "clean_body")):
-        docs = Cl.with_clean_text(docs, source, target, markers=STAND_INS)
+    targets = {S.TITLE: "clean_title", S.TEXT: "clean_body"}
+    docs = Cl.with_clean_texts(docs, targets, markers=STAND_INS)
     docs = docs.select(
         S.ROW_ID,
         "raw_title_body",
@@ -93,20 +91,18 @@ def marker_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     found = M.with_found_markers(docs, "raw_title_body", STAND_INS, "before")
     found = M.with_found_markers(found, "clean_title_body", STAND_INS, "after")
-    with_labels = labelled(found, sf_dir)
-    stages = [
-        M.marker_audit(M.marker_hits(with_labels, column, STAND_INS, S.LABELS), stage)
-        for column, stage in (("before", "before_preprocessing"), ("after", "after_preprocessing"))
-    ]
-    return stages[0].unionByName(stages[1])
+    columns = {"before_preprocessing": "before", "after_preprocessing": "after"}
+    hits = M.marker_hits(labelled(found, sf_dir), columns, STAND_INS, S.LABELS)
+    return M.marker_audit(hits)
 
 
 def news_marker_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The real source names, none of which the supplied documents hold."""
     docs = Cl.with_raw_text(documents(spark, sf_dir)).select(S.ROW_ID, "raw_title_body")
     found = M.with_found_markers(docs, "raw_title_body", SOURCE_MARKERS, "found")
-    hits = M.marker_hits(labelled(found, sf_dir), "found", SOURCE_MARKERS, S.LABELS)
-    return M.marker_audit(hits, "before_preprocessing")
+    columns = {"before_preprocessing": "found"}
+    hits = M.marker_hits(labelled(found, sf_dir), columns, SOURCE_MARKERS, S.LABELS)
+    return M.marker_audit(hits)
 
 
 def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:

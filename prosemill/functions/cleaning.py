@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import html
+from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -43,47 +44,76 @@ def decode_entities(column: Column) -> Column:
     return F.coalesce(_unescape(encoded), column)
 
 
-def _replaced_if(column: Column, hint: str, pattern: str) -> Column:
-    """Blank out a pattern that cannot match without the given characters."""
-    return F.when(
-        F.contains(column, F.lit(hint)), F.regexp_replace(column, pattern, " ")
-    ).otherwise(column)
+def _replaced_if(column: Column, hint: str, pattern: str, by: str = " ") -> Column:
+    """Replace a pattern that cannot match without the given characters.
 
+    The column is named three times, so it should be a plain column: see `steps`.
+    """
+    replaced = F.regexp_replace(column, pattern, by)
+    return F.when(F.contains(column, F.lit(hint)), replaced).otherwise(column)
+
+
+def without_tags_and_links(column: Column) -> Column:
+    return F.regexp_replace(_replaced_if(column, "<", TAG), URL, " ")
 
-def without_markup(decoded: Column) -> Column:
-    """Tags, then URLs, then e-mail addresses to blanks."""
-    untagged = _replaced_if(decoded, "<", TAG)
-    unlinked = F.regexp_replace(untagged, URL, " ")
-    return _replaced_if(unlinked, "@", EMAIL)
 
+def without_addresses(column: Column) -> Column:
+    return _replaced_if(column, "@", EMAIL)
 
-def without_sources(column: Column, markers: list[str]) -> Column:
-    """Agency brackets, a leading dateline, then the source names to blanks."""
-    unbracketed = _replaced_if(column, "(", AGENCY)
-    undated = F.regexp_replace(unbracketed, DATELINE, " ")
-    return without_markers(undated, markers)
 
+def without_dateline(column: Column) -> Column:
+    """Agency brackets, then a leading dateline to blanks."""
+    return F.regexp_replace(_replaced_if(column, "(", AGENCY), DATELINE, " ")
 
-def letters_only(column: Column) -> Column:
-    """Lower case, letters and single apostrophes, words one blank apart.
 
-    A run of other characters becomes one blank at once, which is the same as
-    one blank per character followed by the collapsing of white space.
+def letters_spaced(column: Column) -> Column:
+    """Lower case, every run of characters but letters and apostrophes to one blank.
+
+    That is the same as a blank per character followed by the collapsing of white
+    space.
     """
-    spaced = F.regexp_replace(F.lower(column), r"[^a-z']+", " ")
-    return F.btrim(_collapsed_apostrophes(spaced))
+    return F.regexp_replace(F.lower(column), r"[^a-z']+", " ")
+
 
+def single_apostrophes(column: Column) -> Column:
+    """Runs of apostrophes to one, no blanks outside."""
+    return F.btrim(_replaced_if(column, "''", r"'{2,}", "'"))
 
-def _collapsed_apostrophes(column: Column) -> Column:
-    return F.when(
-        F.contains(column, F.lit("''")), F.regexp_replace(column, r"'{2,}", "'")
-    ).otherwise(column)
 
+# The rules in order, in three parts: what is done with and without source names
+# alike, what takes the names out, and the last steps. Each rule is applied to the
+# column left by the one before, so that a text is worked on once per rule.
+MARKUP_STEPS = [decode_entities, without_tags_and_links, without_addresses]
+LETTER_STEPS = [letters_spaced, single_apostrophes]
 
-def clean_text(
-    column: Column, *, remove_markers: bool = True, markers: list[str] | None = None
-) -> Column:
-    """All rules in order, for one column."""
-    markers = SOURCE_MARKERS if markers is None else markers
-    plain = without_markup(decode_entities(filled(column)))
-    return letters_only(without_sources(plain, markers) if remove_markers else plain)
+
+def source_steps(markers: list[str]) -> list[Callable[[Column], Column]]:
+    return [without_dateline, lambda column: without_markers(column, markers)]
+
+
+def steps(
+    df: DataFrame, columns: list[str], rules: list[Callable[[Column], Column]]
+) -> DataFrame:
+    """Apply rules one after the other to some columns of a table.
+
+    All columns go through a rule together: a call to Python for one column above
+    the rules of another would make the optimizer repeat those rules.
+    """
+    for rule in rules:
+        df = df.withColumns({column: rule(F.col(column)) for column in columns})
+    return df
+
+
+def clean_column(
+    df: DataFrame,
+    column: str,
+    target: str,
+    *,
+    remove_markers: bool = True,
+    markers: list[str] | None = None,
+) -> DataFrame:
+    """Add the cleaned form of a text column under a new name."""
+    rules = list(MARKUP_STEPS)
+    if remove_markers:
+        rules += source_steps(SOURCE_MARKERS if markers is None else markers)
+    return steps(df.withColumn(target, filled(F.col(column))), [target], rules + LETTER_STEPS)

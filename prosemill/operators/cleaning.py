@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from prosemill import schema as S
 from prosemill.functions.cleaning import (
+    LETTER_STEPS,
+    MARKUP_STEPS,
     SOURCE_MARKERS,
-    decode_entities,
-    letters_only,
-    without_markup,
-    without_sources,
+    source_steps,
+    steps,
 )
 from prosemill.functions.text import filled, joined, round_half_even, strip, word_count
 from prosemill.operators.columns import (
@@ -31,23 +31,27 @@ def with_raw_text(df: DataFrame) -> DataFrame:
     return df.withColumn("raw_title_body", joined(strip(title), strip(text)))
 
 
-def with_clean_text(
+def with_clean_texts(
     df: DataFrame,
-    source: str,
-    target: str,
+    targets: dict[str, str],
     *,
     remove_markers: bool = True,
     markers: list[str] | None = None,
 ) -> DataFrame:
-    """Add `<target>_with_markers` and `<target>`; what both share is worked out once."""
+    """Add `<target>_with_markers` and `<target>` for each source column.
+
+    What both forms share is worked out once.
+    """
     markers = SOURCE_MARKERS if markers is None else markers
-    shared = df.withColumn("_plain", without_markup(decode_entities(filled(F.col(source)))))
-    kept = shared.withColumn(f"{target}_with_markers", letters_only(F.col("_plain")))
-    if remove_markers:
-        final = letters_only(without_sources(F.col("_plain"), markers))
-    else:
-        final = F.col(f"{target}_with_markers")
-    return kept.withColumn(target, final).drop("_plain")
+    kept = {target: f"{target}_with_markers" for target in targets.values()}
+    df = df.withColumns({kept[target]: filled(F.col(c)) for c, target in targets.items()})
+    df = steps(df, list(kept.values()), MARKUP_STEPS)
+    if not remove_markers:
+        df = steps(df, list(kept.values()), LETTER_STEPS)
+        return df.withColumns({target: F.col(name) for target, name in kept.items()})
+    df = df.withColumns({target: F.col(name) for target, name in kept.items()})
+    df = steps(df, list(kept), source_steps(markers) + LETTER_STEPS)
+    return steps(df, list(kept.values()), LETTER_STEPS)
 
 
 def cleaned_articles(
@@ -58,10 +62,12 @@ def cleaned_articles(
     df = reject_duplicate_names(drop_generated_columns(drop_serial_columns(df)))
     df = df.withColumns({S.TITLE: filled(F.col(S.TITLE)), S.TEXT: filled(F.col(S.TEXT))})
     df = with_raw_text(df)
-    df = with_clean_text(
-        df, S.TITLE, "clean_title", remove_markers=remove_markers, markers=markers
+    df = with_clean_texts(
+        df,
+        {S.TITLE: "clean_title", S.TEXT: "clean_body"},
+        remove_markers=remove_markers,
+        markers=markers,
     )
-    df = with_clean_text(df, S.TEXT, "clean_body", remove_markers=remove_markers, markers=markers)
     df = df.withColumns(
         {
             "clean_title_body_with_markers": joined(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosemill import schema as S
@@ -45,28 +45,49 @@ def with_found_markers(df: DataFrame, column: str, markers: list[str], name: str
 
 
 def marker_hits(
-    found: DataFrame, name: str, markers: list[str], labels: Iterable[int] | None = None
+    found: DataFrame,
+    columns: dict[str, str],
+    markers: list[str],
+    labels: Iterable[int] | None = None,
 ) -> DataFrame:
-    """Rows (label, marker, hits, class_rows), also for markers never found.
+    """Rows (stage, marker, label, hits, class_rows), also for markers never found.
 
-    One aggregate over the table, a sum per marker; with `labels` the classes are
-    these, present or not, else the classes that occur.
+    `columns` names the array of found markers of every stage. One aggregate over
+    the table with a sum per stage and marker: grouped by the labels that occur,
+    or, with `labels`, with a sum for each of these, present or not.
     """
-    sums = [F.count_if(F.array_contains(name, m)).alias(f"_{i}") for i, m in enumerate(markers)]
-    labelled = found.where(F.col(S.LABEL).isNotNull())
-    per_label = labelled.groupBy(S.LABEL).agg(F.count(F.lit(1)).alias("_rows"), *sums)
-    if labels is not None:
-        classes = found.sparkSession.createDataFrame([(v,) for v in labels], f"{S.LABEL} int")
-        per_label = classes.join(per_label, S.LABEL, "left").na.fill(0)
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("position"), F.lit(m).alias("marker"), F.col(f"_{i}").alias("hits")
-            )
-            for i, m in enumerate(markers)
+    cases = [(stage, marker, name) for stage, name in columns.items() for marker in markers]
+    hit = [F.array_contains(name, marker) for _, marker, name in cases]
+    if labels is None:
+        labelled = found.where(F.col(S.LABEL).isNotNull())
+        counts = labelled.groupBy(S.LABEL).agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *[F.count_if(h).alias(f"_{i}") for i, h in enumerate(hit)],
+        )
+        entries = [
+            _entry(stage, marker, F.col(S.LABEL), f"_{i}", "_rows")
+            for i, (stage, marker, _) in enumerate(cases)
         ]
+        return counts.select(F.inline(F.array(*entries)))
+    sums, entries = [], []
+    for label in labels:
+        in_class = F.col(S.LABEL) == label
+        sums.append(F.count_if(in_class).alias(f"_rows_{label}"))
+        for i, (stage, marker, _) in enumerate(cases):
+            sums.append(F.count_if(in_class & hit[i]).alias(f"_{label}_{i}"))
+            value = F.lit(label).cast("int")
+            entries.append(_entry(stage, marker, value, f"_{label}_{i}", f"_rows_{label}"))
+    return found.agg(*sums).select(F.inline(F.array(*entries)))
+
+
+def _entry(stage: str, marker: str, label: Column, hits: str, class_rows: str) -> Column:
+    return F.struct(
+        F.lit(stage).alias("stage"),
+        F.lit(marker).alias("marker"),
+        label.alias(S.LABEL),
+        F.col(hits).alias("hits"),
+        F.col(class_rows).alias("class_rows"),
     )
-    return per_label.select(S.LABEL, F.col("_rows").alias("class_rows"), F.inline(entries))
 
 
 def marker_counts_by_label(hits: DataFrame) -> DataFrame:
@@ -93,11 +114,11 @@ def marker_gap(counts: DataFrame, labels: tuple[int, int] = S.LABELS) -> DataFra
     return wide.select("*", gap).orderBy(F.desc("absolute_gap"), "marker")
 
 
-def marker_audit(hits: DataFrame, stage: str) -> DataFrame:
-    """Marker shares of one stage, four digits, 0 for an empty class."""
+def marker_audit(hits: DataFrame) -> DataFrame:
+    """Marker shares of every stage, four digits, 0 for an empty class."""
     share = F.when(F.col("class_rows") > 0, F.col("hits") / F.col("class_rows") * 100)
     return hits.select(
-        F.lit(stage).alias("stage"),
+        "stage",
         "marker",
         S.LABEL,
         class_name(F.col(S.LABEL)).alias("class_name"),

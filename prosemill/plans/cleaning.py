@@ -29,11 +29,8 @@ def audit(cleaned: DataFrame, markers: list[str]) -> DataFrame:
     narrow = cleaned.select(S.LABEL, "raw_title_body", "clean_title_body")
     narrow = M.with_found_markers(narrow, "raw_title_body", markers, "before")
     narrow = M.with_found_markers(narrow, "clean_title_body", markers, "after")
-    before = M.marker_hits(narrow, "before", markers, S.LABELS)
-    after = M.marker_hits(narrow, "after", markers, S.LABELS)
-    return M.marker_audit(before, "before_preprocessing").unionByName(
-        M.marker_audit(after, "after_preprocessing")
-    )
+    columns = {"before_preprocessing": "before", "after_preprocessing": "after"}
+    return M.marker_audit(M.marker_hits(narrow, columns, markers, S.LABELS))
 
 
 def run(

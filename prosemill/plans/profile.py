@@ -59,7 +59,7 @@ def run(
     overall = L.histogram(narrow, L.LENGTHS)
     hist = written(L.histogram(narrow, L.LENGTHS, by=[S.LABEL]), "lengths")
     word_hist = hist.where(F.col("measure").isin(L.WORD_COUNTS))
-    marker_counts = M.marker_counts_by_label(M.marker_hits(narrow, "found", markers))
+    marker_counts = M.marker_counts_by_label(M.marker_hits(narrow, {"profile": "found"}, markers))
     return {
         "label_distribution": Q.label_distribution(narrow),
         "missing_values": Q.missing_summary(narrow),

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from prosemill import schema as S
-from prosemill.functions.cleaning import SOURCE_MARKERS, clean_text
+from prosemill.functions.cleaning import SOURCE_MARKERS, clean_column
 from prosemill.operators import cleaning as Cl
 from tests.conftest import rows
 
@@ -36,7 +36,7 @@ CASES = [
 @pytest.mark.parametrize("remove", [True, False])
 def test_hand_fixtures(spark, remove):
     df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(CASES)], "i int, c string")
-    got = dict(rows(df.select("i", clean_text(F.col("c"), remove_markers=remove))))
+    got = dict(rows(clean_column(df, "c", "clean", remove_markers=remove), "i", "clean"))
     assert got == {i: c[1] if remove else c[2] for i, c in enumerate(CASES)}
 
 
@@ -71,7 +71,7 @@ def test_random_texts_agree_with_python(spark):
         for _ in range(3000)
     ]
     df = spark.createDataFrame(list(enumerate(values)), "i int, c string")
-    got = dict(rows(df.select("i", clean_text(F.col("c")))))
+    got = dict(rows(clean_column(df, "c", "clean"), "i", "clean"))
     wrong = [(v, got[i], expected_clean(v)) for i, v in enumerate(values) if got[i] != expected_clean(v)]
     assert wrong == []
 
