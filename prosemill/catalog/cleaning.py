@@ -29,10 +29,16 @@ STOP_WORDS = [
 ]
 
 
-def numbered_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned complete cases. Texts are cleaned before the label and id join."""
-    ids = numbered(spark, sf_dir).where("complete_case").where(F.col(S.ARTICLE_ID).isNotNull())
-    return Cl.cleaned_articles(ids, markers=STAND_INS)
+def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned complete cases."""
+    cases = St.complete_cases(numbered(spark, sf_dir))
+    return Cl.cleaned_articles(cases, markers=STAND_INS)
+
+
+def before_after_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first complete cases by id, chosen before they are cleaned."""
+    first = St.complete_cases(numbered(spark, sf_dir)).orderBy(S.ARTICLE_ID).limit(20)
+    return Cl.before_after_samples(Cl.cleaned_articles(first, markers=STAND_INS))
 
 
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +47,7 @@ def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts of all documents, cleaned with source names kept."""
     docs = documents(spark, sf_dir).withColumn(S.LABEL, F.lit(None).cast("int"))
     return Cl.cleaned_articles(docs, remove_markers=False).select(
         S.ROW_ID,
@@ -119,11 +126,11 @@ def body_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "clean_documents": numbered_clean,
+    "clean_documents": clean_documents,
     "clean_pages_html": clean_pages,
     "clean_word_counts": clean_word_counts,
     "cleaning_quality_report": quality_report,
-    "before_after_samples": lambda spark, sf: Cl.before_after_samples(numbered_clean(spark, sf)),
+    "before_after_samples": before_after_samples,
     "marker_counts_by_label": lambda spark, sf: M.marker_counts_by_label(profile_hits(spark, sf)),
     "marker_gap": lambda spark, sf: M.marker_gap(
         M.marker_counts_by_label(profile_hits(spark, sf))
@@ -141,7 +148,7 @@ def _plain(column: str) -> str:
     """Entities, tags, URLs and e-mail addresses of the cleaning rules."""
     sql = column
     for entity, text in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
-        sql = f"replace({sql}, '&{entity};', '{text}')"
+        sql = f"regexp_replace({sql}, '&{entity};?', '{text}', 'g')"
     sql = f"regexp_replace({sql}, '<[^>]+>', ' ', 'g')"
     sql = rf"regexp_replace({sql}, 'https?://[^{SPACE}]+|www\.[^{SPACE}]+', ' ', 'gi')"
     mail = r"[.+-]*[\p{L}\p{N}_][\p{L}\p{N}_.+-]*@[\p{L}\p{N}_.-]+\.[A-Za-z]{2,}\b"

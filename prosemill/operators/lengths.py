@@ -125,14 +125,25 @@ def upper_limits(hist: DataFrame, share: float = 0.99) -> DataFrame:
 def capped(df: DataFrame, measures: list[str], share: float = 0.99) -> DataFrame:
     """Add `<measure>_capped`: the value, or the quantile of its column if that is less.
 
-    The quantile is a scalar subquery over the histogram: no join.
+    All quantiles come from one scalar subquery over the histogram: no join, and
+    one more pass over the table whatever the number of measures.
     """
-    limits = histogram(df, measures)
-    added = {}
-    for name in measures:
-        limit = limits.where(F.col("measure") == name).agg(quantile(share).alias("limit"))
-        added[f"{name}_capped"] = F.least(F.col(name).cast("double"), limit.scalar())
-    return df.withColumns(added)
+    limits = histogram(df, measures).agg(
+        F.struct(
+            *[
+                F.percentile(
+                    F.when(F.col("measure") == name, F.col("value")), F.lit(share), F.col("rows")
+                ).alias(name)
+                for name in measures
+            ]
+        ).alias("limits")
+    )
+    return df.withColumns(
+        {
+            f"{name}_capped": F.least(F.col(name).cast("double"), limits.scalar()[name])
+            for name in measures
+        }
+    )
 
 
 def boxplot_stats(hist: DataFrame, share: float = 0.99, reach: float = 1.5) -> DataFrame:

@@ -16,12 +16,17 @@ EXAMPLE_SEED = 503
 # Part of the rows kept back, and part of those that goes to test.
 HOLDOUT_SHARE = 0.2
 TEST_SHARE = 0.5
+# Beyond this the label column is refused: class sizes are worked on in the driver.
+MOST_CLASSES = 1000
 
 
 def class_sizes(df: DataFrame) -> dict[int, int]:
-    """Rows per label, without rows that have none: as many entries as labels."""
+    """Rows per label, without rows that have none; too many labels are no classes."""
     labelled = df.select(S.LABEL).where(F.col(S.LABEL).isNotNull())
-    return dict(sorted((row[0], row[1]) for row in labelled.groupBy(S.LABEL).count().collect()))
+    found = labelled.groupBy(S.LABEL).count().limit(MOST_CLASSES + 1).collect()
+    if len(found) > MOST_CLASSES:
+        raise ValueError(f"More than {MOST_CLASSES} different labels.")
+    return dict(sorted((row[0], row[1]) for row in found))
 
 
 def sample_sizes(classes: dict[int, int], per_class: int | None) -> dict[int, int]:
