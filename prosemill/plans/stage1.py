@@ -13,12 +13,11 @@ from prosemill.operators import stage1 as St
 from prosemill.operators.duplicates import article_groups, require_no_conflicts
 from prosemill.session import written
 from prosemill.sources.csv import write_gzip_csv
-from prosemill.sources.tables import write_table
 
 
 @dataclass(frozen=True)
 class Stage1:
-    """The written tables and the count check."""
+    """The four tables, read from one written folder, and the count check."""
 
     master: DataFrame
     complete_cases: DataFrame
@@ -45,29 +44,37 @@ def run(
 
     The stripped rows are written once with their content key; checks and ids then
     read keys and labels only. The numbered rows, behind the one shuffle of texts,
-    are written once as well and split into the four tables from there.
+    are written once as well, in folders from which each table reads its own.
     """
     rows = C.require_label_domain(prepared(raw))
     keyed = St.stage1_rows(rows).withColumn(S.CONTENT_KEY, St.content_key(S.TITLE, S.TEXT))
     keyed = C.require_unique(written(keyed, "stage1"), S.ROW_ID)
     require_no_conflicts(article_groups(keyed.select(S.ROW_ID, S.LABEL, S.CONTENT_KEY)))
-    numbered = written(
-        St.numbered_articles(
-            keyed.drop(S.CONTENT_KEY), keyed=keyed.select(S.ROW_ID, S.CONTENT_KEY)
-        ),
-        "numbered",
+    numbered = St.numbered_articles(
+        keyed.drop(S.CONTENT_KEY), keyed=keyed.select(S.ROW_ID, S.CONTENT_KEY)
     )
+    numbered = _written_by_part(numbered, f"{out_dir}/articles")
+    rows_of = F.col("part")
     tables = {
-        "master": St.master_rows(numbered),
-        "complete_cases": St.complete_cases(numbered),
-        "incomplete_cases": St.incomplete_cases(numbered),
-        "removed": St.removed_copies(numbered),
+        "master": numbered.where(rows_of != "removed").drop("part"),
+        "complete_cases": numbered.where(rows_of == "complete").drop("part"),
+        "incomplete_cases": numbered.where(rows_of == "incomplete").drop("part"),
+        "removed": St.removed_copies(numbered.where(rows_of == "removed").drop("part")),
     }
-    done = {name: write_table(df, f"{out_dir}/{name}") for name, df in tables.items()}
     if gzip_csv:
-        for name, df in done.items():
+        for name, df in tables.items():
             write_gzip_csv(df, f"{out_dir}/csv/{name}")
-    return Stage1(**done, counts=St.stage_counts(numbered, expected))
+    return Stage1(**tables, counts=St.stage_counts(numbered, expected))
+
+
+def _written_by_part(numbered: DataFrame, path: str) -> DataFrame:
+    """One write for all four tables: a folder each for complete, incomplete and removed rows."""
+    part = F.when(F.col(S.ARTICLE_ID).isNull(), "removed").when(
+        F.col("complete_case"), "complete"
+    )
+    parted = numbered.withColumn("part", part.otherwise("incomplete"))
+    parted.write.mode("overwrite").partitionBy("part").parquet(path)
+    return numbered.sparkSession.read.schema(parted.schema).parquet(path)
 
 
 def label_counts(stage: Stage1) -> DataFrame:
