@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from prosemill.llm.frames import table
 from prosemill.llm.piece_codec import round_trip
 from prosemill.llm.token_counts import token_counts
+from prosemill.llm.token_files import read_token_files, write_token_files
+from prosemill.llm.shared import new_folder
 
+WORD_MODEL, WORD_END = "word_bpe_49k.json", 2
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
@@ -27,9 +30,16 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_file(PIECE_MODEL))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "token_files")
+    write_token_files(table(spark, sf_dir, "documents"), tokenizer_file(WORD_MODEL), WORD_END, path)
+    return read_token_files(spark, path)
+
+
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op4_token_counts": op4_token_counts,
+    "op5_token_files": op5_token_files,
 }
 
 ORACLE: dict[str, str] = {}
