@@ -50,8 +50,8 @@ def arrow_schema(fields: str) -> pa.Schema:
              "string": pa.string(), "binary": pa.binary(), "smallint": pa.int16(), "float": pa.float32(),
              "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
              "array<string>": pa.list_(pa.string())}
-    parsed = T.StructType.fromDDL(fields)
-    return pa.schema([(f.name, kinds[f.dataType.simpleString()]) for f in parsed.fields])
+    pairs = [field.split() for field in fields.split(",")]
+    return pa.schema([(name, kinds[kind]) for name, kind in pairs])
 
 
 def map_texts(df: DataFrame, fields: str, prepare: Callable[[], Callable[[list[str]], list]]) -> DataFrame:

@@ -45,7 +45,7 @@ class WaveletMatrix:
             little = np.packbits(bits, bitorder="little")
             room[: len(little)] = little
             planes.append(room.view(np.uint64))
-            codes = np.concatenate([codes[~bits], codes[bits]])
+            codes = np.concatenate([codes[np.flatnonzero(~bits)], codes[np.flatnonzero(bits)]])
         return cls(len(codes), alphabet, planes)
 
     def to_bytes(self) -> bytes:
@@ -149,7 +149,7 @@ class WaveletMatrix:
             raw = self.planes[level].view(np.uint8)
             bits = np.unpackbits(raw, count=self.n, bitorder="little").view(bool)
             earlier = np.empty_like(codes)
-            earlier[~bits] = codes[: self.zeros[level]]
-            earlier[bits] = codes[self.zeros[level] :] | kind(1 << depth)
+            earlier[np.flatnonzero(~bits)] = codes[: self.zeros[level]]
+            earlier[np.flatnonzero(bits)] = codes[self.zeros[level] :] | kind(1 << depth)
             codes = earlier
         return self.alphabet[codes] if self.n else np.zeros(0, dtype=np.uint32)
