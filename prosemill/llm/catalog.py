@@ -7,6 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from prosemill.llm.decontamination import contamination_digest
 from prosemill.llm.frames import table
 from prosemill.llm.piece_codec import round_trip
 from prosemill.llm.token_counts import token_counts
@@ -36,10 +37,15 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
+    "op7_decontamination": op7_decontamination,
 }
 
 ORACLE: dict[str, str] = {}

@@ -8,7 +8,6 @@ scanned once; matches are mapped back to its words and to character offsets of t
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -85,63 +84,86 @@ def scan(text: str, machine) -> tuple[int, np.ndarray, set[int]]:
     return len(words), np.flatnonzero(np.cumsum(change)[:-1] > 0), items
 
 
-def spans(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
-    """Character offsets in the original text of each run of hit words, end exclusive."""
+def places(text: str, hit: np.ndarray) -> list[dict[str, int]]:
+    """Number of each hit word and its character offsets in the original text, end exclusive."""
     if not len(hit):
         return []
-    places = [m.span() for m in ORIGINAL_WORD.finditer(text)]
-    breaks = np.flatnonzero(np.diff(hit) > 1)
-    first = hit[np.append(0, breaks + 1)]
-    last = hit[np.append(breaks, len(hit) - 1)]
-    return [(places[a][0], places[b][1]) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+    found = [m.span() for m in ORIGINAL_WORD.finditer(text)]
+    return [{"word": w, "begin": found[w][0], "end": found[w][1]} for w in hit.tolist()]
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[tuple[tuple[str, str], ...]]:
-    """Items in blocks of bounded size. A benchmark is small beside the corpus, but may be of any
-    size: its bytes are summed first, and each block is fetched on its own."""
-    items = benchmark.select(
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = total // BLOCK_BYTES + 1
-    for block in range(count):
-        mine = items if count == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block)
-        yield tuple(sorted((r[0], r[1]) for r in mine.collect()))
 
 
-def contamination(df: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per row: its words, hit words, the items whose windows occur (sorted as text), and the hit
-    spans as character offsets `begins` and `ends` in the original text.
+def contamination(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Per row: its words, its hit words with their offsets in the original text, and the items
+    whose windows occur, sorted as text.
 
     A null text has no words and is clean; repeated rows are scanned each; an empty benchmark
-    hits nothing; other columns are left out. Items may repeat: an id counts once.
+    hits nothing; an item id that repeats counts once; other columns are left out.
+
+    The benchmark's bytes are summed before any of it is sent: up to `block_bytes` there is one
+    automaton and the corpus is scanned once. A larger one is cut into blocks of that size by a
+    hash; each takes a scan of its own over the same written table, and the rows are put together.
     """
-    spark = df.sparkSession
-    fields = "n_words bigint, hits array<int>, items array<string>, begins array<int>, ends array<int>"
+    items = _items(benchmark)
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = total // block_bytes + 1
     source = frames.texts(df)
-    blocks = list(_block_numbers := _blocks(benchmark)) if False else None
-    del blocks
-    found = None
-    for block in _blocks(benchmark):
-        sent = spark.sparkContext.broadcast(block)
-
-        def prepare(sent=sent):
-            names = [item for item, _ in sent.value]
-            machine = automaton(sent.value, window)
-
-            def work(batch: list[str]) -> list:
-                columns: list[list] = [[], [], [], [], []]
-                for text in batch:
+    if count == 1:
+        return _scanned(source, items, window)
+    source = kept(source.withColumn("row", F.monotonically_increasing_id()), "decontamination")
+    number = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
+    found = _scanned(source, items.where(number == 0), window)
+    for block in range(1, count):
+        found = found.unionByName(_scanned(source, items.where(number == block), window))
+    together = found.groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"),
+        F.max("n_words").alias("n_words"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    return together.select("doc_id", "n_words", "hits", "items")
+
+
+def _scanned(source: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    """One scan with the automaton of some items, whose size the caller has bounded."""
+    rows = sorted((r[0], r[1]) for r in items.collect())
+    sent = source.sparkSession.sparkContext.broadcast(rows)
+    kept_fields = [f for f in source.schema.fields if f.name != "text"]
+    fields = "n_words bigint, hits array<struct<word:int,begin:int,end:int>>, items array<string>"
+    schema = frames.T.StructType([*kept_fields, *frames.T.StructType.fromDDL(fields).fields])
+    place = pa.struct([("word", pa.int32()), ("begin", pa.int32()), ("end", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = automaton(tuple(sent.value), window)
+        names = [item for item, _ in sent.value]
+        for batch in batches:
+            for part in frames.slices(batch):
+                counts, hits, owners = [], [], []
+                for text in part.column("text").to_pylist():
                     n, hit, numbers = scan(text, machine)
-                    places = spans(text, hit)
-                    row = n, hit, sorted({names[i] for i in numbers}), [a for a, _ in places], [b for _, b in places]
-                    for column, value in zip(columns, row, strict=True):
-                        column.append(value)
-                return columns
-
-            return work
-
-        part = frames.map_texts(source, fields, prepare)
-        found = part if found is None else found.unionByName(part)
-    return found
+                    counts.append(n)
+                    hits.append(places(text, hit))
+                    owners.append(sorted({names[i] for i in numbers}))
+                arrays = [part.column(f.name) for f in kept_fields]
+                arrays += [pa.array(counts, pa.int64()), pa.array(hits, pa.list_(place)), pa.array(owners, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
+
+    return source.mapInArrow(run, schema)
+
+
+def contamination_digest(df: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The report of `contamination` in plain columns."""
+    found = contamination(df, benchmark)
+    return found.select(
+        "doc_id", "n_words",
+        F.size("hits").cast("bigint").alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
