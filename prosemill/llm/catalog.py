@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from prosemill.llm.decontamination import contamination_digest
+from prosemill.llm.exact_dedup import dedup_report
 from prosemill.llm.frames import table
 from prosemill.llm.piece_codec import round_trip
 from prosemill.llm.token_counts import token_counts
@@ -41,11 +42,25 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
     "op7_decontamination": op7_decontamination,
+    "op8_exact_dedup": op8_exact_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op8_exact_dedup": """
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256
+FROM (
+    SELECT doc_id, coalesce(text, '') AS text,
+           max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
+           count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size
+    FROM documents
+)""",
+}
