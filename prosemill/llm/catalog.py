@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from prosemill.llm.decontamination import contamination_digest
 from prosemill.llm.exact_dedup import dedup_report
 from prosemill.llm.frames import table
+from prosemill.llm.language import language_report
 from prosemill.llm.piece_codec import round_trip
+from prosemill.llm.secret_scan import secret_report
 from prosemill.llm.token_counts import token_counts
 from prosemill.llm.token_files import read_token_files, write_token_files
 from prosemill.llm.shared import new_folder
@@ -46,12 +48,22 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
+    "op6_language": op6_language,
     "op7_decontamination": op7_decontamination,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE = {
