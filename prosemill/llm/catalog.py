@@ -12,6 +12,7 @@ from prosemill.llm.exact_dedup import dedup_report
 from prosemill.llm.frames import table
 from prosemill.llm.language import language_report
 from prosemill.llm.piece_codec import round_trip
+from prosemill.llm.quality import quality_report
 from prosemill.llm.secret_scan import secret_report
 from prosemill.llm.token_counts import token_counts
 from prosemill.llm.token_files import read_token_files, write_token_files
@@ -52,6 +53,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES = {
     "op6_language": op6_language,
     "op7_decontamination": op7_decontamination,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_quality": op9_quality,
     "op10_secret_scan": op10_secret_scan,
 }
 

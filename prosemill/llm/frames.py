@@ -49,6 +49,7 @@ def arrow_schema(fields: str) -> pa.Schema:
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
              "string": pa.string(), "binary": pa.binary(), "smallint": pa.int16(), "float": pa.float32(),
              "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
+             "array<float>": pa.list_(pa.float32()),
              "array<string>": pa.list_(pa.string())}
     pairs = [field.split() for field in fields.split(",")]
     return pa.schema([(name, kinds[kind]) for name, kind in pairs])
