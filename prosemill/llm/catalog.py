@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from prosemill.llm.decontamination import contamination_digest
 from prosemill.llm.exact_dedup import dedup_report
 from prosemill.llm.frames import table
+from prosemill.llm.jaccard_join import jaccard_report
 from prosemill.llm.language import language_report
 from prosemill.llm.piece_codec import round_trip
 from prosemill.llm.quality import quality_report
@@ -27,6 +28,10 @@ def tokenizer_file(name: str) -> bytes:
     return Path(public_tokenizers.path(name)).read_bytes()
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_report(table(spark, sf_dir, "documents"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_file(PIECE_MODEL))
 
@@ -62,6 +67,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_sentencepiece": op2_sentencepiece,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
