@@ -39,14 +39,15 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
+def _text(row: str) -> Column:
+    return F.coalesce(F.col(f"{row}.text"), F.lit(""))
+
+
 def _log(df: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
-    """The arrival log: every row as it is, with its locator, text (null as empty) and digest."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    inner = df.select(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-        F.col("doc_id"), text.alias("content"), digest(text).alias("digest"),
-    )
-    return kept(inner.withColumn("locator", F.monotonically_increasing_id()), "arrivals")
+    """The arrival log: every row as it is, its id, digest and locator."""
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    rows = rows.select("row", F.col("row.doc_id").alias("doc_id"), digest(_text("row")).alias("digest"))
+    return kept(rows.withColumn("locator", F.monotonically_increasing_id()), "arrivals")
 
 
 def _state(log: DataFrame) -> DataFrame:
@@ -116,17 +117,17 @@ def _collided(log: DataFrame, groups: DataFrame) -> DataFrame:
     A kept text is copied once per COMPARED hits and each copy meets its share of them, so no
     task gets all rows of a large group.
     """
-    hits = groups.where(F.col("locator") != F.col("keeper.locator"))
     copies = F.ceil(F.col("group_size") / COMPARED).cast("int")
-    hits = hits.select("locator", F.col("keeper.locator").alias("kept_at"),
-                       F.pmod(F.xxhash64("locator"), copies).cast("int").alias("copy"))
-    keepers = groups.where((F.col("locator") == F.col("keeper.locator")) & (F.col("group_size") > 1)).select(
-        F.col("locator").alias("kept_at"), F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy")
-    )
-    content = log.select("locator", "digest", "content")
-    left = content.join(hits, "locator")
-    right = content.select(F.col("locator").alias("kept_at"), F.col("content").alias("kept_content")).join(keepers, "kept_at")
-    differ = left.join(right, ["kept_at", "copy"]).where(F.col("content") != F.col("kept_content"))
+    is_keeper = F.col("locator") == F.col("keeper.locator")
+    own_copy = F.pmod(F.xxhash64("locator"), copies).cast("int")
+    wanted = groups.where("group_size > 1").select(
+        "locator", F.col("keeper.locator").alias("kept_at"), is_keeper.alias("is_keeper"),
+        F.when(is_keeper, F.sequence(F.lit(0), copies - 1)).otherwise(F.array(own_copy)).alias("copies"),
+    )
+    texts = log.select("locator", "digest", _text("row").alias("content")).join(wanted, "locator")
+    placed = kept(texts.withColumn("copy", F.explode("copies")).drop("copies"), "hits")
+    keepers = placed.where("is_keeper").select("kept_at", "copy", F.col("content").alias("kept_content"))
+    differ = placed.where("NOT is_keeper").join(keepers, ["kept_at", "copy"]).where("content != kept_content")
     return kept(differ.select("digest").distinct(), "collided")
 
 
@@ -142,7 +143,7 @@ def exact_groups(df: DataFrame, digest: Callable[[Column], Column] = sha256) ->
     collided = _collided(log, groups)
     if collided.isEmpty():
         return log, groups
-    mixed = log.join(collided, "digest", "left_semi").select("doc_id", "locator", "digest", "content")
+    mixed = log.join(collided, "digest", "left_semi").select("doc_id", "locator", "digest", _text("row").alias("content"))
     apart = mixed.groupBy("digest", "content").agg(
         F.max(F.struct("doc_id", "locator")).alias("keeper"), F.count(F.lit(1)).alias("group_size")
     )
