@@ -9,6 +9,7 @@ its own. Spark writes the images, so any store it can write to will do.
 from __future__ import annotations
 
 import os
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -26,16 +27,26 @@ from prosemill.llm.wavelet import WaveletMatrix
 #: A shard closes when it holds so many tokens.
 SHARD_TOKENS = 1 << 20
 #: A task remembers the ids of so many words (memory, not results).
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 #: Blanks of str.split that the tokenizer does not take for white space.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 SHARDS = "part int, shard int, n_tokens bigint, image binary"
 DOCUMENTS = "part int, shard int, doc_id bigint, begin bigint, n_tokens bigint, ids_crc32 bigint"
 
 
+def stem_of(word: str) -> str:
+    """A word without the ASCII punctuation behind its letters, in small letters if it is ASCII.
+    The tokenizer cuts there too and does not tell letters' cases apart; other words stay whole."""
+    stem = word.rstrip(string.punctuation)
+    if not (stem.isalpha() and stem.lower().isalpha()):  # a small form may hold a mark
+        return word
+    return stem.lower() if stem.isascii() else stem
+
+
 class WordEncoder:
-    """Ids by the tokenizers library, word by word: right for a tokenizer that drops white space
-    and never joins across it. Each distinct word is encoded by the library once."""
+    """Ids by the tokenizers library, word by word: right for a tokenizer that drops white space,
+    never joins across it, cuts letters from punctuation and lower-cases. Each distinct stem and
+    tail is encoded by the library once."""
 
     def __init__(self, tokenizer: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -47,19 +58,37 @@ class WordEncoder:
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.remembered: dict[str, bytes] = {}
 
+    def _by_library(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each word, all words in one call."""
+        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found.ids, dtype=self.kind)
+        ends = np.cumsum(np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(words))).tolist() if len(ids) else [0] * len(words)
+        packed, size = ids.tobytes(), ids.itemsize
+        return {w: packed[a * size : b * size] for w, a, b in zip(words, [0, *ends], ends, strict=False)}
+
+    def _learn(self, words: set[str]) -> None:
+        known = self.remembered
+        stems = {word: stem_of(word) for word in words}
+        tails = {word[len(stem) :] for word, stem in stems.items()}
+        parts = self._by_library(list(tails.union(stems.values()).difference(known, ("",))))
+        parts[""] = b""
+        for word, stem in stems.items():
+            tail = word[len(stem) :]
+            first = parts[stem] if stem in parts else known[stem]
+            known[word] = first + (parts[tail] if tail in parts else known[tail]) if tail else first
+        known.update(parts)
+
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         split = [
             t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
             if any(c in t for c in SEPARATORS) else t.split() for t in texts
         ]
         known = self.remembered
-        missing = list(set().union(*split).difference(known))
+        missing = set().union(*split).difference(known)
         if len(known) + len(missing) > REMEMBERED:
             known.clear()
-            missing = list(set().union(*split))
-        encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        for word, found in zip(missing, encoded, strict=True):
-            known[word] = np.array(found.ids, dtype=self.kind).tobytes()
+            missing = set().union(*split)
+        self._learn(missing)
         last = np.array([end], dtype=self.kind).tobytes()
         return [np.frombuffer(b"".join(map(known.__getitem__, s)) + last, dtype=self.kind) for s in split]
 
