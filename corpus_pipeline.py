@@ -1,7 +1,68 @@
-"""From raw documents to training text in five stages."""
+"""From raw documents to training text in five stages.
+
+Each stage takes (spark, docs, sf_dir) and gives the rows it keeps, with the columns of
+`documents`; the last one gives piece ids. Between stages the rows are written as Parquet in the
+shared folder and read again, so a lost executor costs one stage's work at most.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
-QUERIES: dict = {}
-ORACLE: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+
+from prosemill.llm.catalog import PIECE_MODEL, tokenizer_file
+from prosemill.llm.decontamination import without_benchmark
+from prosemill.llm.exact_dedup import without_copies
+from prosemill.llm.frames import table
+from prosemill.llm.jaccard_join import one_per_class
+from prosemill.llm.language import with_language
+from prosemill.llm.piece_codec import encode_pieces
+from prosemill.llm.shared import kept
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, whose language cannot be told, go."""
+    return with_language(docs)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the largest id stays."""
+    return without_copies(docs)
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies the one with the smallest id stays."""
+    return one_per_class(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return without_benchmark(docs, table(spark, sf_dir, "benchmark"))
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of each document's pieces."""
+    return encode_pieces(docs, tokenizer_file(PIECE_MODEL), "lang", "source")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_dedup),
+    ("jaccard_join", jaccard_join),
+    ("decontamination", decontamination),
+    ("sentencepiece", sentencepiece),
+]
+
+#: Rank-order profiles and piece ids cannot be put in SQL; tests hold the stages against plain code.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = kept(stage(spark, docs, sf_dir), name)
+    return docs
+
+
+QUERIES = {"pipeline": run}
+ORACLE: dict[str, str] = {}

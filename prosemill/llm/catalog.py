@@ -12,6 +12,7 @@ from prosemill.llm.exact_dedup import dedup_report
 from prosemill.llm.frames import table
 from prosemill.llm.jaccard_join import jaccard_report
 from prosemill.llm.language import language_report
+from prosemill.llm.lm_scores import lm_report
 from prosemill.llm.piece_codec import round_trip
 from prosemill.llm.quality import quality_report
 from prosemill.llm.secret_scan import secret_report
@@ -36,6 +37,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_file(PIECE_MODEL))
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_report(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_file(PIECE_MODEL))
 
@@ -69,6 +74,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_lm_scores": op3_lm_scores,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
     "op6_language": op6_language,

@@ -99,12 +99,14 @@ def _items(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def contamination(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def contamination(
+    df: DataFrame, benchmark: DataFrame, *more: str, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """Per row: its words, its hit words with their offsets in the original text, and the items
     whose windows occur, sorted as text.
 
     A null text has no words and is clean; repeated rows are scanned each; an empty benchmark
-    hits nothing; an item id that repeats counts once; other columns are left out.
+    hits nothing; an item id that repeats counts once; of other columns those in `more` stay.
 
     The benchmark's bytes are summed before any of it is sent: up to `block_bytes` there is one
     automaton and the corpus is scanned once. A larger one is cut into blocks of that size by a
@@ -113,7 +115,7 @@ def contamination(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, blo
     items = _items(benchmark)
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = total // block_bytes + 1
-    source = frames.texts(df)
+    source = frames.texts(df, *more)
     if count == 1:
         return _scanned(source, items, window)
     source = kept(source.withColumn("row", F.monotonically_increasing_id()), "decontamination")
@@ -122,12 +124,12 @@ def contamination(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, blo
     for block in range(1, count):
         found = found.unionByName(_scanned(source, items.where(number == block), window))
     together = found.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"),
+        *[F.first(c).alias(c) for c in ("doc_id", *more)],
         F.max("n_words").alias("n_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    return together.select("doc_id", "n_words", "hits", "items")
+    return together.select("doc_id", *more, "n_words", "hits", "items")
 
 
 def _scanned(source: DataFrame, items: DataFrame, window: int) -> DataFrame:
@@ -157,6 +159,12 @@ def _scanned(source: DataFrame, items: DataFrame, window: int) -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
+def without_benchmark(df: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows without a hit word, with all their columns as they came."""
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), "doc_id", "text")
+    return contamination(rows, benchmark, "row").where(F.size("hits") == 0).select("row.*")
+
+
 def contamination_digest(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The report of `contamination` in plain columns."""
     found = contamination(df, benchmark)

@@ -49,6 +49,7 @@ def arrow_schema(fields: str) -> pa.Schema:
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
              "string": pa.string(), "binary": pa.binary(), "smallint": pa.int16(), "float": pa.float32(),
              "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
+             "array<binary>": pa.list_(pa.binary()),
              "array<float>": pa.list_(pa.float32()),
              "array<string>": pa.list_(pa.string())}
     pairs = [field.split() for field in fields.split(",")]
@@ -75,3 +76,46 @@ def map_texts(df: DataFrame, fields: str, prepare: Callable[[], Callable[[list[s
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
 
     return df.mapInArrow(run, schema)
+
+
+#: Arrays of one fixed size travel in so many pieces, and so many tasks' pieces are added at a time.
+PIECES, FAN_IN = 64, 256
+SUMS = "piece int, share int, sums binary"
+
+
+def pieces_of(values: np.ndarray, share: int) -> pa.RecordBatch:
+    """An array as rows of PIECES pieces, padded with zeros."""
+    padded = np.zeros(-(-len(values) // PIECES) * PIECES, dtype=np.float32)
+    padded[: len(values)] = values
+    rows = [piece.tobytes() for piece in padded.reshape(PIECES, -1)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(range(PIECES), pa.int32()), pa.array([share] * PIECES, pa.int32()), pa.array(rows, pa.binary())],
+        schema=arrow_schema(SUMS),
+    )
+
+
+def summed(parts: DataFrame, size: int) -> np.ndarray:
+    """The sum of the arrays that tasks sent as pieces.
+
+    Pieces are added FAN_IN tasks at a time and then over all, in streams: a task holds no more
+    than one array, and the driver gets one array of the given, fixed size.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, found in zip(batch.column("piece").to_pylist(), batch.column("sums").to_pylist(), strict=True):
+                values = np.frombuffer(found, dtype=np.float32)
+                sums[piece] = sums[piece] + values if piece in sums else values.astype(np.float64)
+        if sums:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), pa.int32()), pa.array([0] * len(sums), pa.int32()),
+                 pa.array([s.astype(np.float32).tobytes() for s in sums.values()], pa.binary())],
+                schema=arrow_schema(SUMS))
+
+    few = parts.repartition(F.col("piece"), F.col("share")).mapInArrow(add, SUMS)
+    whole = few.repartition(F.col("piece")).mapInArrow(add, SUMS)
+    table = np.zeros((PIECES, -(-size // PIECES)))
+    for row in whole.select("piece", "sums").collect():  # PIECES rows of a fixed size
+        table[row["piece"]] += np.frombuffer(row["sums"], dtype=np.float32)
+    return table.reshape(-1)[:size]

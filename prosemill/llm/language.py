@@ -152,6 +152,14 @@ def predicted_languages(df: DataFrame, profiles: DataFrame, *more: str) -> DataF
     return frames.map_texts(frames.texts(df, *more), "lang_pred string, score double", prepare)
 
 
+def with_language(df: DataFrame) -> DataFrame:
+    """The rows whose language can be told, with all their columns as they came. Profiles are
+    learned from the rows' own `lang`."""
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), "doc_id", "text")
+    found = predicted_languages(rows, language_profiles(df), "row")
+    return found.where(F.col("lang_pred") != UNDETERMINED).select("row.*")
+
+
 def language_report(df: DataFrame) -> DataFrame:
     """Learn from the rows outside the held-out fold, predict for all."""
     held_out = frames.in_fold(4, 2)

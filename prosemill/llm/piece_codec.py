@@ -227,10 +227,11 @@ def machine(data: bytes) -> Transducer:
     return Transducer(data)
 
 
-def encode_pieces(df: DataFrame, model: bytes) -> DataFrame:
+def encode_pieces(df: DataFrame, model: bytes, *more: str) -> DataFrame:
     """Per row the piece ids of its text, as `ids`; a null text counts as empty and has none.
 
-    Repeated rows are encoded each; other columns are left out; an empty table gives an empty one.
+    Repeated rows are encoded each; of other columns those named in `more` stay; an empty table
+    gives an empty one.
     Texts of any length are encoded whole, part by part. The model is a fixed small file and is
     sent to every executor once.
     """
@@ -239,7 +240,7 @@ def encode_pieces(df: DataFrame, model: bytes) -> DataFrame:
     def prepare() -> Callable[[list[str]], list]:
         return lambda batch: [machine(sent.value).encode(batch)]
 
-    return frames.map_texts(frames.texts(df), "ids array<int>", prepare)
+    return frames.map_texts(frames.texts(df, *more), "ids array<int>", prepare)
 
 
 def decode_pieces(df: DataFrame, model: bytes) -> DataFrame:

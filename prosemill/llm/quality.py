@@ -26,8 +26,6 @@ from prosemill.llm import frames
 BUCKETS, WIDTH = 1 << 15, 32
 #: Neighbours on each side, and entries of an index vector that are not zero.
 REACH, ENTRIES = 2, 2
-#: The sums travel in so many pieces, and so many tasks' pieces are added up at a time.
-PIECES, FAN_IN = 64, 256
 #: Frequent words count less: SMOOTH / (SMOOTH + share of the word).
 SMOOTH = 1e-3
 #: The network is fitted to at most so many labelled rows, chosen by a hash of their ids.
@@ -36,7 +34,6 @@ HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-4
 #: A task remembers the buckets of so many words (memory, not results).
 REMEMBERED = 400_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")
-SUMS = "piece int, share int, sums binary"
 
 
 class Buckets(dict):
@@ -73,17 +70,9 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def context_sums(df: DataFrame) -> np.ndarray:
     """For each bucket the sum of its neighbours' index vectors, and in the last column its count.
 
-    All texts take part. Each task sends one table of fixed size, in pieces; pieces are added up
-    FAN_IN tasks at a time and then over all, in streams, so no task holds more than one table.
+    All texts take part; each task sends one table of fixed size.
     """
     width = WIDTH + 1
-    size = BUCKETS // PIECES
-
-    def emit(sums: dict[int, np.ndarray], share: int) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([share] * len(sums), pa.int32()),
-             pa.array([s.astype(np.float32).tobytes() for s in sums.values()], pa.binary())],
-            schema=frames.arrow_schema(SUMS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, signs = index_vectors()
@@ -99,25 +88,10 @@ def context_sums(df: DataFrame) -> np.ndarray:
                     for word, other in ((spread[:-reach], spread[reach:]), (spread[reach:], spread[:-reach])):
                         for k in range(ENTRIES):
                             total += np.bincount(word * width + places[other, k], signs[other, k], len(total))
-        share = TaskContext.get().partitionId() // FAN_IN
-        yield emit(dict(enumerate(total.reshape(PIECES, size * width))), share)
+        yield frames.pieces_of(total, TaskContext.get().partitionId() // frames.FAN_IN)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for piece, found in zip(batch.column("piece").to_pylist(), batch.column("sums").to_pylist(), strict=True):
-                values = np.frombuffer(found, dtype=np.float32)
-                sums[piece] = sums[piece] + values if piece in sums else values.astype(np.float64)
-        if sums:
-            yield emit(sums, 0)
-
-    parts = frames.texts(df).select("text").mapInArrow(run, SUMS)
-    few = parts.repartition(F.col("piece"), F.col("share")).mapInArrow(add, SUMS)
-    whole = few.repartition(F.col("piece")).mapInArrow(add, SUMS)
-    table = np.zeros((PIECES, size * width), dtype=np.float64)
-    for row in whole.select("piece", "sums").toLocalIterator():  # PIECES rows of a fixed size
-        table[row["piece"]] += np.frombuffer(row["sums"], dtype=np.float32)
-    return table.reshape(BUCKETS, width)
+    parts = frames.texts(df).select("text").mapInArrow(run, frames.SUMS)
+    return frames.summed(parts, BUCKETS * width).reshape(BUCKETS, width)
 
 
 def word_vectors(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
