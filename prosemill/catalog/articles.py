@@ -14,15 +14,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row id, title (first line) and text (the rest) of every document."""
+def documents(spark: SparkSession, sf_dir: str, one_line_body: str | None = "") -> DataFrame:
+    """Row id, title (first line) and text (the rest, or as given if there is none) of every document."""
     line_end = F.instr("text", F.lit("\n"))
-    body = F.when(line_end > 0, F.substr("text", line_end + 1)).otherwise("")
+    body = F.when(line_end > 0, F.substr("text", line_end + 1)).otherwise(F.lit(one_line_body))
     texts = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return texts.select(
         F.col("doc_id").alias(S.ROW_ID),
         strip(filled(F.substring_index("text", "\n", 1))).alias(S.TITLE),
-        strip(filled(body)).alias(S.TEXT),
+        strip(body if one_line_body is None else filled(body)).alias(S.TEXT),
     )
 
 

@@ -12,6 +12,7 @@ from prosemill.operators import duplicates as D
 from prosemill.operators import lengths as L
 from prosemill.operators import quality as Q
 from prosemill.operators.stage1 import content_key
+from prosemill.session import written
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -49,11 +50,8 @@ def label_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def full_row_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal rows with the serial column, and without it."""
     docs = table(spark, sf_dir, "documents")
-    whole = D.repeated_rows(docs).select(F.lit("all columns").alias("subset"), "*")
-    rest = D.repeated_rows(docs, ["text", "lang", "source", "n_chars"]).select(
-        F.lit("without doc_id").alias("subset"), "*"
-    )
-    return whole.unionByName(rest)
+    rest = ["text", "lang", "source", "n_chars"]
+    return D.repeated_rows_by_subset(docs, {"all columns": docs.columns, "without doc_id": rest})
 
 
 def distinct_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +60,28 @@ def distinct_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return titles.select(S.LABEL, S.TITLE).dropDuplicates([S.LABEL, S.TITLE])
 
 
+def article_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole articles under two labels; the label is whether the id is odd, so copies differ."""
+    keys = documents(spark, sf_dir).select(
+        S.ROW_ID, content_key(S.TITLE, S.TEXT).alias(S.CONTENT_KEY),
+        F.pmod(S.ROW_ID, F.lit(2)).cast("int").alias(S.LABEL),
+    )
+    return D.label_conflicts(D.article_groups(keys)).drop(S.CONTENT_KEY)
+
+
+def distinct_whole_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct articles (title and text) of each label, by their keys."""
+    keys = documents(spark, sf_dir).select(S.ROW_ID, content_key(S.TITLE, S.TEXT).alias(S.CONTENT_KEY))
+    distinct = labelled(keys, sf_dir).select(S.LABEL, S.CONTENT_KEY).distinct()
+    return distinct.groupBy(S.LABEL).agg(F.count(F.lit(1)).alias("articles"))
+
+
+def with_null_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing values where a document of one line has a null body, and an empty rest is blank."""
+    docs = documents(spark, sf_dir, one_line_body=None)
+    return Q.missing_summary(labelled(Q.with_gaps(docs), sf_dir, "left"))
+
+
 def boxplot_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     hist = L.histogram(measured(spark, sf_dir), L.WORD_COUNTS, by=[S.LABEL])
     return rounded(
@@ -71,7 +91,7 @@ def boxplot_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def capped_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = measured(spark, sf_dir).select(S.ROW_ID, S.LABEL, *L.WORD_COUNTS)
-    capped = L.capped(counts, L.WORD_COUNTS)
+    capped = L.capped(written(counts, "word_counts"), L.WORD_COUNTS)
     return rounded(capped, *[f"{name}_capped" for name in L.WORD_COUNTS])
 
 
@@ -111,6 +131,9 @@ QUERIES = {
     "duplicate_groups": duplicate_groups,
     "duplicate_report": lambda spark, sf: D.duplicate_report(groups(spark, sf)),
     "label_conflicts": label_conflicts,
+    "article_label_conflicts": article_conflicts,
+    "distinct_articles_by_label": distinct_whole_articles,
+    "missing_summary_null_bodies": with_null_bodies,
     "full_row_duplicates": full_row_duplicates,
     "distinct_titles_by_label": distinct_articles,
     "duplicate_ids": lambda spark, sf: D.repeated_ids(
@@ -287,3 +310,15 @@ SELECT 'without doc_id', (SELECT count(*) FROM documents),
     "duplicate_ids": """SELECT count(*) AS rows,
        count(*) - count(DISTINCT conv_id) AS duplicated_ids FROM conversations""",
 }
+
+_NULL_BODIES = ARTICLES.replace("ELSE '' END", "ELSE NULL END")
+
+ORACLE |= {
+    "article_label_conflicts": f"""WITH {ARTICLES}
+SELECT count(*) AS group_size, count(DISTINCT source_row_id % 2) AS number_of_labels,
+       count(DISTINCT source_row_id % 2) AS label_variants, min(source_row_id) AS first_row_id
+FROM docs GROUP BY title, text HAVING count(DISTINCT source_row_id % 2) > 1""",
+    "distinct_articles_by_label": f"""WITH {ARTICLES}
+SELECT label, count(*) AS articles FROM (SELECT DISTINCT label, title, text FROM raw) GROUP BY label""",
+    "missing_summary_null_bodies": ORACLE["missing_summary"].replace(ARTICLES, _NULL_BODIES),
+}

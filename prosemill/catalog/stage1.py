@@ -28,6 +28,25 @@ def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return St.numbered_articles(stage1(spark, sf_dir), keyed=keyed(spark, sf_dir))
 
 
+def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage-1 flags and content key of the labelled documents, worked out where the texts lie."""
+    rows = documents(spark, sf_dir).withColumn(S.CONTENT_KEY, St.content_key(S.TITLE, S.TEXT))
+    narrow = St.stage1_flags(rows).select(S.ROW_ID, S.CONTENT_KEY, "complete_case")
+    return narrow.join(labels(spark, sf_dir), S.ROW_ID)
+
+
+def narrow_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = flagged(spark, sf_dir)
+    return St.numbered_articles(rows.drop(S.CONTENT_KEY), keyed=rows.select(S.ROW_ID, S.CONTENT_KEY))
+
+
+def removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later copies: found on ids and keys, and only their texts are fetched."""
+    ids = narrow_numbered(spark, sf_dir).where(F.col(S.ARTICLE_ID).isNull()).select(S.ROW_ID, S.LABEL)
+    texts = St.stage1_rows(documents(spark, sf_dir).join(ids, S.ROW_ID))
+    return St.removed_copies(texts.withColumn(S.ARTICLE_ID, F.lit(None).cast("long")))
+
+
 def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The known counts at one scale; other scales show CHECK.
     expected = {
@@ -37,7 +56,7 @@ def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
         "complete": 350,
         "incomplete": 35,
     }
-    return St.stage_counts(numbered(spark, sf_dir), expected)
+    return St.stage_counts(narrow_numbered(spark, sf_dir), expected)
 
 
 def generated_row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +71,7 @@ def column_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "articles_stage1": stage1,
     "dedup_master": lambda spark, sf: St.master_rows(numbered(spark, sf)),
-    "removed_duplicates": lambda spark, sf: St.removed_copies(numbered(spark, sf)),
+    "removed_duplicates": removed,
     "complete_cases": lambda spark, sf: St.complete_cases(numbered(spark, sf)),
     "incomplete_cases": lambda spark, sf: St.incomplete_cases(numbered(spark, sf)),
     "stage_counts": counted,

@@ -18,7 +18,7 @@ def normalized_names(df: DataFrame) -> DataFrame:
 def require_columns(df: DataFrame, required: Iterable[str] = S.REQUIRED_COLUMNS) -> DataFrame:
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"These columns are needed and not there: {missing}")
     return df
 
 
@@ -64,9 +64,9 @@ def numbered_in_read_order(df: DataFrame, name: str = S.ROW_ID) -> DataFrame:
     """0..n-1 in file order, then position in the file.
 
     Rows of one input split are read one after the other, so their position is a
-    difference of increasing ids. Only one row per split is counted up, joined
-    back and kept small: the driver lists the splits in any case. No data row is
-    shuffled. The frame must come straight from files.
+    difference of increasing ids. Splits are added up within their file, and files
+    among themselves, so a window sees one row for each file; the offsets join back
+    by split. The frame must come straight from files.
     """
     tagged = df.select(
         "*",
@@ -77,16 +77,14 @@ def numbered_in_read_order(df: DataFrame, name: str = S.ROW_ID) -> DataFrame:
     splits = tagged.groupBy("_file", "_block").agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_position").alias("_first")
     )
-    offsets = splits.select(
-        "_file",
-        "_block",
-        "_first",
-        F.expr("sum(_rows) over (order by _file, _block) - _rows").alias("_offset"),
+    files = splits.groupBy("_file").agg(F.sum("_rows").alias("_file_rows"))
+    before = files.select("_file", F.expr("sum(_file_rows) over (order by _file) - _file_rows").alias("_before"))
+    inside = F.expr("sum(_rows) over (partition by _file order by _block) - _rows")
+    offsets = splits.withColumn("_inside", inside).join(before, "_file").select(
+        "_file", "_block", "_first", (F.col("_inside") + F.col("_before")).alias("_offset")
     )
     row_id = F.col("_offset") + F.col("_position") - F.col("_first")
-    return tagged.join(F.broadcast(offsets), ["_file", "_block"]).select(
-        row_id.alias(name), *df.columns
-    )
+    return tagged.join(offsets, ["_file", "_block"]).select(row_id.alias(name), *df.columns)
 
 
 def with_integer_labels(df: DataFrame) -> DataFrame:
@@ -96,6 +94,16 @@ def with_integer_labels(df: DataFrame) -> DataFrame:
     return df.withColumn(S.LABEL, checked.otherwise(number).cast("int"))
 
 
+def with_nullable_labels(df: DataFrame) -> DataFrame:
+    """Cast the label to int, also if it is written as 1.0; a missing one stays missing, and a
+    text that is no number stops the run."""
+    text = F.trim(F.col(S.LABEL).cast("string"))
+    number = text.try_cast("double")
+    broken = (text != "") & number.isNull()
+    checked = F.when(broken, F.raise_error(F.concat(F.lit("A label is no number: "), text)))
+    return df.withColumn(S.LABEL, checked.otherwise(number).cast("int"))
+
+
 def label_domain(df: DataFrame) -> DataFrame:
     """Distinct labels in order."""
     return df.select(S.LABEL).distinct().orderBy(S.LABEL)
@@ -106,9 +114,10 @@ def require_label_domain(df: DataFrame, labels: Iterable[int] = S.LABELS) -> Dat
     unexpected = (
         df.select(S.LABEL).where(~F.col(S.LABEL).isin(*labels)).distinct().orderBy(S.LABEL)
     )
-    found = [row[0] for row in unexpected.limit(20).collect()]
+    found = [row[0] for row in unexpected.limit(21).collect()]
     if found:
-        raise ValueError(f"Unexpected labels: {found}")
+        count = unexpected.count() if len(found) > 20 else len(found)
+        raise ValueError(f"{count} labels are outside the domain, the first are: {found[:20]}")
     return df
 
 

@@ -45,7 +45,7 @@ def require_no_conflicts(groups: DataFrame) -> DataFrame:
     """Stop the run if the same article carries two labels."""
     conflicts = label_conflicts(groups).count()
     if conflicts:
-        raise ValueError(f"Found {conflicts} duplicate article groups with conflicting labels.")
+        raise ValueError(f"{conflicts} articles have copies under conflicting labels.")
     return groups
 
 
@@ -61,6 +61,7 @@ def duplicate_report(groups: DataFrame) -> DataFrame:
     )
     extra = F.col("rows") - F.col("articles")
     share = F.when(F.col("rows") > 0, extra / F.col("rows") * 100).otherwise(F.lit(0.0))
+    # The names of the measures.
     return measure_table(
         one_row,
         {
@@ -84,6 +85,17 @@ def repeated_rows(df: DataFrame, columns: Iterable[str] | None = None) -> DataFr
     )
 
 
+def repeated_rows_by_subset(df: DataFrame, subsets: dict[str, list[str]]) -> DataFrame:
+    """The same for several sets of columns, named, in one pass over the table."""
+    keys = F.array(
+        *[F.struct(F.lit(name).alias("subset"), content_key(*columns).alias(S.CONTENT_KEY)) for name, columns in subsets.items()]
+    )
+    sizes = df.select(F.inline(keys)).groupBy("subset", S.CONTENT_KEY).agg(F.count(F.lit(1)).alias("_rows"))
+    return sizes.groupBy("subset").agg(
+        F.sum("_rows").alias("rows"), F.sum(F.col("_rows") - 1).alias("duplicated_rows")
+    )
+
+
 def repeated_ids(df: DataFrame, column: str = S.ARTICLE_ID) -> DataFrame:
     """Number of ids that occurred before; a missing id is a value like any other."""
     sizes = df.groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))

@@ -16,8 +16,6 @@ from prosemill.operators.words import counted_in_row, unpacked
 # this share of them.
 MIN_DF = 5
 MAX_DF = 0.95
-# Candidate terms are ranked in this many parts before the final cut.
-RANK_PARTS = 64
 
 
 @dataclass(frozen=True)
@@ -51,18 +49,15 @@ def document_terms(
 ) -> DataFrame:
     """Rows (id, label, split, setting, terms) with counted terms, all settings in one pass.
 
-    The texts are placed by article first (a no-op if they already are), so that
-    everything a document goes through up to its feature row stays in one task:
-    terms are far more to move than the text they come from.
+    Terms are counted where the texts lie, without a shuffle.
     """
     settings = S.INPUT_SETTINGS if settings is None else settings
     longest = max(r.longest for r in representations)
-    placed = texts.repartition(F.col(id_col))
     inputs = F.array(
         *[F.struct(F.lit(name).alias("setting"), F.col(column).alias("_text"))
           for name, column in settings.items()]
     )
-    tokenized = placed.select(id_col, S.LABEL, "split", F.inline(inputs)).withColumn(
+    tokenized = texts.select(id_col, S.LABEL, "split", F.inline(inputs)).withColumn(
         "_tokens", tokens(F.col("_text"))
     )
     terms = F.col("_tokens")
@@ -94,25 +89,11 @@ def fitted_vocabulary(
         .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
         .where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * train_rows))
     )
-    tokens_in_term = F.when(F.contains("term", F.lit(" ")), 2).otherwise(1)
-    uses = F.filter(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(r.name).alias("representation"),
-                    F.lit(r.longest).alias("_longest"),
-                    F.lit(r.max_features).alias("_cap"),
-                )
-                for r in representations
-            ]
-        ),
-        lambda use: use["_longest"] >= tokens_in_term,
-    )
-    candidates = counts.select("*", F.inline(uses)).withColumn(
-        "_part", F.pmod(F.xxhash64("term"), F.lit(RANK_PARTS))
-    )
-    kept = _most_frequent(candidates, ["setting", "representation", "_part"])
-    kept = _most_frequent(kept, ["setting", "representation"])
+    kept = None
+    for r in representations:
+        candidates = counts if r.longest > 1 else counts.where(~F.contains("term", F.lit(" ")))
+        best = _most_frequent(candidates, r.max_features).withColumn("representation", F.lit(r.name))
+        kept = best if kept is None else kept.unionByName(best)
     in_order = Window.partitionBy("setting", "representation").orderBy("term")
     return kept.select(
         "setting",
@@ -125,16 +106,16 @@ def fitted_vocabulary(
     )
 
 
-def _most_frequent(candidates: DataFrame, group: list[str]) -> DataFrame:
-    """The `_cap` most frequent terms of each group.
+def _most_frequent(candidates: DataFrame, cap: int) -> DataFrame:
+    """The most frequent terms of each setting.
 
-    Called for parts first and then for the survivors of all parts, so the last
-    sort sees at most parts times cap terms however large the language is.
+    The cap is a constant, so each task keeps no more than that many terms before
+    the shuffle, however large the language is.
     """
-    best_first = Window.partitionBy(*group).orderBy(F.desc("total"), "term")
+    best_first = Window.partitionBy("setting").orderBy(F.desc("total"), "term")
     return (
         candidates.withColumn("_position", F.row_number().over(best_first))
-        .where(F.col("_position") <= F.col("_cap"))
+        .where(F.col("_position") <= cap)
         .drop("_position")
     )
 
@@ -150,8 +131,8 @@ def feature_rows(
 
     Unknown terms are dropped before the rows of a document are put together again;
     only its first entry stays in any case, so that a document without a known
-    term keeps its row with empty arrays. The vocabulary has at most cap rows per setting and
-    representation, which bounds the broadcast.
+    term keeps its row with empty arrays. A vocabulary has at most cap rows per setting and
+    representation; whether it is broadcast is left to its size.
     """
     representations = list(representations)
     keys = [id_col, S.LABEL, "split", "setting"]
@@ -164,7 +145,7 @@ def feature_rows(
     placed = entries.select(
         *keys, "_place", F.col("_entry.term").alias("term"), F.col("_entry.tf").alias("tf")
     )
-    matched = placed.join(F.broadcast(by_term), ["setting", "term"], "left")
+    matched = placed.join(by_term, ["setting", "term"], "left")
     is_known = F.coalesce(*[F.col(f"_idx{i}") for i in range(len(representations))]).isNotNull()
     known = matched.where(is_known | (F.coalesce("_place", F.lit(0)) == 0))
     lists = [

@@ -46,6 +46,7 @@ def missing_summary(gaps: DataFrame) -> DataFrame:
         F.count_if(title_blank | text_blank).alias("h"),
         F.count_if(title_blank & text_blank).alias("i"),
     )
+    # The names of the measures.
     return measure_table(
         one_row,
         {
@@ -105,6 +106,7 @@ def data_quality_summary(narrow: DataFrame, usable_columns: int = 3) -> DataFram
         F.count(F.lit(1)).alias("_articles"),
         *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in totals],
     )
+    # The names of the measures.
     return measure_table(
         one_row,
         {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ID_BITS = 20
@@ -14,18 +14,24 @@ def ranked_by_id(ids: DataFrame, id_col: str, name: str, *, bits: int = ID_BITS)
 
     A bucket is a run of 2^bits neighbouring ids, so it can hold no more than
     2^bits rows whatever the data look like. Buckets are added up within ranges
-    of 2^bits buckets and the ranges among themselves: every window below is
-    bounded by the width of an id, not by the number of rows.
+    of 2^bits buckets, ranges within wide ranges of 2^bits ranges, and those among
+    themselves, of which a long id has 2^(64 - 3 bits) at most: every window below
+    is bounded by the width of an id, not by the number of rows.
     """
     bucketed = ids.withColumn("_bucket", F.shiftright(F.col(id_col), bits))
     buckets = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     ranged = buckets.withColumn("_range", F.shiftright(F.col("_bucket"), bits))
     ranges = ranged.groupBy("_range").agg(F.sum("_rows").alias("_range_rows"))
-    before_range = ranges.select(
-        "_range",
-        (F.sum("_range_rows").over(Window.orderBy("_range")) - F.col("_range_rows")).alias(
-            "_before_range"
-        ),
+    widened = ranges.withColumn("_wide", F.shiftright(F.col("_range"), bits))
+    wides = widened.groupBy("_wide").agg(F.sum("_range_rows").alias("_wide_rows"))
+    before_wide = wides.withColumn(
+        "_before_wide", F.sum("_wide_rows").over(Window.orderBy("_wide")) - F.col("_wide_rows")
+    ).select("_wide", "_before_wide")
+    in_wide = Window.partitionBy("_wide").orderBy("_range")
+    before_range = (
+        widened.withColumn("_inside", F.sum("_range_rows").over(in_wide) - F.col("_range_rows"))
+        .join(before_wide, "_wide")
+        .select("_range", (F.col("_inside") + F.col("_before_wide")).alias("_before_range"))
     )
     in_range = Window.partitionBy("_range").orderBy("_bucket")
     offsets = (
@@ -51,26 +57,27 @@ def with_random_order(df: DataFrame, id_col: str, seed: int) -> DataFrame:
 
 
 def ranked_up_to(
-    ordered: DataFrame, take: Column, stratum: str, name: str, id_col: str
+    ordered: DataFrame, takes: DataFrame, stratum: str, name: str, id_col: str
 ) -> DataFrame:
-    """Rank rows in random order within the stratum; keep ranks below `take`.
+    """Rank rows in random order within the stratum; keep ranks below the stratum's `take`.
 
-    Buckets are counted first. Their offsets (2^16 rows for each stratum at most,
-    a fixed bound) are broadcast, and buckets behind the limit are dropped before
-    the one shuffle of rows. No task sees more than one bucket at a time.
+    `takes` has a row for each stratum that is wanted; its other columns come along. Buckets
+    are counted first, and those behind the limit are dropped by the join on bucket. No task
+    sees more than one bucket at a time.
     """
     sizes = ordered.groupBy(stratum, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     running = Window.partitionBy(stratum).orderBy("_bucket")
     offsets = (
         sizes.withColumn("_offset", F.sum("_rows").over(running) - F.col("_rows"))
-        .where(F.col("_offset") < take)
+        .join(takes, stratum)
+        .where(F.col("_offset") < F.col("take"))
         .drop("_rows")
     )
     in_bucket = Window.partitionBy(stratum, "_bucket").orderBy("_order", id_col)
     return (
-        ordered.join(F.broadcast(offsets), [stratum, "_bucket"])
+        ordered.join(offsets, [stratum, "_bucket"])
         .withColumn("_position", F.row_number().over(in_bucket))
         .withColumn(name, F.col("_offset") + F.col("_position") - 1)
-        .where(F.col(name) < take)
-        .drop("_position", "_offset", "_bucket", "_order")
+        .where(F.col(name) < F.col("take"))
+        .drop("_position", "_offset", "_bucket", "_order", "take")
     )

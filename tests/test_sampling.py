@@ -50,9 +50,15 @@ def test_sampled_split_covers_the_sample_once(spark):
     assert same == set(rows(split, "article_id"))
 
 
-@pytest.mark.parametrize("sizes", [{0: 41, 1: 300}, {0: 7, 1: 8}, {0: 5, 1: 5, 2: 5}, {0: 1500, 1: 1500}])
-def test_quotas_add_up(sizes):
-    train, val = Sa.split_quotas(sizes)
+def quotas(spark, sizes):
+    table = spark.createDataFrame(list(sizes.items()), "label int, rows long")
+    found = {r[0]: (r[1], r[2]) for r in rows(Sa.split_quotas(table), "label", "train", "val")}
+    return {k: v[0] for k, v in found.items()}, {k: v[1] for k, v in found.items()}
+
+
+@pytest.mark.parametrize("sizes", [{0: 41, 1: 300}, {0: 17, 1: 18}, {0: 15, 1: 15, 2: 15}, {0: 1500, 1: 1500}])
+def test_quotas_add_up(spark, sizes):
+    train, val = quotas(spark, sizes)
     total = sum(sizes.values())
     held = -(-total // 5)
     assert sum(train.values()) == total - held
@@ -62,9 +68,25 @@ def test_quotas_add_up(sizes):
         assert 0 <= val[label] <= rows_ - train[label]
 
 
-def test_shares_by_largest_remainder():
-    assert Sa.shared_out(12, {0: 7, 1: 8}) == {0: 6, 1: 6}
-    assert Sa.shared_out(3, {0: 5, 1: 5}) == {0: 2, 1: 1}
+@pytest.mark.parametrize("sizes", [{0: 5, 1: 5}, {0: 1, 1: 20}, {0: 100, 1: 4}, {0: 3, 1: 3, 2: 3}])
+def test_too_few_held_out_rows_are_refused(spark, sizes):
+    with pytest.raises(ValueError, match="Too few rows"):
+        quotas(spark, sizes)
+
+
+def test_shares_by_largest_remainder(spark):
+    def shares(total, weights):
+        table = spark.createDataFrame(list(weights.items()), "label int, rows long")
+        return dict(rows(Sa.shared_out(table, total, "rows", "share"), "label", "share"))
+
+    assert shares(12, {0: 7, 1: 8}) == {0: 6, 1: 6}
+    assert shares(3, {0: 5, 1: 5}) == {0: 2, 1: 1}
+
+
+def test_thousands_of_classes(spark):
+    df = spark.range(40000).select(F.col("id").alias("article_id"), (F.col("id") % 2000).cast("int").alias("label"))
+    assert counts(Sa.sample_and_split(df), "split") == {("train",): 32000, ("val",): 4000, ("test",): 4000}
+    assert Sa.downsample(df, 3).count() == 6000
 
 
 def test_ranks_are_exact_and_hot_buckets_irrelevant(spark):
@@ -74,7 +96,8 @@ def test_ranks_are_exact_and_hot_buckets_irrelevant(spark):
 
     df = labelled(spark, 100, 900, 6)
     ordered = with_random_order(df, "article_id", 9)
-    got = rows(ranked_up_to(ordered, F.lit(50), "label", "rank", "article_id"), "article_id", "label", "rank")
+    takes = spark.createDataFrame([(0, 50), (1, 50)], "label int, take long")
+    got = rows(ranked_up_to(ordered, takes, "label", "rank", "article_id"), "article_id", "label", "rank")
     for label, ids in ((0, range(100)), (1, range(100, 1000))):
         order = sorted(ids, key=lambda i: hashlib.md5(f"9:{i}".encode()).hexdigest())
         assert sorted((r, i) for i, l, r in got if l == label) == list(enumerate(order[:50]))

@@ -46,7 +46,7 @@ def test_conflicting_labels_stop_the_run(spark):
     good = keyed(St.stage1_rows(raw(spark)))
     D.require_no_conflicts(D.article_groups(good))
     bad = keyed(St.stage1_rows(raw(spark, [*RAW, (5, "A", "x", 0)])))
-    with pytest.raises(ValueError, match="Found 1 duplicate article groups"):
+    with pytest.raises(ValueError, match="1 articles have copies"):
         D.require_no_conflicts(D.article_groups(bad))
 
 
@@ -105,7 +105,7 @@ def test_label_checks(spark):
         with pytest.raises(Exception, match="missing or not numeric"):
             C.with_integer_labels(spark.createDataFrame([(wrong,)], "label string")).collect()
     numbers = spark.createDataFrame([(0,), (3,), (2,), (1,)], "label int")
-    with pytest.raises(ValueError, match=r"Unexpected labels: \[2, 3\]"):
+    with pytest.raises(ValueError, match=r"\[2, 3\]"):
         C.require_label_domain(numbers)
     assert rows(C.label_domain(numbers)) == [(0,), (1,), (2,), (3,)]
 
