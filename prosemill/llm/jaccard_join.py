@@ -23,7 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosemill.llm import frames
@@ -33,6 +33,7 @@ from prosemill.llm.shared import kept
 
 SHINGLE, THRESHOLD, TOLERANCE = 5, 0.8, 1e-6
 BANDS, ROWS, LOOK = 32, 4, 16
+FIRST_BANDS = 6
 HASHES = BANDS * ROWS
 #: Nodes of a bucket compared together, and bytes of text of a component verified together.
 BLOCK_NODES, BLOCK_BYTES = 512, 2 << 20
@@ -281,13 +282,14 @@ def _verified_block(columns: list) -> list[list]:
     return [node[own].tolist(), links[own].tolist(), node[label[own]].tolist()]
 
 
-def _signatures(df: DataFrame) -> DataFrame:
-    """Every row as it is, with its place in the table, text, and signature; written once."""
-    rows = df.select(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("place"),
-    )
-    rows = kept(rows, "jaccard_rows")
+def _text() -> Column:
+    return F.coalesce(F.col("row.text"), F.lit(""))
+
+
+def _signatures(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every row as it is, with its place in the table; and its signature. Both are written once."""
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    rows = kept(rows.withColumn("place", F.monotonically_increasing_id()), "jaccard_rows")
 
     def prepare():
         def work(batch: list[str]) -> list:
@@ -295,10 +297,36 @@ def _signatures(df: DataFrame) -> DataFrame:
 
         return work
 
-    signed = frames.map_texts(rows.select("doc_id", "place", "text"), "key binary, n int, sig binary, bands array<bigint>", prepare)
+    texts = rows.select(F.col("row.doc_id").alias("doc_id"), "place", _text().alias("text"))
+    signed = frames.map_texts(texts, "key binary, n int, sig binary, bands array<bigint>", prepare)
     return rows, kept(signed, "signatures")
 
 
+def _loose(nodes: DataFrame, bands: slice, labels: DataFrame | None) -> DataFrame:
+    """Links (a, b) between nodes that survive the comparison in a bucket of some bands.
+
+    Of buckets with the same nodes one is enough, and one whose nodes all have one label already
+    has nothing to add.
+    """
+    some = F.slice("bands", bands.start + 1, bands.stop - bands.start)
+    if labels is None:
+        known = nodes.withColumn("label", F.col("node"))
+    else:
+        known = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    member = known.select("node", "label", F.explode(some).alias("bucket"))
+    buckets = member.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"),
+        F.min("node").alias("first"), F.max("node").alias("last"),
+        F.min("label").alias("low"), F.max("label").alias("high"),
+    )
+    mixed = buckets.where("size > 1 AND low < high")
+    alike = mixed.groupBy("size", "sum", "first", "last").agg(F.min("bucket").alias("bucket"))
+    chosen = alike.select("bucket", F.ceil(F.col("size") / BLOCK_NODES).alias("blocks"))
+    placed = member.join(chosen, "bucket").join(nodes.select("node", "sig"), "node")
+    blocks = _blocked(placed.select("bucket", "blocks", "node", "sig"), "bucket", "blocks")
+    return by_group(blocks, ["bucket", "low", "high"], ["node"], "a bigint, b bigint", _compared, 2)
+
+
 def jaccard_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All rows, and for each row its place, class and number of links.
 
@@ -314,22 +342,15 @@ def jaccard_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     nodes = kept(found.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    # buckets with more than one node; of buckets with the same nodes one is enough
-    member = nodes.select("node", F.explode("bands").alias("bucket"))
-    buckets = member.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"),
-        F.min("node").alias("first"), F.max("node").alias("last"),
-    )
-    alike = buckets.where("size > 1").groupBy("size", "sum", "first", "last").agg(F.min("bucket").alias("bucket"))
-    chosen = alike.select("bucket", F.ceil(F.col("size") / BLOCK_NODES).alias("blocks"))
-    placed = member.join(chosen, "bucket").join(nodes.select("node", "sig"), "node").select("bucket", "blocks", "node", "sig")
-    blocks = _blocked(placed, "bucket", "blocks")
-    loose = by_group(blocks, ["bucket", "low", "high"], ["node"], "a bigint, b bigint", _compared, 2)
-    groups = components(loose)
+    # a few bands join most of what belongs together; of the others only buckets that hold
+    # several components can add to them
+    first = kept(_loose(nodes, slice(0, FIRST_BANDS), None), "loose")
+    second = kept(_loose(nodes, slice(FIRST_BANDS, BANDS), components(first)), "loose")
+    groups = components(first.unionByName(second))
 
     # verify inside each loose component
     at = nodes.select("node", "place", "sig").join(groups, "node")
-    texts = kept(at.join(rows.select("place", "text"), "place").select("label", "node", "sig", "text"), "members")
+    texts = kept(at.join(rows.select("place", _text().alias("text")), "place").select("label", "node", "sig", "text"), "members")
     sizes = texts.groupBy("label").agg(F.ceil(F.sum(F.octet_length("text") + 200) / BLOCK_BYTES).alias("blocks"))
     pieces = _blocked(texts.join(sizes, "label").select("label", "blocks", "node", "sig", "text"), "label", "blocks")
     checked = kept(
