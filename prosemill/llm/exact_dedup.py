@@ -24,7 +24,9 @@ STATE = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
-    # without compaction in the background each batch writes only what it changed
+    # many small stores: no room is set aside on disk before it is needed
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # each batch writes only what it changed
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 #: The log arrives in about so many batches.
