@@ -27,7 +27,7 @@ from prosemill.llm.wavelet import WaveletMatrix
 #: A shard closes when it holds so many tokens.
 SHARD_TOKENS = 1 << 20
 #: A task remembers the ids of so many words (memory, not results).
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 #: Blanks of str.split that the tokenizer does not take for white space.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 SHARDS = "part int, shard int, n_tokens bigint, image binary"
