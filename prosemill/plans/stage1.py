@@ -46,9 +46,9 @@ def run(
     read keys and labels only. The numbered rows, behind the one shuffle of texts,
     are written once as well, in folders from which each table reads its own.
     """
-    rows = C.require_label_domain(prepared(raw))
-    keyed = St.stage1_rows(rows).withColumn(S.CONTENT_KEY, St.content_key(S.TITLE, S.TEXT))
-    keyed = C.require_unique(written(keyed, "stage1"), S.ROW_ID)
+    rows = St.stage1_rows(prepared(raw))
+    keyed = written(rows.withColumn(S.CONTENT_KEY, St.content_key(S.TITLE, S.TEXT)), "stage1")
+    keyed = C.require_unique(C.require_label_domain(keyed), S.ROW_ID)
     require_no_conflicts(article_groups(keyed.select(S.ROW_ID, S.LABEL, S.CONTENT_KEY)))
     numbered = St.numbered_articles(
         keyed.drop(S.CONTENT_KEY), keyed=keyed.select(S.ROW_ID, S.CONTENT_KEY)
