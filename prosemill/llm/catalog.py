@@ -93,4 +93,37 @@ FROM (
            count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size
     FROM documents
 )""",
+    "op7_decontamination": r"""
+WITH doc_words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+),
+item_words AS (
+    SELECT CAST(item_id AS VARCHAR) AS item_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+),
+windows AS (
+    SELECT DISTINCT item_id, least(len(words), 10) AS size, array_to_string(words[k : k + 9], ' ') AS window_text
+    FROM (SELECT *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS k FROM item_words WHERE len(words) > 0)
+),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+    SELECT doc_id, size, k, array_to_string(words[k : k + size - 1], ' ') AS window_text
+    FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS k FROM doc_words, sizes)
+),
+found AS (SELECT doc_id, k, p.size, item_id FROM places p JOIN windows w ON w.size = p.size AND w.window_text = p.window_text),
+hits AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(k, k + size)) AS place FROM found) GROUP BY doc_id
+),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
+    FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
 }

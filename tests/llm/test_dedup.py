@@ -1,14 +1,12 @@
 import hashlib
 from collections import defaultdict
 
-import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from prosemill.llm.catalog import ORACLE, QUERIES
 from prosemill.llm.exact_dedup import dedup_report, exact_groups, without_copies
 from tests.conftest import rows
-from tests.llm.common import AWKWARD, SF, awkward, empty
+from tests.llm.common import AWKWARD, awkward, empty
 
 
 def brute(pairs):
@@ -48,12 +46,3 @@ def test_a_hot_text(spark):
     df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(5)
     assert dedup_report(df).where("kept").count() == 4001
     assert rows(dedup_report(df).where("text_sha256 = sha2('hot', 256)").select("keep_id", "group_size").distinct()) == [(5997, 2000)]
-
-
-def test_query_agrees_with_sql(spark):
-    duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
-    for name, sql in ORACLE.items():
-        found = duck.execute(sql)
-        names = [d[0] for d in found.description]
-        assert sorted(rows(QUERIES[name](spark, SF), *names)) == sorted(found.fetchall())
