@@ -56,7 +56,9 @@ def arrow_schema(fields: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in pairs])
 
 
-def map_texts(df: DataFrame, fields: str, prepare: Callable[[], Callable[[list[str]], list]]) -> DataFrame:
+def map_texts(
+    df: DataFrame, fields: str, prepare: Callable[[], Callable[[list[str]], list]], limit: int = SLICE_BYTES
+) -> DataFrame:
     """Add columns worked out from each text; the text itself is left out.
 
     `prepare` runs once in a task and gives a function from a list of texts to one
@@ -69,7 +71,7 @@ def map_texts(df: DataFrame, fields: str, prepare: Callable[[], Callable[[list[s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = prepare()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=limit):
                 columns = work(part.column("text").to_pylist())
                 arrays = [part.column(f.name) for f in kept]
                 arrays += [pa.array(c, type=f.type) for c, f in zip(columns, added, strict=True)]

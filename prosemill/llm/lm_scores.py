@@ -17,6 +17,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ from prosemill.llm.shared import kept
 SENT_WORDS = 1 << 18
 #: A round trains on a run of this share of each text, of at least so many symbols.
 RUN_SHARE, LEAST_RUN, ROUNDS = 8, 32, 2
+#: Texts of about so many bytes are scored side by side.
+SIDE_BY_SIDE = 32 << 20
 #: A task holds counts of so many words, then hands them on.
 HELD = 400_000
 #: Fixed: small letters, and the word that stands for a text's end (no word is empty).
@@ -71,6 +74,11 @@ def word_counts(df: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def suffix(word: bytes) -> int:
+    """Input symbol of a word that has none of its own."""
+    return R.SYMBOLS + zlib.crc32(word[-2:]) % R.SUFFIXES
+
+
 class Lexicon:
     """Counts of the words that were sent, and the symbols of the most frequent ones."""
 
@@ -79,29 +87,35 @@ class Lexicon:
         ranked = sorted(words, key=lambda w: (-w[1], w[0]))
         named = [w for w, _ in ranked if w != END_WORD][: R.SYMBOLS - 2]
         symbol = {END_WORD: R.END} | {w: i + 2 for i, w in enumerate(named)}
-        #: Each word's symbol and the logarithm of its smoothed count.
-        self.known = {w: (symbol.get(w, R.OTHER), float(np.log10(n + 0.5))) for w, n in words}
+        #: Place of each word in the arrays below, whose last entry is for words that were not sent.
+        self.places = {w: i for i, (w, _) in enumerate(words)}
+        self.targets = np.array([*(symbol.get(w, R.OTHER) for w, _ in words), R.OTHER])
+        self.inputs = np.array([*(symbol[w] if w in symbol else suffix(w) for w, _ in words), 0])
+        #: Logarithms of smoothed counts.
+        self.logs = np.array([*(float(np.log10(n + 0.5)) for _, n in words), 0.0])
         share = np.zeros(R.SYMBOLS)
         whole = total + 0.5 * (distinct + 1)
         for word, n in words:
             if word in symbol:
                 share[symbol[word]] = (n + 0.5) / whole
-        if END_WORD not in self.known:
+        if END_WORD not in self.places:
             share[R.END] = 0.5 / whole / 2  # nothing was learned: the end and the others share what is left
         share[R.OTHER] = max(1.0 - share.sum(), 1e-12)
         self.share = share
         #: Logarithm of what the words without a symbol weigh together.
         self.rest = float(np.log10(share[R.OTHER])) + self.scale
 
-    def symbols(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Input and target symbols of a text, which ends with END."""
-        known, other = self.known, (R.OTHER, 0.0)
-        targets = np.fromiter((known.get(w, other)[0] for w in words), dtype=np.int64, count=len(words))
-        inputs = np.empty(len(words) + 1, dtype=np.int64)
-        inputs[0], inputs[1:] = R.END, targets
-        for at in np.flatnonzero(targets == R.OTHER):
-            inputs[at + 1] = R.SYMBOLS + zlib.crc32(words[at][-2:]) % R.SUFFIXES
-        return inputs, np.append(targets, R.END)
+    def placed(self, words: list[bytes]) -> np.ndarray:
+        """Place of each word, -1 if it was not sent."""
+        return np.fromiter(map(self.places.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+
+    def symbols(self, words: list[bytes], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Input and target symbols of a text, which ends with END; `at` is what `placed` gave."""
+        inputs = self.inputs[at]
+        for i in np.flatnonzero(at < 0).tolist():
+            inputs[i] = suffix(words[i])
+        first, last = np.array([R.END]), np.array([R.END])
+        return np.concatenate([first, inputs]).astype(np.int16), np.concatenate([self.targets[at], last]).astype(np.int16)
 
 
 @lru_cache(maxsize=1)
@@ -142,7 +156,8 @@ def _trained(df: DataFrame, lexicon, weights: R.Weights, number: int) -> R.Weigh
                     length = max(LEAST_RUN, (len(words) + 1) // RUN_SHARE)
                     room = max(1, len(words) + 2 - length)
                     at = zlib.crc32(f"{number} {len(text)} {text[:64]}".encode("utf-8", "replace")) % room
-                    inputs, targets = known.symbols(words[max(0, at - 1) : at + length])
+                    some = words[max(0, at - 1) : at + length]
+                    inputs, targets = known.symbols(some, known.placed(some))
                     begin = min(at, 1)  # the symbol before a run is its first input
                     last = len(words) + 1 - max(0, at - 1)
                     stop = min(begin + length, last if at + length > len(words) else begin + length)
@@ -170,27 +185,28 @@ def _partial(df: DataFrame, lexicon, weights: R.Weights) -> DataFrame:
     def prepare():
         known = _lexicon(lexicon)
         model = R.unpacked(sent.value, R.initial(known.share))
+        has_end = END_WORD in known.places
+        end = float(known.logs[known.places[END_WORD]]) if has_end else float(np.log10(0.5))
 
         def work(batch: list[str]) -> list:
-            split = [tokens(text) for text in batch]
-            encoded = [known.symbols(words) for words in split]
-            scores = R.document_scores(model, encoded) / np.log(10.0)
-            end = known.known.get(END_WORD)
-            columns: list[list] = [[] for _ in range(7)]
-            for words, (_, targets), score in zip(split, encoded, scores, strict=True):
-                found = [known.known.get(w) for w in words]
-                base = sum([f[1] for f in found if f is not None]) + (end[1] if end else float(np.log10(0.5)))
-                inner = sum([f[1] for f in found if f is not None and f[0] == R.OTHER])
-                rare = Counter([w for w, f in zip(words, found, strict=True) if f is None])
-                row = (len(words) + 1, len(words) - rare.total() + bool(end), base, float(score) + inner,
-                       int((targets == R.OTHER).sum()), list(rare), list(rare.values()))
+            encoded, columns = [], [[] for _ in range(7)]
+            for text in batch:
+                words = tokens(text)
+                at = known.placed(words)
+                symbols = known.symbols(words, at)
+                encoded.append(symbols)
+                logs, other, unsent = known.logs[at], symbols[1][:-1] == R.OTHER, np.flatnonzero(at < 0)
+                rare = Counter([words[i] for i in unsent.tolist()])
+                row = (len(words) + 1, len(words) - len(unsent) + has_end, float(logs.sum()) + end,
+                       float(logs[other].sum()), int(other.sum()), list(rare), list(rare.values()))
                 for column, value in zip(columns, row, strict=True):
                     column.append(value)
+            columns[3] = np.array(columns[3]) + R.document_scores(model, encoded) / np.log(10.0)
             return columns
 
         return work
 
-    return frames.map_texts(df, PARTIAL, prepare)
+    return frames.map_texts(df, PARTIAL, prepare, SIDE_BY_SIDE)
 
 
 def lm_scores(df: DataFrame, training: DataFrame, rounds: int = ROUNDS) -> DataFrame:
