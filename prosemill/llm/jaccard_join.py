@@ -161,10 +161,10 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest row that each row hangs together with."""
     label = np.arange(n)
     while len(a):
-        low = np.minimum(label[a], label[b])
         before = label.copy()
-        np.minimum.at(label, a, low)
-        np.minimum.at(label, b, low)
+        low = np.minimum(before[a], before[b])
+        for of in (a, b, before[a], before[b]):  # a row's label too, so that whole trees are hooked
+            np.minimum.at(label, of, low)
         label = label[label]
         if (label == before).all():
             break

@@ -119,3 +119,16 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame([*chain, *star, (7, 7), (9, 8)], "a long, b long").repartition(6)
     got = dict(rows(components(df), "node", "label"))
     assert got == {**dict.fromkeys(range(100, 161), 100), **dict.fromkeys(range(500, 700), 500), 8: 8, 9: 8}
+
+
+@pytest.mark.parametrize("order", ["shuffled", "falling"])
+def test_components_of_long_chains(spark, order):
+    """Chains whose numbers do not rise along them: 0-1199-1198-...-1, and one in any order."""
+    numbers = list(range(1, 1200))[::-1]
+    if order == "shuffled":
+        random.Random(4).shuffle(numbers)
+    chain = [0, *numbers]
+    df = spark.createDataFrame(list(zip(chain, chain[1:], strict=False)), "a long, b long").repartition(4)
+    assert dict(rows(components(df), "node", "label")) == dict.fromkeys(range(1200), 0)
+    a, b = np.array(chain[:-1]), np.array(chain[1:])
+    assert (J.roots(1200, a, b) == 0).all()
