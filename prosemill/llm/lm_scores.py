@@ -5,10 +5,10 @@ others share one symbol, whose probability is handed on to them by their counts.
 probabilities add up to one over the same words as those of the unigram base, and at the start of
 training they are the base.
 
-The network is trained where the texts are: in each round every task goes on from the same weights
-over a run of symbols of every training text (a fixed share of it, at another place each round),
-and the tasks' weights are averaged by the symbols they saw. Scoring reads every text whole, the
-state carried from window to window.
+The network is trained where the texts are, in one pass over every symbol of every training text.
+The pass is cut into rounds by a hash of the text: in each round every task goes on from the same
+weights over its texts of that round, each whole, and the tasks' weights are averaged by the
+symbols they saw. Training and scoring carry the state from window to window through a text.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosemill.llm import frames
@@ -31,8 +31,8 @@ from prosemill.llm.shared import kept
 
 #: At most so many frequent words are sent to the tasks; the counts of others are joined.
 SENT_WORDS = 1 << 18
-#: A round trains on a run of this share of each text, of at least so many symbols.
-RUN_SHARE, LEAST_RUN, ROUNDS = 8, 32, 2
+#: The pass over the training texts is cut into so many rounds.
+ROUNDS = 2
 #: Texts of about so many bytes are scored side by side.
 SIDE_BY_SIDE = 32 << 20
 #: A task holds counts of so many words, then hands them on.
@@ -140,8 +140,13 @@ def frequent(counts: DataFrame) -> tuple[list[tuple[bytes, int]], int, int]:
     return sorted(zip(rows.column("word").to_pylist(), rows.column("n").to_pylist(), strict=True)), total, distinct
 
 
-def _trained(df: DataFrame, lexicon, weights: R.Weights, number: int) -> R.Weights:
-    """One round: every task trains on a run of each of its texts, then weights are averaged."""
+def in_round(number: int, rounds: int) -> Column:
+    """Whether a text's turn is in this round; each text has its turn in one."""
+    return F.pmod(F.xxhash64("text"), F.lit(rounds)) == number
+
+
+def _trained(df: DataFrame, lexicon, weights: R.Weights) -> R.Weights:
+    """One round: every task trains on the whole of each of its texts, then weights are averaged."""
     size = len(R.packed(weights))
     start = df.sparkSession.sparkContext.broadcast(R.packed(weights))
 
@@ -150,20 +155,12 @@ def _trained(df: DataFrame, lexicon, weights: R.Weights, number: int) -> R.Weigh
         trainer, seen = R.Trainer(R.unpacked(start.value, R.initial(known.share))), 0
         for batch in batches:
             for part in frames.slices(batch):
-                runs = []
+                encoded = []
                 for text in part.column("text").to_pylist():
                     words = tokens(text)
-                    length = max(LEAST_RUN, (len(words) + 1) // RUN_SHARE)
-                    room = max(1, len(words) + 2 - length)
-                    at = zlib.crc32(f"{number} {len(text)} {text[:64]}".encode("utf-8", "replace")) % room
-                    some = words[max(0, at - 1) : at + length]
-                    inputs, targets = known.symbols(some, known.placed(some))
-                    begin = min(at, 1)  # the symbol before a run is its first input
-                    last = len(words) + 1 - max(0, at - 1)
-                    stop = min(begin + length, last if at + length > len(words) else begin + length)
-                    runs.append((inputs[begin:stop], targets[begin:stop]))
-                trainer.train(runs)
-                seen += sum(len(t) for _, t in runs)
+                    encoded.append(known.symbols(words, known.placed(words)))
+                trainer.train(encoded)
+                seen += sum(len(t) for _, t in encoded)
         if seen:
             values = np.append(R.packed(trainer.weights) * (seen / 1e6), seen / 1e6)
             yield frames.pieces_of(values, TaskContext.get().partitionId() // frames.FAN_IN)
@@ -213,8 +210,9 @@ def lm_scores(df: DataFrame, training: DataFrame, rounds: int = ROUNDS) -> DataF
     """Per row: tokens, known tokens, training tokens, base and model log10 probability.
 
     A null text counts as empty and is its end alone; repeated rows are learned from and scored
-    each; without training texts every token has the base's probability for an unseen one. Only
-    the most frequent words, at most SENT_WORDS, are sent to tasks.
+    each; without training texts every token has the base's probability for an unseen one. Every
+    training token is trained on once, in one of the rounds. Only the most frequent words, at most
+    SENT_WORDS, are sent to tasks.
     """
     context = df.sparkSession.sparkContext
     learned = frames.texts(training)
@@ -224,7 +222,7 @@ def lm_scores(df: DataFrame, training: DataFrame, rounds: int = ROUNDS) -> DataF
     plan = Lexicon(words, total, distinct)
     weights = R.initial(plan.share)
     for number in range(rounds):
-        weights = _trained(learned, lexicon, weights, number)
+        weights = _trained(learned.where(in_round(number, rounds)), lexicon, weights)
     rows = _partial(frames.texts(df), lexicon, weights).withColumn("row", F.monotonically_increasing_id())
     rows = kept(rows, "scored")
 

@@ -1,4 +1,6 @@
+import json
 import re
+import uuid
 import zlib
 from collections import Counter
 
@@ -6,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from prosemill.llm import lm_scores as L
 from prosemill.llm import recurrent as R
 from prosemill.llm.frames import table
 from prosemill.llm.lm_scores import lm_report, lm_scores
@@ -126,3 +129,30 @@ def _exact(weights, texts):
             state, _ = R._step(weights, np.array([x]), state)
             total += float(R.log_probabilities(weights, state, np.array([y]))[0])
     return total
+
+
+def test_training_reads_every_token_once(spark, tmp_path, monkeypatch):
+    """What the trainers get over all rounds is every training text, whole, as often as it occurs."""
+    seen = str(tmp_path)
+
+    class Watched(R.Trainer):
+        def train(self, texts):
+            super().train(texts)
+            with open(f"{seen}/{uuid.uuid4().hex}", "w") as out:
+                out.writelines(json.dumps([x.tolist(), y.tolist()]) + "\n" for x, y in texts)
+
+    class Recurrent:
+        Trainer = Watched
+
+        def __getattr__(self, name):
+            return getattr(R, name)
+
+    monkeypatch.setattr(L, "R", Recurrent())
+    pairs = [(i, " ".join(f"w{(i * 7 + k) % 90}" for k in range(n))) for i, n in enumerate([0, 1, 31, 300, 2000, 2000, 700])] + [(7, "w1 w2")] * 3
+    df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(2)
+    lm_scores(df, df)
+    got = sorted(line for f in tmp_path.iterdir() for line in f.read_text().splitlines())
+    counts = Counter(w.encode() for _, t in pairs for w in words(t))
+    known = L.Lexicon(sorted(counts.items()), counts.total(), len(counts))
+    whole = [known.symbols(w, known.placed(w)) for w in (L.tokens(t) for _, t in pairs)]
+    assert got == sorted(json.dumps([x.tolist(), y.tolist()]) for x, y in whole)
