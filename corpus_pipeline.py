@@ -20,7 +20,7 @@ from prosemill.llm.shared import kept
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, whose language cannot be told, go."""
+    """Documents without a letter go; those with letters stay, whatever language is predicted."""
     return with_language(docs)
 
 

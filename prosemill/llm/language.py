@@ -132,7 +132,8 @@ class Classifier:
 
 
 def predicted_languages(df: DataFrame, profiles: DataFrame, *more: str) -> DataFrame:
-    """Per row its predicted language and score; null texts and texts without a letter are `und`.
+    """Per row its predicted language and score, and whether its text has a letter. Null texts and
+    texts without a letter are `und`; if no language was learned, so are all.
 
     The profiles (at most PROFILE rows for each language that was learned) are fetched and sent to
     the executors. Repeated rows are judged each; other columns than those asked for are left out.
@@ -145,23 +146,25 @@ def predicted_languages(df: DataFrame, profiles: DataFrame, *more: str) -> DataF
 
         def work(batch: list[str]) -> list:
             found = [classifier.predict(text) for text in batch]
-            return [[lang for lang, _ in found], [score for _, score in found]]
+            letters = [lang != UNDETERMINED or len(grams(text)) > 0 for text, (lang, _) in zip(batch, found, strict=True)]
+            return [[lang for lang, _ in found], [score for _, score in found], letters]
 
         return work
 
-    return frames.map_texts(frames.texts(df, *more), "lang_pred string, score double", prepare)
+    return frames.map_texts(frames.texts(df, *more), "lang_pred string, score double, has_letter boolean", prepare)
 
 
 def with_language(df: DataFrame) -> DataFrame:
-    """The rows whose language can be told, with all their columns as they came. Profiles are
-    learned from the rows' own `lang`."""
+    """The rows with a letter, with all their columns as they came. Only texts without one are
+    undetermined for what they are; where no row has a `lang` to learn from, or `lang` itself says
+    `und`, texts with letters stay."""
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), "doc_id", "text")
     found = predicted_languages(rows, language_profiles(df), "row")
-    return found.where(F.col("lang_pred") != UNDETERMINED).select("row.*")
+    return found.where("has_letter").select("row.*")
 
 
 def language_report(df: DataFrame) -> DataFrame:
     """Learn from the rows outside the held-out fold, predict for all."""
     held_out = frames.in_fold(4, 2)
     found = predicted_languages(df, language_profiles(df.where(~held_out)))
-    return found.withColumn("held_out", held_out)
+    return found.drop("has_letter").withColumn("held_out", held_out)

@@ -69,3 +69,12 @@ def test_awkward_rows(spark):
     none = empty(spark).withColumn("lang", F.lit(None).cast("string"))
     assert language_report(none).count() == 0
     assert {r[0] for r in rows(language_report(df.withColumn("lang", F.lit(None).cast("string"))), "lang_pred")} == {"und"}
+
+
+def test_texts_with_letters_stay_when_nothing_was_learned(spark):
+    from pyspark.sql import functions as F
+
+    for lang in (None, "und"):
+        df = awkward(spark).withColumn("lang", F.lit(lang).cast("string"))
+        kept = with_language(df)
+        assert kept.columns == df.columns and sorted({r[0] or 0 for r in rows(kept, "doc_id")}) == [0, 1, 5, 6, 8, 9, 11, 12]
