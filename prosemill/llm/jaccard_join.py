@@ -134,16 +134,18 @@ def surviving(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndar
     return a, b
 
 
-def block_pairs(second: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def block_pairs(second: np.ndarray, crossing: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs to compare, in bounded runs: all of one block, or those across two blocks.
 
-    `second` tells which rows belong to the second block; with none there is one block.
+    `second` tells which rows belong to the second of two blocks. If one of the two has no rows
+    there is nothing to compare; the pairs inside the other have a run of their own.
     """
     n = len(second)
-    crossing = second.any() and not second.all()
     if crossing:
         left, right = np.flatnonzero(~second), np.flatnonzero(second)
-        step = max(1, 200_000 // len(right))
+        step = max(1, 200_000 // max(len(right), 1))
+        if not len(right):
+            return
         for at in range(0, len(left), step):
             some = left[at : at + step]
             yield np.repeat(some, len(right)), np.tile(right, len(some))
@@ -221,23 +223,23 @@ def _blocked(df: DataFrame, key: str, blocks: str) -> DataFrame:
     rows = df.withColumn("block", block).withColumn("other", other)
     return rows.select(
         key, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        (F.col("block") > F.col("other")).alias("second"), *[c for c in df.columns if c not in (key, blocks)],
+        (F.col("block") != F.col("other")).alias("crossing"), (F.col("block") > F.col("other")).alias("second"), *[c for c in df.columns if c not in (key, blocks)],
     )
 
 
 def _compared(columns: list) -> list[list]:
     """One pair of blocks of a bucket: each node that survives with another, and the smallest such."""
-    second, nodes, values = columns
+    crossing, second, nodes, values = columns
     node = np.array(nodes, dtype=np.int64)
     table = np.frombuffer(b"".join(values), dtype=np.uint8).reshape(len(node), HASHES)
-    left, right = _survivors(table, np.array(second))
+    left, right = _survivors(table, np.array(second), any(crossing))
     label = roots(len(node), left, right)
     own = np.flatnonzero(label != np.arange(len(node)))
     return [node[own].tolist(), node[label[own]].tolist()]
 
 
-def _survivors(table: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found = [surviving(table, a, b) for a, b in block_pairs(second)]
+def _survivors(table: np.ndarray, second: np.ndarray, crossing: bool) -> tuple[np.ndarray, np.ndarray]:
+    found = [surviving(table, a, b) for a, b in block_pairs(second, crossing)]
     if not found:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
@@ -270,10 +272,10 @@ def verified(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, thresh
 
 def _verified_block(columns: list) -> list[list]:
     """One pair of blocks of a component: links of each node, and the smallest node it hangs together with."""
-    second, nodes, values, texts = columns
+    crossing, second, nodes, values, texts = columns
     node = np.array(nodes, dtype=np.int64)
     table = np.frombuffer(b"".join(values), dtype=np.uint8).reshape(len(node), HASHES)
-    left, right = _survivors(table, np.array(second))
+    left, right = _survivors(table, np.array(second), any(crossing))
     order = np.argsort(left, kind="stable")
     left, right = verified([shingles(t) for t in texts], left[order], right[order])
     links = np.bincount(left, minlength=len(node)) + np.bincount(right, minlength=len(node))

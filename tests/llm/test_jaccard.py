@@ -132,3 +132,18 @@ def test_components_of_long_chains(spark, order):
     assert dict(rows(components(df), "node", "label")) == dict.fromkeys(range(1200), 0)
     a, b = np.array(chain[:-1]), np.array(chain[1:])
     assert (J.roots(1200, a, b) == 0).all()
+
+
+def test_few_long_copies_in_many_blocks(spark, monkeypatch):
+    """Pairs of near copies that give as many blocks as nodes, so that half of them share one: each
+    link counts once."""
+    monkeypatch.setattr(J, "BLOCK_BYTES", 3_000)
+    texts = [f"{random_text(700 + i // 2, 400)} new{i}" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(rows(J.jaccard_report(df), "doc_id", "class_id", "n_links")) == [(i, i // 2 * 2, 1) for i in range(40)]
+
+
+def test_no_pairs_beside_an_empty_block():
+    for second in ([False] * 3, [True] * 3):
+        assert not list(J.block_pairs(np.array(second), True))
+    assert sum(len(a) for a, _ in J.block_pairs(np.array([False] * 3), False)) == 3
