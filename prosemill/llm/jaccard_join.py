@@ -271,17 +271,22 @@ def verified(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, thresh
 
 
 def _verified_block(columns: list) -> list[list]:
-    """One pair of blocks of a component: links of each node, and the smallest node it hangs together with."""
-    crossing, second, nodes, values, texts = columns
+    """One pair of blocks of a component: nodes and different texts each node is linked to, and the
+    smallest node it hangs together with."""
+    crossing, second, nodes, values, variants, texts = columns
     node = np.array(nodes, dtype=np.int64)
     table = np.frombuffer(b"".join(values), dtype=np.uint8).reshape(len(node), HASHES)
     left, right = _survivors(table, np.array(second), any(crossing))
     order = np.argsort(left, kind="stable")
     left, right = verified([shingles(t) for t in texts], left[order], right[order])
     links = np.bincount(left, minlength=len(node)) + np.bincount(right, minlength=len(node))
+    weights = np.array(variants, dtype=np.int64)
+    linked = np.zeros(len(node), dtype=np.int64)
+    np.add.at(linked, left, weights[right])
+    np.add.at(linked, right, weights[left])
     label = roots(len(node), left, right)
     own = np.flatnonzero(links)
-    return [node[own].tolist(), links[own].tolist(), node[label[own]].tolist()]
+    return [node[own].tolist(), links[own].tolist(), linked[own].tolist(), node[label[own]].tolist()]
 
 
 def _text() -> Column:
@@ -300,6 +305,7 @@ def _signatures(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         return work
 
     texts = rows.select(F.col("row.doc_id").alias("doc_id"), "place", _text().alias("text"))
+    texts = texts.withColumn("digest", F.unhex(F.md5("text")))
     signed = frames.map_texts(texts, "key binary, n int, sig binary, bands array<bigint>", prepare)
     return rows, kept(signed, "signatures")
 
@@ -330,11 +336,12 @@ def _loose(nodes: DataFrame, bands: slice, labels: DataFrame | None) -> DataFram
 
 
 def jaccard_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All rows, and for each row its place, class and number of links.
+    """All rows, and for each row its place, class and numbers of links.
 
     A class is a set of texts that hang together by links, a link joins two different shingle sets
     with a similarity of THRESHOLD or more. `class_id` is the smallest id in the class; `n_links`
-    counts the sets a text is linked to; `keeper` is the place of the row that stands for the
+    counts the sets a text is linked to; `n_text_links` the different texts it is linked to, those
+    with the same set as its own among them; `keeper` is the place of the row that stands for the
     class. Texts without words are never linked, each row is a class of its own; null texts count
     as empty. Repeated rows and rows with the same set share class and links. Null ids sort last.
     """
@@ -342,7 +349,8 @@ def jaccard_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = signed.where("n > 0").groupBy("key").agg(
         F.min("place").alias("place"), F.first("sig").alias("sig"), F.first("bands").alias("bands")
     )
-    nodes = kept(found.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    variants = signed.where("n > 0").select("key", "digest").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("variants"))
+    nodes = kept(found.join(variants, "key").withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     # a few bands join most of what belongs together; of the others only buckets that hold
     # several components can add to them
@@ -351,33 +359,37 @@ def jaccard_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = components(first.unionByName(second))
 
     # verify inside each loose component
-    at = nodes.select("node", "place", "sig").join(groups, "node")
-    texts = kept(at.join(rows.select("place", _text().alias("text")), "place").select("label", "node", "sig", "text"), "members")
+    at = nodes.select("node", "place", "sig", "variants").join(groups, "node")
+    texts = kept(at.join(rows.select("place", _text().alias("text")), "place").select("label", "node", "sig", "variants", "text"), "members")
     sizes = texts.groupBy("label").agg(F.ceil(F.sum(F.octet_length("text") + 200) / BLOCK_BYTES).alias("blocks"))
-    pieces = _blocked(texts.join(sizes, "label").select("label", "blocks", "node", "sig", "text"), "label", "blocks")
+    pieces = _blocked(texts.join(sizes, "label").select("label", "blocks", "node", "sig", "variants", "text"), "label", "blocks")
     checked = kept(
-        by_group(pieces, ["label", "low", "high"], ["node"], "node bigint, links bigint, root bigint", _verified_block, 3),
+        by_group(pieces, ["label", "low", "high"], ["node"], "node bigint, links bigint, texts bigint, root bigint", _verified_block, 4),
         "verified",
     )
-    links = checked.groupBy("node").agg(F.sum("links").alias("n_links"))
+    links = checked.groupBy("node").agg(F.sum("links").alias("n_links"), F.sum("texts").alias("n_text_links"))
     labels = components(checked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     linked = links.join(labels, "node")
 
     # back to all rows: by key to the node, by label to the class
-    numbered = signed.select("doc_id", "place", "key", "n").where("n > 0").join(nodes.select("key", "node"), "key")
+    numbered = signed.select("doc_id", "place", "key", "n").where("n > 0").join(nodes.select("key", "node", "variants"), "key")
     entry = F.struct(F.col("doc_id").isNull().alias("gone"), "doc_id", "place")
-    per_node = numbered.groupBy("node").agg(F.min(entry).alias("first")).join(linked, "node", "left")
-    per_node = kept(per_node.select("node", "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("label", "node").alias("label")), "node_classes")
+    per_node = numbered.groupBy("node").agg(F.min(entry).alias("first"), F.first("variants").alias("variants")).join(linked, "node", "left")
+    text_links = F.coalesce("n_text_links", F.lit(0)) + F.col("variants") - 1
+    per_node = kept(per_node.select(
+        "node", "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), text_links.alias("n_text_links"), F.coalesce("label", "node").alias("label")
+    ), "node_classes")
     firsts = per_node.groupBy("label").agg(F.min("first").alias("best"))
-    classes = per_node.join(firsts, "label").select("node", "best", "n_links")
-    known = numbered.join(classes, "node").select("doc_id", "place", F.col("best.doc_id").alias("class_id"), "n_links", F.col("best.place").alias("keeper"))
-    alone = signed.where("n = 0").select("doc_id", "place", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), F.col("place").alias("keeper"))
+    classes = per_node.join(firsts, "label").select("node", "best", "n_links", "n_text_links")
+    known = numbered.join(classes, "node").select("doc_id", "place", F.col("best.doc_id").alias("class_id"), "n_links", "n_text_links", F.col("best.place").alias("keeper"))
+    none = F.lit(0).cast("bigint")
+    alone = signed.where("n = 0").select("doc_id", "place", F.col("doc_id").alias("class_id"), none.alias("n_links"), none.alias("n_text_links"), F.col("place").alias("keeper"))
     return rows, known.unionByName(alone)
 
 
 def jaccard_report(df: DataFrame) -> DataFrame:
-    """One row per row: id, class and number of links."""
-    return jaccard_classes(df)[1].select("doc_id", "class_id", "n_links")
+    """One row per row: id, class, and the numbers of shingle sets and of different texts it is linked to."""
+    return jaccard_classes(df)[1].select("doc_id", "class_id", "n_links", "n_text_links")
 
 
 def one_per_class(df: DataFrame) -> DataFrame:

@@ -147,3 +147,16 @@ def test_no_pairs_beside_an_empty_block():
     for second in ([False] * 3, [True] * 3):
         assert not list(J.block_pairs(np.array(second), True))
     assert sum(len(a) for a, _ in J.block_pairs(np.array([False] * 3), False)) == 3
+
+
+def test_links_between_different_texts(spark):
+    """Different texts with the same set are linked to each other, and each counts for a third one."""
+    base = random_text(801, 60)
+    other = random_text(803, 60)
+    texts = [base, base.upper(), base.replace(" ", ", "), base, f"{base} more", f"{base} more", other, other.upper(), random_text(802, 60), "", None]
+    different = sorted({t for t in texts if t})
+    likes = {t: sum(len(shingle_set(t) & shingle_set(u)) >= 0.8 * len(shingle_set(t) | shingle_set(u)) for u in different if u != t) for t in different}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = dict(rows(J.jaccard_report(df), "doc_id", "n_text_links"))
+    assert got == {i: likes.get(t, 0) for i, t in enumerate(texts)}
+    assert [got[i] for i in (0, 1, 4, 6, 8)] == [3, 3, 3, 1, 0]
