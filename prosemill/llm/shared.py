@@ -17,9 +17,9 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/prosemill/{name}-{uuid.uuid4().hex}"
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
+def kept(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write a table to the shared folder and read it back: later steps start from the files,
     also after executors are lost, and read only the columns they need."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

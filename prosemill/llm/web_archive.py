@@ -54,7 +54,7 @@ def decided(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     first in the table as written here.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    rows = kept(rows.withColumn("locator", F.monotonically_increasing_id()), "pages")
+    rows = kept(rows.withColumn("locator", F.monotonically_increasing_id()), "pages", "zstd")
     own = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "locator", "url")
     keys = kept(rows.select(F.sha2("html", 256).alias("key"), F.octet_length("html").alias("size"), own.alias("own")), "payload_keys")
     groups = keys.where(F.col("size") >= least_bytes).groupBy("key").agg(F.min("own").alias("first"), F.count(F.lit(1)).alias("copies"))
@@ -66,9 +66,9 @@ def decided(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
 
 def write_archives(
     pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES,
-    volume_bytes: int = VOLUME_BYTES, least_bytes: int = LEAST_BYTES,
+    volume_bytes: int = VOLUME_BYTES, least_bytes: int = LEAST_BYTES, compression: str = "gzip",
 ) -> None:
-    """Write a record for every page, in volumes under `path`.
+    """Write a record for every page, in volumes under `path`, each one gzip member (or `none`).
 
     A null page counts as empty; a null url leaves its field out; repeated rows are records each; a
     page of any length is cut into segments; an empty table gives no volumes. Other columns are
@@ -95,7 +95,7 @@ def write_archives(
         F.col("first.locator").alias("first_locator"), F.col("first.url").alias("first_url"),
     )
     volumes = rows.mapInArrow(run, "volume binary").select(F.col("volume").cast("string"))
-    volumes.write.option("lineSep", warc.END.decode()).option("maxRecordsPerFile", 1).text(path)
+    volumes.write.option("lineSep", warc.END.decode()).option("maxRecordsPerFile", 1).text(path, compression=compression)
 
 
 def _records(row: dict, segment_bytes: int, chunk_bytes: int) -> Iterator[bytes]:
