@@ -161,7 +161,7 @@ def _reached(keys: pa.RecordBatch, pivot: Key) -> np.ndarray:
     return (score > pivot.score) | ((score == pivot.score) & tie)
 
 
-def _sides(keys: DataFrame, pivot: Key | None) -> list[list[tuple[int, Key]]]:
+def _sides(keys: DataFrame, pivot: Key | None, block_keys: int) -> list[list[tuple[int, Key]]]:
     """Size and median, per block, of the keys drawn before the pivot and of those after it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,14 +183,14 @@ def _sides(keys: DataFrame, pivot: Key | None) -> list[list[tuple[int, Key]]]:
                 found = batch.filter(pa.array(chosen))
                 if found.num_rows:
                     held[side].append(found)
-                    if sum(b.num_rows for b in held[side]) >= BLOCK:
+                    if sum(b.num_rows for b in held[side]) >= block_keys:
                         yield closed(side)
         for side in (0, 1):
             if held[side]:
                 yield closed(side)
 
     sides: list[list[tuple[int, Key]]] = [[], []]
-    for row in keys.mapInArrow(run, SIDES).collect():  # one or two rows a block of BLOCK keys
+    for row in keys.mapInArrow(run, SIDES).collect():  # one or two rows a block
         sides[row["side"]].append((row["size"], Key(row["score"], row["doc_id"], row["locator"])))
     return sides
 
@@ -206,7 +206,7 @@ def weighted_median(medians: list[tuple[int, Key]]) -> Key:
     raise ValueError("No keys.")
 
 
-def cutoff(keys: DataFrame, count: int) -> Key | None:
+def cutoff(keys: DataFrame, count: int, block_keys: int = BLOCK, few: int = FEW) -> Key | None:
     """The key drawn as number `count`; None if there is none.
 
     At least half of the blocks' keys lie beyond their medians on either side of the pivot, so each
@@ -215,7 +215,7 @@ def cutoff(keys: DataFrame, count: int) -> Key | None:
     written, wanted = keys, count
     low: Key | None = None  # everything up to it is drawn
     high: Key | None = None  # everything from it on is not
-    medians = _sides(keys, None)[0]
+    medians = _sides(keys, None, block_keys)[0]
     left = size = sum(n for n, _ in medians)
     if count <= 0 or count > left:
         return None
@@ -226,9 +226,9 @@ def cutoff(keys: DataFrame, count: int) -> Key | None:
             rows = rows.where(~low.reached())
         return rows if high is None else rows.where(high.reached() & (F.col("locator") != high.locator))
 
-    while left > FEW:
+    while left > few:
         pivot = weighted_median(medians)
-        sides = _sides(between(), pivot)
+        sides = _sides(between(), pivot, block_keys)
         before = sum(n for n, _ in sides[0])
         if wanted == before + 1:
             return pivot
@@ -239,8 +239,8 @@ def cutoff(keys: DataFrame, count: int) -> Key | None:
         if left * SHRINK <= size:
             written, size = kept(between(), "keys"), left
             low = high = None
-    few = sorted((Key(*row) for row in between().collect()), key=Key.order)
-    return few[wanted - 1]
+    last = sorted((Key(*row) for row in between().collect()), key=Key.order)
+    return last[wanted - 1]
 
 
 def ranks(winners: DataFrame) -> DataFrame:
