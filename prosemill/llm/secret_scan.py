@@ -1,14 +1,17 @@
 """Secret scan by lexing assignments.
 
-Beside three plain patterns, a text is read line by line as source code or configuration: names
-and the literals assigned to them are paired, whether quoted or bare, by `=`, `:`, `:=` or `=>`,
-with string keys (`config["db_password"]`), and joined by `+`. A name that was assigned a literal
-stands for it in later lines of the text, so a literal takes its score from every name it reaches.
-A literal is reported when a sensitive name and its own look add up.
+Beside three plain patterns, a text is lexed as source code or configuration: names and the literals
+assigned to them are paired, by `=`, `:`, `:=`, `=>` or `+=`, in chains, with string keys
+(`config["db_password"]`), as arguments of calls, joined by `+`, on the next line, in brackets, in
+triple quotes, and in markup. An unquoted word is a reference in source code and a value in
+configuration (`NAME=value`, `name: value`, below a `[section]`). A name stands for the literals it was
+last given, until it gets something else; a literal takes its score from every name it reaches, and
+is reported when a sensitive name and its own look add up.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter
@@ -42,11 +45,20 @@ HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "bearer", "auth"
 HEX_BYTES = bytes(chr(b) in "0123456789abcdef" for b in range(256))
 LONG_RUN = b"\1" * 32
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|change_?me|example|placeholder|dummy|none|null|true|false|undefined|your[_-].*|<.*>|\$\{.*\}|\$\(.*\)|%\(?\w+\)?s?|\{\{.*\}\})$")
+#: A value without quotes, up to the next blank or bracket.
 VALUE = re.compile(r"""[^\s"'`,;(){}\[\]<>+]+""")
 TOKEN = re.compile(
-    r"""(?P<text>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)|(?P<sets>:=|=>|==|!=|<=|>=|=|:)|(?P<plus>\+)"""
-    r"""|(?P<note>//|\#|--)|(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]*)|(?P<bare>[^\s"'`=:+,;(){}\[\]<>]+)|(?P<end>[,;(){}<>])|(?P<key>[\[\]])"""
+    r"""(?P<text>(?<![A-Za-z0-9_])(?:[rbfuRBFU]{1,2})?(?:\"{3}[\s\S]*?\"{3}|'{3}[\s\S]*?'{3}|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`))"""
+    r"""|(?P<skip>::|->|\\\n)|(?P<sets>\+=|:=|=>|===?|!==?|<=|>=|=|:)|(?P<plus>\+)|(?P<note>(?<![^\s;])(?://|\#|--))"""
+    r"""|(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]*)|(?P<line>\n)|(?P<open>[(\[{])|(?P<close>[)\]}])|(?P<end>[,;<>])"""
+    r"""|(?P<bare>[^\s"'`=:+,;(){}\[\]<>]+)"""
 )
+SECTION = re.compile(r"(?m)^[ \t]*\[[\w .:-]+\][ \t]*$")
+ELEMENT = re.compile(r"<([A-Za-z_][\w.:-]*)>\s*([^<>\s]+)\s*</\1>")
+TAG = re.compile(r"<[A-Za-z][^<>]*>")
+ATTRIBUTE = re.compile(r"""([\w:.-]+)\s*=\s*("[^"]*"|'[^']*')""")
+#: Attributes that name what another attribute holds, and that one.
+NAMING, HELD = ("key", "name", "id"), "value"
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 LEAST_SCORE = 1.2
 
@@ -72,62 +84,204 @@ def plausibility(literal: str) -> float:
     return min(1.0, 0.2 * kinds + 0.15 * entropy)
 
 
-def pairs(text: str) -> list[tuple[str, list[Span]]]:
-    """Name and literals of each assignment, in order; a name on the right stands for the literals
-    it was last assigned."""
-    constants: dict[str, list[Span]] = {}
-    found = []
-    begin = 0
-    for line in text.split("\n"):
-        end = begin + len(line)
-        if "=" in line or ":" in line:
-            for name, literals in _line(text, begin, end, constants):
-                if literals:
-                    constants[name] = literals
-                    found.append((name, literals))
-        begin = end + 1
+class Frame:
+    """What is open between two brackets: the names being assigned, and what they get."""
+
+    def __init__(self, receiver: list | None = None):
+        self.around = receiver  # what an unnamed literal in here goes to
+        self.idle()
+
+    def idle(self) -> None:
+        self.targets: list[str] = []
+        self.sign = ""
+        self.children: list = []
+        self.waits = False  # for a value
+        self.bare = False  # nothing stands behind the sign yet
+        self.config = False  # an unquoted word is a value, not a reference
+        self.next_line = False
+        self.alone: tuple[str, int] | None = None  # the only operand so far, if it is a name
+
+    @property
+    def receiver(self) -> list | None:
+        return self.children if self.targets else self.around
+
+
+class Assignments:
+    """The assignments of one text, in order: each is a node with its literals and the nodes of the
+    names on its right, as they stood there. A node has one entry for each operand, so a text's
+    nodes are no larger than the text, however its names refer to each other."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.nodes: list[tuple[list[str], list]] = []
+        self.current: dict[str, int] = {}  # the node of each name that holds literals
+        self.section = SECTION.search(text)
+        self.frames = [Frame()]
+        self.name: str | None = None
+        self._read()
+
+    def _commit(self, frame: Frame) -> None:
+        if frame.targets:
+            if frame.children:
+                self.nodes.append((frame.targets, frame.children))
+            for target in frame.targets:
+                if frame.children:
+                    self.current[target] = len(self.nodes) - 1
+                else:  # it holds something else now
+                    self.current.pop(target, None)
+        frame.idle()
+
+    def _read(self) -> None:
+        text, behind, last, last_end = self.text, 0, "", 0
+        for token in TOKEN.finditer(text):
+            kind, a, b = token.lastgroup, token.start(), token.end()
+            if a < behind or kind == "skip":
+                continue
+            frame = self.frames[-1]
+            if kind == "line":
+                if last == "line" and not text[last_end:a].strip():  # an empty line closes what was left open
+                    for left in reversed(self.frames):
+                        self._commit(left)
+                    self.frames, self.name = [Frame()], None
+                elif len(self.frames) == 1:
+                    if frame.targets and frame.bare:
+                        frame.next_line = True
+                    elif not frame.waits or not frame.targets:
+                        self._commit(frame)
+                    self.name = None
+            elif kind == "note":
+                if frame.targets and not frame.waits:
+                    self._commit(frame)
+                    stop = text.find("\n", b)
+                    behind = len(text) if stop < 0 else stop
+            elif kind == "sets":
+                self._sign(frame, token.group(), a, b)
+            elif kind == "plus":
+                frame.waits, frame.alone = True, None
+            elif kind == "end":
+                self._commit(frame)
+                self.name = None
+            elif kind == "open":
+                # behind a word it is a call or a subscript; what stands in a subscript is a key
+                subscript = token.group() == "[" and a > 0 and (text[a - 1].isalnum() or text[a - 1] in "_])")
+                inner = None if subscript or token.group() == "{" else frame.receiver
+                frame.waits, frame.bare, frame.alone, frame.next_line = False, False, None, False
+                self.frames.append(Frame(inner))
+            elif kind == "close":
+                self._commit(frame)
+                if len(self.frames) > 1:
+                    self.frames.pop()
+            else:
+                behind = self._word(frame, kind, token, last == "text")
+            last, last_end = kind, b
+        for left in reversed(self.frames):
+            self._commit(left)
+
+    def _sign(self, frame: Frame, sign: str, a: int, b: int) -> None:
+        name, self.name = self.name, None
+        if sign in ("==", "===", "!=", "!==", "<=", ">="):
+            frame.children = []
+            self._commit(frame)
+        elif name is not None:
+            if frame.targets and frame.alone and frame.alone[0] == name:
+                del frame.children[frame.alone[1] :]  # a chain, or a type between name and value
+                if not (frame.sign == ":" and sign == "="):
+                    frame.targets.append(name)
+            else:
+                self._commit(frame)
+                frame.targets = [name]
+            frame.sign, frame.waits, frame.bare, frame.alone = sign, True, True, None
+            if sign == "+=" and name in self.current:
+                frame.children.append(self.current[name])
+            apart = self.text[a - 1 : a].isspace() or self.text[b : b + 1].isspace()
+            frame.config = len(self.frames) == 1 and (sign == ":" or self.section is not None or not apart)
+
+    def _word(self, frame: Frame, kind: str, token: re.Match, behind_text: bool) -> int:
+        """Take a literal or a name; gives the place to read on from."""
+        text, a, b = self.text, token.start(), token.end()
+        if frame.next_line:
+            frame.next_line = False
+            if kind != "text":
+                self._commit(frame)
+        if kind == "text":
+            quoted = token.group().lstrip("rbfuRBFU")
+            marks = 3 if quoted[:3] in ('"""', "\'\'\'") and len(quoted) >= 6 else 1
+            begin, end = b - len(quoted) + marks, b - marks
+            word = text[begin:end]
+            begin += len(word) - len(word.lstrip())
+            span = (begin, max(begin, end - (len(word) - len(word.rstrip()))))
+        else:
+            word, span = token.group(), (a, b)
+        receiver, named, frame.bare = frame.receiver, bool(frame.targets), False
+        if receiver is not None and (not named or frame.waits or kind == "text" and behind_text):
+            first = not receiver and named
+            before = len(receiver)
+            if kind == "text":
+                receiver.append(span)
+            elif kind == "name" and text[b : b + 1] == "(":
+                pass  # a call gives what it gives
+            elif kind == "name" and word in self.current:
+                receiver.append(self.current[word])
+            elif named and (kind == "bare" or frame.config):
+                span = VALUE.match(text, a).span()
+                if text[span[1] : span[1] + 1] != "(":
+                    receiver.append(span)
+                b = span[1]
+            if named:
+                frame.alone = (word, before) if first and kind == "name" else None
+                frame.waits = False
+        else:
+            frame.alone = None
+        self.name = word
+        return b
+
+
+def markup(text: str) -> list[tuple[str, Span]]:
+    """Name and literal of elements, and of attributes that another attribute of their tag names."""
+    found = [(m[1], m.span(2)) for m in ELEMENT.finditer(text)]
+    for tag in TAG.finditer(text):
+        attributes = {m[1].lower(): m for m in ATTRIBUTE.finditer(text, tag.start(), tag.end())}
+        held = attributes.get(HELD)
+        for naming in NAMING:
+            if held and naming in attributes:
+                found.append((attributes[naming][2][1:-1], (held.start(2) + 1, held.end(2) - 1)))
+    return found
+
+
+def literals(text: str) -> dict[Span, float]:
+    """Every literal that reaches a name, and how sensitive the most sensitive of those names is."""
+    found: dict[Span, float] = {}
+    if "<" in text:
+        for name, span in markup(text):
+            found[span] = max(found.get(span, 0.0), sensitivity(name))
+    nodes = Assignments(text).nodes
+    reached = [0.0] * len(nodes)
+    for i in range(len(nodes) - 1, -1, -1):  # a node is only used by later ones
+        targets, children = nodes[i]
+        score = max(reached[i], *map(sensitivity, targets))
+        for child in children:
+            if isinstance(child, int):
+                reached[child] = max(reached[child], score)
+            else:
+                found[child] = max(found.get(child, 0.0), score)
     return found
 
 
-def _line(text: str, begin: int, end: int, constants: dict[str, list[Span]]):
-    """Assignments of one line: the last name before the sign is the target."""
-    target, name, value, joined = None, None, [], True
-    behind = begin  # where an unquoted value that was taken whole ends
-    for token in TOKEN.finditer(text, begin, end):
-        kind, a, b = token.lastgroup, token.start(), token.end()
-        if a < behind:
-            continue
-        if kind == "note" and value:
-            break
-        if kind == "sets":
-            sign = token.group()
-            if sign in ("==", "!=", "<=", ">="):
-                target, name, value = None, None, []
-            elif name is not None:
-                if target is not None and value and sign != ":":
-                    yield target, value[:-1]
-                target, name, value, joined = name, None, [], True
-        elif kind == "end":
-            if target is not None:
-                yield target, value
-            target, name, value, joined = None, None, [], True
-        elif kind == "plus":
-            joined = True
-        elif kind in ("text", "name", "bare"):
-            inner = (a + 1, b - 1) if kind == "text" else (a, b)
-            word = text[slice(*inner)]
-            if target is not None and joined:
-                if kind == "name" and word in constants:
-                    value = value + constants[word]
-                else:
-                    if kind != "text":
-                        inner = VALUE.match(text, a, end).span()
-                        behind = inner[1]
-                    value = [*value, inner]
-                joined = False
-            name = word
-    if target is not None:
-        yield target, value
+def _outside(spans_: list[Span], taken: list[Span]) -> list[Span]:
+    """The spans that touch none of the taken ones."""
+    merged: list[list[int]] = []
+    for a, b in sorted(taken):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    ends = [b for _, b in merged]
+    out = []
+    for a, b in spans_:
+        at = bisect.bisect_right(ends, a)  # the first that ends behind its start
+        if at == len(merged) or merged[at][0] >= b:
+            out.append((a, b))
+    return out
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -148,15 +302,11 @@ def spans(text: str) -> list[tuple[str, int, int]]:
     base = base_spans(text)
     found = list(base)
     low = text.lower()
-    if any(hint in low for hint in HINTS):
-        scores: dict[Span, float] = {}
-        for name, literals in pairs(text):
-            sensitive = sensitivity(name)
-            for literal in literals if sensitive else ():
-                scores[literal] = max(scores.get(literal, 0.0), sensitive)
-        for (a, b), sensitive in scores.items():
+    if ("=" in text or ":" in text or "<" in text) and any(hint in low for hint in HINTS):
+        sensitive = {span: score for span, score in literals(text).items() if score}
+        for a, b in _outside(list(sensitive), [(s, e) for _, s, e in base]):
             looks = plausibility(text[a:b])
-            if looks and sensitive + looks >= LEAST_SCORE and not any(a < e and s < b for _, s, e in base):
+            if looks and sensitive[a, b] + looks >= LEAST_SCORE:
                 found.append(("literal", a, b))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
@@ -164,7 +314,8 @@ def spans(text: str) -> list[tuple[str, int, int]]:
 def secret_spans(df: DataFrame) -> DataFrame:
     """Per row its spans as `spans` array of (kind, begin, end), in code points, end exclusive.
 
-    A null text counts as empty; repeated rows are scanned each; other columns are left out.
+    A null text counts as empty; repeated rows are scanned each; a text of any length is scanned
+    whole, in time that grows in proportion; an empty table gives no rows; other columns are left out.
     """
     kept = [f for f in frames.texts(df).schema.fields if f.name != "text"]
     fields = "spans array<struct<kind:string,begin:int,end:int>>"

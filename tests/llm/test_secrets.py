@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
 
@@ -41,6 +43,21 @@ def test_plain_patterns_stay(text):
         ('if password == "hunter22x":', []), ("pass_key: *****", []), ("password: ${DB_PASSWORD}", []),
         ('token_count = "A1b2C3d4!!"', []), ("the token of the key: nothing here", []), ('title = "A1b2C3d4!!"', []),
         ('public_key = "A1b2C3d4!!"', []),
+        # references and calls are no literals, arguments are
+        ("db_pwd = load_from_vault()", []), ("auth_key = compute_digest(data)", []), ("db_pwd = other_name", []),
+        ('db_pwd = getenv("X", "Zx9!kq2Lm0pQr")', ["Zx9!kq2Lm0pQr"]), ('login(user="bob", db_pwd="Zx9!kq2Lm0")', ["Zx9!kq2Lm0"]),
+        ('f(db_pwd=value_of_it)', []), ("DB_PWD=Abc99_xyzQ", ["Abc99_xyzQ"]), ("[db]\npwd = Abc99_xyzQ", ["Abc99_xyzQ"]),
+        ('x = conf["Zx9!kq2Lm0"]\ndb_pwd = x', []), ('db_pwd: str = "Zx9!kq2Lm0"', ["Zx9!kq2Lm0"]),
+        # chains, later lines, brackets, markup
+        ('db_pwd = conn = "Zx9!kq2Lm0"', ["Zx9!kq2Lm0"]), ('conn = db_pwd = "Zx9!kq2Lm0"', ["Zx9!kq2Lm0"]),
+        ('{"db_pwd":\n    "Zx9!kq2Lm0"}', ["Zx9!kq2Lm0"]), ('db_pwd = (\n  "Zx9!kq2Lm0"\n)', ["Zx9!kq2Lm0"]),
+        ('auth_keys = ["Zx9!kq2Lm0", "Yy8?kq2Lm1"]', ["Zx9!kq2Lm0", "Yy8?kq2Lm1"]),
+        ('db_pwd = """\nZx9!kq2Lm0\n"""', ["Zx9!kq2Lm0"]), ('db_pwd = "Zx9!" + \\\n  "kq2Lm0"', ["kq2Lm0"]),
+        ('<db pwd="Zx9!kq2Lm0"/>', ["Zx9!kq2Lm0"]), ('<add key="DbPwd" value="Zx9!kq2Lm0"/>', ["Zx9!kq2Lm0"]),
+        ("<dbPwd> Zx9!kq2Lm0 </dbPwd>", ["Zx9!kq2Lm0"]),
+        # a name loses its literal with the next value
+        ('x = "Zx9!kq2Lm0"\nx = load()\ndb_pwd = x', []), ('x = "Zx9!kq2Lm0"\nx += "tail!!1A"\ndb_pwd = x', ["Zx9!kq2Lm0", "tail!!1A"]),
+        ('same = db_pwd == "Zx9!kq2Lm0"', []), ("it isn't the key: don't say 'Zx9!kq2Lm0'", []),
     ],
 )
 def test_literals_by_the_names_they_reach(text, literals):
@@ -63,3 +80,46 @@ def test_awkward_rows(spark):
     found = sorted(rows(secret_report(df), "doc_id", "n_assign", "spans"))
     assert found == [(1, 1, "assign:0:14"), (1, 1, "assign:700:714"), (2, 0, "")]
     assert secret_spans(awkward(spark)).count() == awkward(spark).count() and secret_report(empty(spark)).count() == 0
+
+
+def test_names_that_refer_to_themselves_cost_little():
+    text = 'a = "Zx9!kq2Lm0"\n' + "a = a + a\n" * 20_000 + "db_pwd = a\n"
+    start = time.perf_counter()
+    assert spans(text) == [("literal", 5, 15)]
+    many = "".join(f'a = a + "Zx9!kq2L{i:06}"\n' for i in range(20_000)) + "db_pwd = a\npassword=abcdefgh1\n" * 5_000
+    assert len(spans(many)) == 25_000
+    assert time.perf_counter() - start < 20
+
+
+def test_very_long_texts():
+    for text in ("x" * 5_000_000, "key=" + "x" * 5_000_000, "the key: of it 'all " * 250_000, "('[{" * 600_000 + "key"):
+        assert [s for s in spans(text) if s[0] != "literal"] == plain(text)
+    assert spans("word " * 1_000_000 + 'db_pwd = "Zx9!kq2Lm0"') == [("literal", 5_000_010, 5_000_020)]
+
+
+def naive(program):
+    """Literals that reach a sensitive name, by following every name at every step."""
+    holds, reach = {}, {}
+    for target, operands, adds in program:
+        mine = set(holds.get(target, ())) if adds else set()
+        for operand in operands:
+            mine |= {operand} if operand.startswith("L") else holds.get(operand, set())
+        holds[target] = mine
+        for literal in mine:
+            reach.setdefault(literal, set()).add(target)
+    return {literal for literal, names in reach.items() if any("pwd" in n for n in names)}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_propagation_by_following_names(seed):
+    rng = random.Random(seed)
+    names, program, lines = [f"n{i}" for i in range(8)] + ["my_pwd"], [], []
+    for k in range(rng.randrange(5, 60)):
+        target, adds = rng.choice(names), rng.random() < 0.2
+        operands = [rng.choice([*names, f"L{k}x{j}?Aa1!z"]) for j in range(rng.randrange(0, 4))]
+        program.append((target, operands, adds))
+        right = rng.choice([" + ", " + ", " +\n  "]).join(f'"{o}"' if o.startswith("L") else o for o in operands) or "load()"
+        lines.append(f"{target} {'+=' if adds else '='} {right}")
+    text = "\n".join(lines)
+    found = {text[a:b] for kind, a, b in spans(text) if kind == "literal"}
+    assert found == naive(program)
