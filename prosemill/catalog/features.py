@@ -25,30 +25,41 @@ UNIGRAM = Fe.tfidf_unigram(UNIGRAM_CAP)
 UNI_BIGRAM = Fe.tfidf_uni_bigram(BIGRAM_CAP)
 BOW = Fe.bow_unigram(UNIGRAM_CAP)
 
+# Title and body are tokenized; the third setting is their join by definition.
+INPUTS = Fe.Inputs({"title": "clean_title", "body": "clean_body"}, ("combined", "title", "body"))
+
 
 def split(spark: SparkSession, sf_dir: str, per_class: int | None = None) -> DataFrame:
     return Sa.sample_and_split(labels(spark, sf_dir), per_class, id_col=S.ROW_ID)
 
 
-def split_texts(spark: SparkSession, sf_dir: str, parts: DataFrame | None = None) -> DataFrame:
-    """Lowered title, body and both of all labelled documents with their split part."""
-    parts = split(spark, sf_dir) if parts is None else parts
-    docs = documents(spark, sf_dir).select(
+def lowered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).select(
         S.ROW_ID, F.lower(S.TITLE).alias("clean_title"), F.lower(S.TEXT).alias("clean_body")
     )
+
+
+def split_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lowered title, body and both of all labelled documents with their split part."""
+    docs = lowered(spark, sf_dir)
     docs = docs.withColumn("clean_title_body", joined(F.col("clean_title"), F.col("clean_body")))
     columns = list(S.INPUT_SETTINGS.values())
-    return Sa.split_texts(parts, docs, columns, id_col=S.ROW_ID)
+    return Sa.split_texts(split(spark, sf_dir), docs, columns, id_col=S.ROW_ID)
 
 
 def fitted(
     spark: SparkSession, sf_dir: str, kinds: list[Fe.Representation]
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Split, document terms and vocabulary; what is read twice is written first."""
+    """Split, document tokens and vocabulary; what is read twice is written first."""
     parts = written(split(spark, sf_dir), "split")
-    texts = split_texts(spark, sf_dir, parts)
-    terms = written(Fe.document_terms(texts, kinds, id_col=S.ROW_ID), "terms")
-    return parts, terms, Fe.fitted_vocabulary(terms, parts, kinds)
+    texts = Sa.split_texts(parts, lowered(spark, sf_dir), list(INPUTS.own.values()), id_col=S.ROW_ID)
+    tokens = written(Fe.document_tokens(texts, INPUTS, id_col=S.ROW_ID), "tokens")
+    return parts, tokens, Fe.fitted_vocabulary(tokens, parts, kinds, INPUTS)
+
+
+def feature_rows(spark: SparkSession, sf_dir: str, kinds: list[Fe.Representation]) -> DataFrame:
+    _, tokens, vocab = fitted(spark, sf_dir, kinds)
+    return Fe.feature_rows(tokens, vocab, kinds, INPUTS, id_col=S.ROW_ID)
 
 
 def vocabulary(kind: Fe.Representation):
@@ -61,9 +72,7 @@ def vocabulary(kind: Fe.Representation):
 
 def features(kind: Fe.Representation):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        _, terms, vocab = fitted(spark, sf_dir, [kind])
-        rows = Fe.feature_rows(terms, vocab, [kind], id_col=S.ROW_ID)
-        rows = Fe.long_features(rows, id_col=S.ROW_ID)
+        rows = Fe.long_features(feature_rows(spark, sf_dir, [kind]), id_col=S.ROW_ID)
         return rows.withColumn("weight", F.round("weight", 6))
 
     return query
@@ -71,9 +80,7 @@ def features(kind: Fe.Representation):
 
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document, setting and representation, documents without terms included."""
-    kinds = [UNIGRAM, UNI_BIGRAM]
-    _, terms, vocab = fitted(spark, sf_dir, kinds)
-    rows = Fe.feature_rows(terms, vocab, kinds, id_col=S.ROW_ID)
+    rows = feature_rows(spark, sf_dir, [UNIGRAM, UNI_BIGRAM])
     return rows.select(
         "setting",
         "representation",
@@ -89,7 +96,7 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = [UNIGRAM, UNI_BIGRAM]
     parts, _, vocab = fitted(spark, sf_dir, kinds)
-    return Fe.feature_summary(vocab, parts, kinds)
+    return Fe.feature_summary(vocab, parts, kinds, INPUTS)
 
 
 QUERIES = {

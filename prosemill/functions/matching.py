@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosemill.functions.text import WORD_CLASS
@@ -59,6 +59,36 @@ def may_have_marker(column: Column, markers: list[str], *, ignore_case: bool = T
     return column.rlike(flags + possible_marker_pattern(markers))
 
 
+def found_markers(df: DataFrame, column: str, markers: list[str], name: str, *, ignore_case: bool = True) -> DataFrame:
+    """Add the array of the markers a text holds, in the order of the list, by one search of the text.
+
+    The search looks ahead at every place, so markers that overlap are all found. Of several that
+    begin at one place it gives the longest; the others are its beginnings, and which of these stand
+    there as whole words can be told from the longest alone. What was found is then told apart by
+    the same rules of letter case.
+    """
+    flags = "(?iu)" if ignore_case else ""
+    alternatives = "|".join(marker_pattern(marker) for marker in longest_first(markers))
+    hits = F.regexp_extract_all(F.col(column), F.lit(f"{flags}(?=({alternatives}))"), F.lit(1))
+    df = df.withColumn("_hits", F.array_distinct(hits))
+
+    def held(marker: str) -> Column:
+        longer = "|".join(re.escape(m) for m in markers if m == marker or _begins(m, marker, ignore_case))
+        pattern = F.lit(f"{flags}^(?:{longer})$")
+        return F.exists("_hits", lambda hit: F.rlike(hit, pattern))
+
+    found = F.array_compact(F.array(*[F.when(held(marker), F.lit(marker)) for marker in markers]))
+    none = F.array().cast("array<string>")
+    return df.withColumn(name, F.when(F.size("_hits") > 0, found).otherwise(none)).drop("_hits")
+
+
+def _begins(longer: str, marker: str, ignore_case: bool) -> bool:
+    """Whether a marker is a whole word or phrase at the beginning of a longer one."""
+    first = longer[: len(marker)]
+    alike = first.casefold() == marker.casefold() if ignore_case else first == marker
+    return len(longer) > len(marker) and alike and _is_word(longer[len(marker)]) != _is_word(marker[-1])
+
+
 def longest_first(markers: list[str]) -> list[str]:
     return sorted(markers, key=len, reverse=True)
 

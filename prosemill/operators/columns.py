@@ -87,6 +87,16 @@ def numbered_in_read_order(df: DataFrame, name: str = S.ROW_ID) -> DataFrame:
     return tagged.join(offsets, ["_file", "_block"]).select(row_id.alias(name), *df.columns)
 
 
+def with_read_position(df: DataFrame) -> DataFrame:
+    """Add where a row stands: 0..n-1 over the files in order. The frame must come from files."""
+    return numbered_in_read_order(df, S.READ_POSITION)
+
+
+def first_rows(df: DataFrame, rows: int = 5, *, order: str = S.ROW_ID) -> DataFrame:
+    """The first rows of a table by its row id; each task keeps no more than that many."""
+    return df.orderBy(order).limit(rows)
+
+
 def with_integer_labels(df: DataFrame) -> DataFrame:
     """Cast the label to int; a missing or non-numeric label stops the run."""
     number = F.expr(f"try_cast(trim(cast({S.LABEL} as string)) as double)")

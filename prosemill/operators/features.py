@@ -1,16 +1,21 @@
-"""Vocabularies fitted on the training part, bag-of-words and TF-IDF features."""
+"""Vocabularies fitted on the training part, bag-of-words and TF-IDF features.
+
+Texts are tokenized once. Documents stay in their rows from there on: what is shuffled are counts
+of terms for the vocabulary, nothing else.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prosemill import schema as S
 from prosemill.functions.text import bigrams, tokens
-from prosemill.operators.words import counted_in_row, unpacked
 
 # A term is kept from this many training documents on, and up to
 # this share of them.
@@ -40,54 +45,126 @@ def tfidf_uni_bigram(max_features: int = 6000) -> Representation:
     return Representation("tfidf_uni_bigram", 2, max_features)
 
 
-def document_terms(
-    texts: DataFrame,
-    representations: Iterable[Representation],
-    settings: dict[str, str] | None = None,
-    *,
-    id_col: str = S.ARTICLE_ID,
+@dataclass(frozen=True)
+class Inputs:
+    """The texts that are turned into numbers: settings with a text column of their own, and if
+    there is one, the setting (name, first, second) whose text is the first's, a blank, the second's.
+
+    The joined setting is put together from the tokens of its parts, since no token holds a blank.
+    Name it only where the text really is the join of the two.
+    """
+
+    own: dict[str, str]
+    joined: tuple[str, str, str] | None = None
+
+    def names(self) -> list[str]:
+        return [*self.own, *([self.joined[0]] if self.joined else [])]
+
+    def members(self, name: str) -> list[str]:
+        """The own settings whose tokens, in order, are those of the setting."""
+        return list(self.joined[1:]) if self.joined and name == self.joined[0] else [name]
+
+
+def _inputs(settings: Inputs | dict[str, str] | None) -> Inputs:
+    if isinstance(settings, Inputs):
+        return settings
+    return Inputs(S.INPUT_SETTINGS if settings is None else settings)
+
+
+def document_tokens(
+    texts: DataFrame, settings: Inputs | dict[str, str] | None = None, *, id_col: str = S.ARTICLE_ID
 ) -> DataFrame:
-    """Rows (id, label, split, setting, terms) with counted terms, all settings in one pass.
+    """Rows (id, label, split, tokens), with an array of tokens for every setting of its own.
 
-    Terms are counted where the texts lie, without a shuffle.
+    Each text is tokenized once, where it lies; a null text has no tokens.
     """
-    settings = S.INPUT_SETTINGS if settings is None else settings
-    longest = max(r.longest for r in representations)
-    inputs = F.array(
-        *[F.struct(F.lit(name).alias("setting"), F.col(column).alias("_text"))
-          for name, column in settings.items()]
-    )
-    tokenized = texts.select(id_col, S.LABEL, "split", F.inline(inputs)).withColumn(
-        "_tokens", tokens(F.col("_text"))
-    )
-    terms = F.col("_tokens")
-    if longest > 1:
-        terms = F.concat(terms, bigrams(F.col("_tokens")))
-    rows = tokenized.select(id_col, S.LABEL, "split", "setting", terms.alias("terms"))
-    return counted_in_row(rows, "terms")
+    none = F.array().cast("array<string>")
+    arrays = [F.coalesce(tokens(F.col(column)), none).alias(name) for name, column in _inputs(settings).own.items()]
+    return texts.select(id_col, S.LABEL, "split", F.struct(*arrays).alias("tokens"))
+
+
+def _setting_terms(inputs: Inputs, name: str, longest: int) -> Column:
+    """Tokens of a setting and, for two-token terms, its pairs, repeats kept."""
+    arrays = [F.col("tokens")[member] for member in inputs.members(name)]
+    whole = F.concat(*arrays) if len(arrays) > 1 else arrays[0]
+    return F.concat(whole, bigrams(whole)) if longest > 1 else whole
+
+
+def term_counts(documents: DataFrame, longest: int, settings: Inputs | dict[str, str] | None = None) -> DataFrame:
+    """Rows (setting, term, df, total): documents with the term, and its occurrences.
+
+    All settings are counted in one pass over the terms of their parts. A document's terms are
+    sorted in its own row, so that the first one of each kind is known there and no shuffle is
+    needed to count documents. A joined setting takes the terms of its two parts and the pair
+    across their border.
+    """
+    inputs = _inputs(settings)
+    joined = inputs.members(inputs.joined[0]) if inputs.joined else []
+    ordered = [*joined, *[name for name in inputs.own if name not in joined]]
+    sources = [(name, _setting_terms(inputs, name, longest)) for name in ordered]
+    if joined and longest > 1:
+        first, second = (F.col("tokens")[name] for name in joined)
+        pair = F.concat(F.element_at(first, -1), F.lit(" "), F.element_at(second, 1))
+        border = F.when((F.size(first) > 0) & (F.size(second) > 0), F.array(pair))
+        # it stands behind the joined parts and before all others, see `first_of_all`
+        sources.insert(2, ("", F.coalesce(border, F.array().cast("array<string>"))))
+    numbers = {name: F.lit(i).cast("tinyint") for i, (name, _) in enumerate(sources)}
+
+    def marked(terms: Column, number: Column) -> Column:
+        return F.transform(terms, lambda term: F.struct(term.alias("term"), number.alias("source")))
+
+    entries = [marked(terms, numbers[name]) for name, terms in sources]
+    every = F.concat(*entries) if len(entries) > 1 else entries[0]
+    in_order = documents.select(F.sort_array(every).alias("_terms"))
+
+    def flagged(entry: Column, i: Column) -> Column:
+        before = F.get(F.col("_terms"), i - 1)
+        return F.struct(
+            entry["term"].alias("term"), entry["source"].alias("source"),
+            F.coalesce(before["term"] != entry["term"], F.lit(True)).alias("first_of_all"),
+            F.coalesce(before != entry, F.lit(True)).alias("first_of_source"),
+        )
+
+    rows = in_order.select(F.inline_outer(F.transform("_terms", flagged))).where(F.col("term").isNotNull())
+    counts = []
+    for name, number in numbers.items():
+        if name:
+            mine = F.col("source") == number
+            counts += [F.count_if(mine & F.col("first_of_source")).alias(f"_df_{name}"), F.count_if(mine).alias(f"_total_{name}")]
+    if inputs.joined:
+        # the joined sources have the smallest numbers, so one of them is the first of all or none is
+        mine = F.col("source") < 2 + (longest > 1)
+        counts += [
+            F.count_if(mine & F.col("first_of_all")).alias(f"_df_{inputs.joined[0]}"),
+            F.count_if(mine).alias(f"_total_{inputs.joined[0]}"),
+        ]
+    found = [
+        F.struct(F.lit(name).alias("setting"), F.col(f"_df_{name}").alias("df"), F.col(f"_total_{name}").alias("total"))
+        for name in inputs.names()
+    ]
+    by_term = rows.groupBy("term").agg(*counts)
+    return by_term.select("term", F.inline(F.array(*found))).where("df > 0").select("setting", "term", "df", "total")
 
 
 def fitted_vocabulary(
-    terms: DataFrame,
+    documents: DataFrame,
     split: DataFrame,
     representations: Iterable[Representation],
+    settings: Inputs | dict[str, str] | None = None,
     *,
     min_df: int = MIN_DF,
     max_df: float = MAX_DF,
 ) -> DataFrame:
     """Rows (setting, representation, term_idx, term, df, total, idf) from the training part.
 
-    Bounds are inclusive and count blank documents; the most frequent terms stay,
-    ties by term; positions follow the order of the terms.
+    `documents` are those of `document_tokens`. Bounds are inclusive and count blank documents; the
+    most frequent terms stay, ties by term; positions follow the order of the terms.
     """
     representations = list(representations)
     train = F.col("split") == S.SPLITS[0]
     train_rows = split.where(train).agg(F.count(F.lit(1)).alias("n")).scalar()
-    counts = (
-        unpacked(terms.where(train), "terms", "setting")
-        .groupBy("setting", "term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-        .where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * train_rows))
+    counts = term_counts(documents.where(train), max(r.longest for r in representations), settings).where(
+        (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * train_rows)
     )
     kept = None
     for r in representations:
@@ -121,68 +198,51 @@ def _most_frequent(candidates: DataFrame, cap: int) -> DataFrame:
 
 
 def feature_rows(
-    terms: DataFrame,
+    documents: DataFrame,
     vocabulary: DataFrame,
     representations: Iterable[Representation],
+    settings: Inputs | dict[str, str] | None = None,
     *,
     id_col: str = S.ARTICLE_ID,
 ) -> DataFrame:
     """Rows (setting, representation, split, id, label, indices, weights).
 
-    Unknown terms are dropped before the rows of a document are put together again;
-    only its first entry stays in any case, so that a document without a known
-    term keeps its row with empty arrays. A vocabulary has at most cap rows per setting and
-    representation; whether it is broadcast is left to its size.
+    A document's terms are looked up and counted in its own row: nothing is shuffled, and a document
+    without a known term has empty arrays. A vocabulary has at most as many terms for each setting
+    and representation as its cap says; it is fetched here and sent to the tasks.
     """
-    representations = list(representations)
-    keys = [id_col, S.LABEL, "split", "setting"]
-    positions = [
-        F.max(F.when(F.col("representation") == r.name, F.col("term_idx"))).alias(f"_idx{i}")
-        for i, r in enumerate(representations)
-    ]
-    by_term = vocabulary.groupBy("setting", "term").agg(F.max("idf").alias("_idf"), *positions)
-    entries = terms.select(*keys, F.posexplode_outer("terms").alias("_place", "_entry"))
-    placed = entries.select(
-        *keys, "_place", F.col("_entry.term").alias("term"), F.col("_entry.tf").alias("tf")
-    )
-    matched = placed.join(by_term, ["setting", "term"], "left")
-    is_known = F.coalesce(*[F.col(f"_idx{i}") for i in range(len(representations))]).isNotNull()
-    known = matched.where(is_known | (F.coalesce("_place", F.lit(0)) == 0))
-    lists = [
-        F.collect_list(
-            F.when(
-                F.col(f"_idx{i}").isNotNull(),
-                F.struct(
-                    F.col(f"_idx{i}").alias("term_idx"),
-                    (F.col("tf") * F.col("_idf") if r.tfidf else F.col("tf").cast("double")).alias(
-                        "weight"
-                    ),
-                ),
-            )
-        ).alias(f"_entries{i}")
-        for i, r in enumerate(representations)
-    ]
-    per_kind = F.array(
-        *[
+    inputs, representations = _inputs(settings), list(representations)
+    caps = {r.name: r.max_features for r in representations}
+    wanted = vocabulary.where(F.col("representation").isin(list(caps)) & F.col("setting").isin(inputs.names()))
+    lists: dict[tuple[str, str], list[tuple[int, str, float]]] = {}
+    for setting, name, *entry in wanted.select("setting", "representation", "term_idx", "term", "idf").collect():
+        lists.setdefault((setting, name), []).append(tuple(entry))
+    made, columns = documents, []
+    for i, (setting, r) in enumerate((s, r) for s in inputs.names() for r in representations):
+        known = sorted(lists.get((setting, r.name), []))
+        indices, counts = F.array().cast("array<int>"), F.array().cast("array<double>")
+        if known:
+            model = CountVectorizerModel.from_vocabulary([term for _, term, _ in known], inputCol=f"_terms{i}", outputCol=f"_found{i}")
+            made = made.withColumn(f"_terms{i}", _setting_terms(inputs, setting, r.longest))
+            made = model.transform(made).withColumn(f"_found{i}", F.unwrap_udt(f"_found{i}")).drop(f"_terms{i}")
+            indices, counts = F.col(f"_found{i}.indices"), F.col(f"_found{i}.values")
+        weights = counts
+        if r.tfidf and known:
+            weights = _weighted(counts, indices, [value for _, _, value in known])
+        columns.append(
             F.struct(
-                F.lit(r.name).alias("representation"),
-                F.lit(r.tfidf).alias("_unit"),
-                F.sort_array(F.col(f"_entries{i}")).alias("_entries"),
-            )
-            for i, r in enumerate(representations)
-        ]
-    )
-    packed = known.groupBy(*keys).agg(*lists).select(*keys, F.inline(per_kind))
-    raw_weights = F.col("_entries.weight")
-    return packed.select(
-        "setting",
-        "representation",
-        "split",
-        id_col,
-        S.LABEL,
-        F.col("_entries.term_idx").alias("indices"),
-        F.when(F.col("_unit"), _unit_length(raw_weights)).otherwise(raw_weights).alias("weights"),
-    )
+                F.lit(setting).alias("setting"), F.lit(r.name).alias("representation"), F.lit(r.tfidf).alias("_unit"),
+                indices.alias("indices"), weights.alias("_weights"),
+            )
+        )
+    rows = made.select(id_col, S.LABEL, "split", F.inline(F.array(*columns)))
+    weights = F.when(F.col("_unit"), _unit_length(F.col("_weights"))).otherwise(F.col("_weights"))
+    return rows.select("setting", "representation", "split", id_col, S.LABEL, "indices", weights.alias("weights"))
+
+
+def _weighted(counts: Column, indices: Column, idf: list[float]) -> Column:
+    values = F.from_json(F.lit(json.dumps(idf)), "array<double>")  # folded into one constant
+    return F.zip_with(counts, indices, lambda n, at: n * F.get(values, at))
 
 
 def _unit_length(weights: Column) -> Column:
@@ -213,12 +273,12 @@ def feature_summary(
     vocabulary: DataFrame,
     split: DataFrame,
     representations: Iterable[Representation],
-    settings: dict[str, str] | None = None,
+    settings: Inputs | dict[str, str] | None = None,
 ) -> DataFrame:
     """Vocabulary size and rows per split part for every setting and representation."""
-    settings = S.INPUT_SETTINGS if settings is None else settings
+    names = _inputs(settings).names()
     fits = split.sparkSession.createDataFrame(
-        [(s, r.name) for s in settings for r in representations],
+        [(s, r.name) for s in names for r in representations],
         "input_setting string, representation string",
     )
     sizes = vocabulary.groupBy(

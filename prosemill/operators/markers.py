@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosemill import schema as S
-from prosemill.functions.matching import has_marker, may_have_marker
+from prosemill.functions.matching import found_markers
 from prosemill.functions.text import round_half_even
 from prosemill.operators.stage1 import class_name
 
@@ -30,18 +30,12 @@ PROFILE_MARKERS = [
 
 
 def with_found_markers(df: DataFrame, column: str, markers: list[str], name: str) -> DataFrame:
-    """Replace a text by the array of its markers; no row moves.
+    """Replace a text by the array of its markers; no row moves, and a text is searched once.
 
-    One search for all markers comes first, so most texts without markers are
-    scanned once. The array has no more entries than the marker list.
+    The array has no more entries than the marker list.
     """
-    hits = F.filter(
-        F.array(*[F.when(has_marker(F.col(column), m), F.lit(m)) for m in markers]),
-        lambda hit: hit.isNotNull(),
-    )
-    none = F.array().cast("array<string>")
-    found = F.when(may_have_marker(F.col(column), markers), hits).otherwise(none)
-    return df.select(*[c for c in df.columns if c != column], found.alias(name))
+    found = found_markers(df, column, markers, "_found")
+    return found.select(*[c for c in df.columns if c != column], F.col("_found").alias(name))
 
 
 def marker_hits(

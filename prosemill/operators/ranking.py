@@ -56,16 +56,21 @@ def with_random_order(df: DataFrame, id_col: str, seed: int) -> DataFrame:
     )
 
 
+def bucket_sizes(ordered: DataFrame, stratum: str) -> DataFrame:
+    """Rows of every bucket of every stratum."""
+    return ordered.groupBy(stratum, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+
+
 def ranked_up_to(
-    ordered: DataFrame, takes: DataFrame, stratum: str, name: str, id_col: str
+    ordered: DataFrame, takes: DataFrame, stratum: str, name: str, id_col: str, sizes: DataFrame | None = None
 ) -> DataFrame:
     """Rank rows in random order within the stratum; keep ranks below the stratum's `take`.
 
     `takes` has a row for each stratum that is wanted; its other columns come along. Buckets
-    are counted first, and those behind the limit are dropped by the join on bucket. No task
+    are counted first (give `sizes` if they are known), and those behind the limit are dropped by the join on bucket. No task
     sees more than one bucket at a time.
     """
-    sizes = ordered.groupBy(stratum, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = bucket_sizes(ordered, stratum) if sizes is None else sizes
     running = Window.partitionBy(stratum).orderBy("_bucket")
     offsets = (
         sizes.withColumn("_offset", F.sum("_rows").over(running) - F.col("_rows"))

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prosemill import schema as S
-from prosemill.operators.ranking import ranked_up_to, with_random_order
+from prosemill.operators.ranking import bucket_sizes, ranked_up_to, with_random_order
 
 # Seeds of the sample and split step and of the inspected examples.
 SPLIT_SEED = 123
@@ -26,20 +24,15 @@ def class_sizes(df: DataFrame) -> DataFrame:
     return labelled.groupBy(S.LABEL).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _overview(sizes: DataFrame) -> tuple[int, int, int]:
-    """Number of classes, of rows in the smallest one and of rows in all."""
-    found = sizes.agg(F.count(F.lit(1)), F.min("rows"), F.sum("rows")).first()
-    return found[0], found[1] or 0, found[2] or 0
-
-
 def sample_sizes(sizes: DataFrame, per_class: int | None) -> DataFrame:
     """`per_class` rows for each label, or all rows if any class is smaller."""
-    if per_class is None or _overview(sizes)[1] < per_class:
+    if per_class is None:
         return sizes
-    return sizes.withColumn("rows", F.lit(per_class).cast("long"))
+    smallest = F.min("rows").over(Window.partitionBy())  # a row for each class
+    return sizes.withColumn("rows", F.when(smallest < per_class, F.col("rows")).otherwise(per_class))
 
 
-def shared_out(weights: DataFrame, total: int, weight: str, name: str) -> DataFrame:
+def shared_out(weights: DataFrame, total: Column | int, weight: str, name: str) -> DataFrame:
     """Share a total over the labels by largest remainder, ties to the lower label.
 
     The window sees one row for each class.
@@ -54,24 +47,37 @@ def shared_out(weights: DataFrame, total: int, weight: str, name: str) -> DataFr
     return ranked.withColumn(name, quota.cast("long")).drop("_exact", "_whole", "_place")
 
 
+def refused_if(refused: Column, message: str, passed: Column) -> Column:
+    """`passed`, or an error that stops the query where it runs."""
+    return F.when(F.coalesce(refused, F.lit(True)), F.raise_error(F.lit(message))).otherwise(passed)
+
+
+TOO_FEW = "Too few rows in a class for a stratified split."
+
+
 def split_quotas(sizes: DataFrame) -> DataFrame:
     """Rows (label, rows, train, val) for each label; the rest is test.
 
     The totals are rounded as a whole: the holdout up, its test half up. Refused are classes
     with fewer than two rows, or fewer than two held-out ones, and parts with fewer rows than
-    there are classes.
+    there are classes. The refusal is part of the plan: it stops the query that uses the quotas.
     """
-    classes, smallest, total = _overview(sizes)
-    held = math.ceil(total * HOLDOUT_SHARE)
-    test_total = math.ceil(held * TEST_SHARE)
+    everything = Window.partitionBy()  # a row for each class
+    total = F.col("_total")
+    held = F.ceil(total * HOLDOUT_SHARE)
+    test_total = F.ceil(held * TEST_SHARE)
     val_total = held - test_total
-    if smallest < 2 or min(total - held, val_total, test_total) < classes:
-        raise ValueError("Too few rows in a class for a stratified split.")
-    train = shared_out(sizes, total - held, "rows", "train")
+    least = F.least(total - held, val_total, test_total)
+    known = sizes.withColumns(
+        {"_total": F.sum("rows").over(everything), "_classes": F.count(F.lit(1)).over(everything), "_smallest": F.min("rows").over(everything)}
+    )
+    small = (F.col("_smallest") < 2) | (least < F.col("_classes"))
+    known = known.withColumn("rows", refused_if(small, TOO_FEW, F.col("rows"))).drop("_classes", "_smallest")
+    train = shared_out(known, total - held, "rows", "train")
     rest = train.withColumn("_rest", F.col("rows") - F.col("train"))
-    if rest.agg(F.min("_rest")).first()[0] < 2:
-        raise ValueError("Too few rows in a class for a stratified split.")
-    return shared_out(rest, val_total, "_rest", "val").drop("_rest")
+    rest = rest.withColumn("_least", F.min("_rest").over(everything))
+    rest = rest.withColumns({name: refused_if(F.col("_least") < 2, TOO_FEW, F.col(name)) for name in ("rows", "_rest")}).drop("_least")
+    return shared_out(rest, val_total, "_rest", "val").drop("_rest", "_total")
 
 
 def downsample(
@@ -79,9 +85,9 @@ def downsample(
 ) -> DataFrame:
     """Exactly `per_class` rows of each label, or the table as it is if any class is smaller."""
     sizes = class_sizes(df)
-    if _overview(sizes)[1] < per_class:
+    if (sizes.agg(F.min("rows")).first()[0] or 0) < per_class:
         return df
-    return _taken(df, sample_sizes(sizes, per_class), seed, id_col)
+    return _taken(df, sizes.withColumn("rows", F.lit(per_class).cast("long")), seed, id_col)
 
 
 def label_samples(
@@ -115,46 +121,50 @@ def sample_and_split(
     """Rows (id, label, split): sample and 80/10/10 split in one ranked pass.
 
     Ranks below the sample size are in random order already, so the first of
-    them are train, the next val and the rest test. Only ids and labels are read.
+    them are train, the next val and the rest test. Only ids and labels are read, and no job
+    is started here. Classes are added up from the buckets that the ranks need anyway.
     """
-    quotas = split_quotas(sample_sizes(class_sizes(df), per_class))
+    labelled = df.select(id_col, S.LABEL).where(F.col(S.LABEL).isNotNull())
+    ordered = with_random_order(labelled, id_col, seed)
+    buckets = bucket_sizes(ordered, S.LABEL)
+    sizes = buckets.groupBy(S.LABEL).agg(F.sum("_rows").alias("rows"))
+    quotas = split_quotas(sample_sizes(sizes, per_class))
     takes = quotas.select(
         S.LABEL,
         F.col("rows").alias("take"),
         F.col("train").alias("_train_end"),
         (F.col("train") + F.col("val")).alias("_val_end"),
     )
-    ordered = with_random_order(df.select(id_col, S.LABEL), id_col, seed)
-    ranked = ranked_up_to(ordered, takes, S.LABEL, "_rank", id_col)
+    ranked = ranked_up_to(ordered, takes, S.LABEL, "_rank", id_col, buckets)
     split = (
         F.when(F.col("_rank") < F.col("_train_end"), S.SPLITS[0])
         .when(F.col("_rank") < F.col("_val_end"), S.SPLITS[1])
         .otherwise(S.SPLITS[2])
     )
-    return ranked.select(id_col, S.LABEL, split.alias("split"))
+    found = ranked.select(id_col, S.LABEL, split.alias("split"))
+    nothing = sizes.agg(F.count(F.lit(1)).alias("classes")).where("classes = 0")
+    return found.unionByName(_stopped(nothing, F.lit(TOO_FEW), found))
+
+
+def _stopped(faults: DataFrame, message: Column, like: DataFrame) -> DataFrame:
+    """A table without rows, or an error if there are faults; to be put beside a table like it."""
+    stopped = faults.where(F.raise_error(message).cast("boolean"))
+    return stopped.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema])
 
 
 def split_texts(
     split: DataFrame, articles: DataFrame, columns: list[str], *, id_col: str = S.ARTICLE_ID
 ) -> DataFrame:
-    """Look up the texts of the split rows; a missing text is blank.
+    """Look up the texts of the split rows; a missing text is blank, a missing article stops the query.
 
     Give a written split: its size is then known, so a small one is broadcast to
     the texts where they lie, and a large one is joined on the unique id. The join
-    is an inner one because an outer one could not broadcast the split; see
-    `require_all_found` for ids without an article.
+    is an inner one because an outer one could not broadcast the split. Ids without an article
+    are found among the ids alone, as a second branch of the same plan that gives no rows.
     """
     texts = [F.coalesce(F.col(name), F.lit("")).alias(name) for name in columns]
-    return split.join(articles.select(id_col, *texts), id_col).select(*split.columns, *columns)
-
-
-def require_all_found(
-    found: DataFrame, split: DataFrame, *, id_col: str = S.ARTICLE_ID
-) -> DataFrame:
-    """Stop if the texts of a split row were not found. Both tables should be written ones."""
-    if found.count() != split.count():
-        missing = split.join(found, id_col, "left_anti").select(id_col)
-        count = missing.count()
-        first = [row[0] for row in missing.orderBy(id_col).limit(SHOWN).collect()]
-        raise KeyError(f"No article for ids (first {len(first)} of {count}): {first}")
-    return found
+    found = split.join(articles.select(id_col, *texts), id_col).select(*split.columns, *columns)
+    lost = split.select(id_col).join(articles.select(id_col), id_col, "left_anti")
+    message = F.concat(F.lit("No article for ids: "), F.col("ids").cast("string"), F.lit(", the smallest is "), F.col("first").cast("string"))
+    lost = lost.agg(F.count(F.lit(1)).alias("ids"), F.min(id_col).alias("first")).where("ids > 0")
+    return found.unionByName(_stopped(lost, message, found))

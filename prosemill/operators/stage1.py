@@ -32,14 +32,15 @@ def stage1_flags(stripped: DataFrame) -> DataFrame:
     )
 
 
-def stage1_rows(raw: DataFrame) -> DataFrame:
-    """Strip title and text and flag what is missing. No row moves."""
+def stage1_rows(raw: DataFrame, *more: str) -> DataFrame:
+    """Strip title and text and flag what is missing; further columns stay. No row moves."""
     stripped = raw.select(
         S.ROW_ID,
         strip(filled(F.col(S.TITLE))).alias(S.TITLE),
         strip(filled(F.col(S.TEXT))).alias(S.TEXT),
         S.LABEL,
         class_name(F.col(S.LABEL)).alias("class_name"),
+        *more,
     )
     return stage1_flags(stripped)
 
@@ -59,27 +60,45 @@ def content_key(*columns: str) -> Column:
     return F.unhex(F.sha2(F.concat(*parts), 256))
 
 
-def first_copies(keyed: DataFrame, key: str = S.CONTENT_KEY) -> DataFrame:
-    """The row id of the first copy of every article, one narrow aggregate. The first copy is
-    the one with the smallest row id, wherever it stands in the file.
+def first_copies(keyed: DataFrame, key: str = S.CONTENT_KEY, *, order: str = S.ROW_ID, one_label: bool = False) -> DataFrame:
+    """Row id and order of the first copy of every article, one narrow aggregate.
 
+    The first copy is the one with the smallest row id, wherever it stands in the file, or the
+    smallest `order`: give the read position (see `columns.with_read_position`) for the first one in
+    the file. With `one_label` an article whose copies have different labels stops the query.
     Copies are combined before the shuffle, so an article that fills a third of
     the table sends one row per task.
     """
-    return keyed.groupBy(key).agg(F.min(S.ROW_ID).alias(S.ROW_ID)).select(S.ROW_ID)
-
-
-def numbered_articles(stage1: DataFrame, *, keyed: DataFrame | None = None) -> DataFrame:
+    first = F.min(S.ROW_ID) if order == S.ROW_ID else F.min_by(S.ROW_ID, order)
+    found = keyed.groupBy(key).agg(
+        first.alias(S.ROW_ID), F.min(order).alias("_order"),
+        *([F.min(S.LABEL).alias("_low"), F.max(S.LABEL).alias("_high")] if one_label else []),
+    )
+    if one_label:
+        message = F.format_string(
+            "An article has copies under conflicting labels %s and %s, the first of them in row %s.",
+            F.col("_low").cast("string"), F.col("_high").cast("string"), F.col(S.ROW_ID).cast("string"),
+        )
+        conflict = F.col("_low") != F.col("_high")
+        found = found.where(F.when(conflict, F.raise_error(message).cast("boolean")).otherwise(True))
+    return found.select(S.ROW_ID, "_order")
+
+
+def numbered_articles(
+    stage1: DataFrame, *, keyed: DataFrame | None = None, order: str = S.ROW_ID, one_label: bool = False
+) -> DataFrame:
     """Stage-1 rows with `article_id`: dense from 0 for first copies, null for later ones.
 
     Ids are worked out on row ids alone; the texts are joined once, on the unique
-    row id, so no key is hot. `keyed` may give row ids and content keys from a
-    narrower source.
+    row id, so no key is hot. `keyed` may give row ids, content keys (and the order and the labels,
+    if asked for) from a narrower source.
     """
     if keyed is None:
-        keyed = stage1.select(S.ROW_ID, content_key(S.TITLE, S.TEXT).alias(S.CONTENT_KEY))
-    ids = ranked_by_id(first_copies(keyed), S.ROW_ID, S.ARTICLE_ID)
-    return stage1.join(ids, S.ROW_ID, "left").select(S.ARTICLE_ID, *stage1.columns)
+        more = {order, *([S.LABEL] if one_label else [])} - {S.ROW_ID}
+        keyed = stage1.select(S.ROW_ID, *more, content_key(S.TITLE, S.TEXT).alias(S.CONTENT_KEY))
+    firsts = first_copies(keyed, order=order, one_label=one_label)
+    ids = ranked_by_id(firsts, "_order", S.ARTICLE_ID).select(S.ROW_ID, S.ARTICLE_ID)
+    return stage1.join(ids, S.ROW_ID, "left").select(S.ARTICLE_ID, *[c for c in stage1.columns if c != order or order == S.ROW_ID])
 
 
 def master_rows(numbered: DataFrame) -> DataFrame:
@@ -102,23 +121,32 @@ def removed_copies(numbered: DataFrame) -> DataFrame:
     )
 
 
-def stage_counts(numbered: DataFrame, expected: dict[str, int] | None = None) -> DataFrame:
-    """Rows of each stage against expected values, from one pass.
-
-    Columns: stage, actual, expected, status ('OK', 'CHECK', or null without an
-    expected value).
-    """
-    expected = expected or {}
+def stage_measures() -> dict[str, Column]:
+    """Rows of each stage, as aggregates over numbered articles."""
     kept = F.col(S.ARTICLE_ID).isNotNull()
     complete = F.col("complete_case")
-    measures = {
+    return {
         "original": F.count(F.lit(1)),
         "duplicates": F.count_if(~kept),
         "master": F.count_if(kept),
         "complete": F.count_if(kept & complete),
         "incomplete": F.count_if(kept & ~complete),
     }
-    counts = numbered.agg(*[value.alias(name) for name, value in measures.items()])
+
+
+def stage_counts(numbered: DataFrame, expected: dict[str, int] | None = None) -> DataFrame:
+    """Rows of each stage against expected values, from one pass.
+
+    Columns: stage, actual, expected, status ('OK', 'CHECK', or null without an
+    expected value).
+    """
+    counts = numbered.agg(*[value.alias(name) for name, value in stage_measures().items()])
+    return checked_counts(counts, expected)
+
+
+def checked_counts(counts: DataFrame, expected: dict[str, int] | None = None) -> DataFrame:
+    """The same from one row that holds the counts already."""
+    expected = expected or {}
     entries = F.array(
         *[
             F.struct(
@@ -126,7 +154,7 @@ def stage_counts(numbered: DataFrame, expected: dict[str, int] | None = None) ->
                 F.col(name).alias("actual"),
                 F.lit(expected.get(name)).cast("long").alias("expected"),
             )
-            for name in measures
+            for name in stage_measures()
         ]
     )
     return counts.select(F.inline(entries)).withColumn(

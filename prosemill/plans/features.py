@@ -20,6 +20,12 @@ from prosemill.sources.tables import (
 )
 
 
+# The settings of a table that the cleaning job wrote: its third text is the join of the others.
+CLEANED = Fe.Inputs(
+    {name: S.INPUT_SETTINGS[name] for name in ("title", "body")}, ("combined", "title", "body")
+)
+
+
 @dataclass(frozen=True)
 class Features:
     """The written split and vocabulary and the summary."""
@@ -39,38 +45,39 @@ def run(
     min_df: int = Fe.MIN_DF,
     max_df: float = Fe.MAX_DF,
     seed: int = Sa.SPLIT_SEED,
+    settings: Fe.Inputs | None = None,
 ) -> Features:
     """Sample, split, look up texts, fit on train, transform all parts, write.
 
-    Four cut points: the split, its texts, their counted terms and the vocabulary
-    are each read more than once afterwards, and known sizes let the planner
-    choose the joins.
+    Three cut points: the split, its tokens and the vocabulary are each read more than once
+    afterwards. By default every setting has a text column of its own; give `settings` (see
+    `CLEANED`) where the third text is known to be the join of the other two.
     """
-    columns = list(S.INPUT_SETTINGS.values())
+    inputs = Fe.Inputs(S.INPUT_SETTINGS) if settings is None else settings
+    columns = list(inputs.own.values())
     require_columns(articles, [S.ARTICLE_ID, S.LABEL, *columns])
     kinds = [Fe.tfidf_unigram(max_features_unigram), Fe.tfidf_uni_bigram(max_features_bigram)]
     folder = f"{out_dir}/{per_class}perclass"
     split = write_table(
         Sa.sample_and_split(articles, per_class, seed=seed), f"{folder}/split_assignment"
     )
-    texts = written(Sa.split_texts(split, articles, columns), "texts")
-    Sa.require_all_found(texts, split)
-    terms = written(Fe.document_terms(texts, kinds), "terms")
+    texts = Sa.split_texts(split, articles, columns)
+    tokens = written(Fe.document_tokens(texts, inputs), "tokens")
     vocabulary = write_vocabulary(
-        Fe.fitted_vocabulary(terms, split, kinds, min_df=min_df, max_df=max_df),
+        Fe.fitted_vocabulary(tokens, split, kinds, inputs, min_df=min_df, max_df=max_df),
         f"{folder}/vocabulary",
     )
-    require_terms(vocabulary, kinds)
+    require_terms(vocabulary, kinds, inputs)
     write_vocabulary_json(vocabulary, f"{folder}/vocabulary_json")
-    write_features(Fe.feature_rows(terms, vocabulary, kinds), f"{folder}/features")
-    summary = Fe.feature_summary(vocabulary, split, kinds)
+    write_features(Fe.feature_rows(tokens, vocabulary, kinds, inputs), f"{folder}/features")
+    summary = Fe.feature_summary(vocabulary, split, kinds, inputs)
     write_summary_csv(summary, f"{folder}/feature_summary")
     return Features(split, vocabulary, summary)
 
 
-def require_terms(vocabulary: DataFrame, kinds: list[Fe.Representation]) -> DataFrame:
+def require_terms(vocabulary: DataFrame, kinds: list[Fe.Representation], inputs: Fe.Inputs) -> DataFrame:
     """Stop if a setting is left without any term."""
-    fits = {(setting, kind.name) for setting in S.INPUT_SETTINGS for kind in kinds}
+    fits = {(setting, kind.name) for setting in inputs.names() for kind in kinds}
     found = vocabulary.select("setting", "representation").distinct().collect()
     empty = sorted(fits - {tuple(row) for row in found})
     if empty:

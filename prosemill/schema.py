@@ -10,11 +10,13 @@ TITLE = "title"
 TEXT = "text"
 LABEL = "label"
 CONTENT_KEY = "content_key"
+READ_POSITION = "read_position"
 
 # The label domain and its class names.
 LABELS = (0, 1)
 CLASS_NAMES = {0: "real", 1: "fake"}
 
+# What a raw table must have, and its columns.
 REQUIRED_COLUMNS = (TITLE, TEXT, LABEL)
 
 RAW_SCHEMA = T.StructType(
@@ -57,6 +59,7 @@ CLEANED_COLUMNS = [
     *STAGE1_COLUMNS[1:],
     *GENERATED_COLUMNS,
 ]
+# Columns of the samples before and after cleaning.
 SAMPLE_COLUMNS = [
     ARTICLE_ID,
     "row_id",

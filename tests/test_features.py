@@ -19,9 +19,8 @@ def texts(spark, data):
 
 def fit(spark, data, kind, min_df=1, max_df=0.95):
     df = texts(spark, data)
-    terms = Fe.document_terms(df, [kind], SETTING)
-    vocab = Fe.fitted_vocabulary(terms, df, [kind], min_df=min_df, max_df=max_df)
-    return terms, vocab
+    found = Fe.document_tokens(df, SETTING)
+    return found, Fe.fitted_vocabulary(found, df, [kind], SETTING, min_df=min_df, max_df=max_df)
 
 
 SMALL = [("train", "a b"), ("train", "a c"), ("train", "a b b"), ("val", "b c"), ("val", "zzz"), ("test", "")]
@@ -32,7 +31,7 @@ def test_idf_and_weights_by_hand(spark):
     terms, vocab = fit(spark, SMALL, kind)
     got = sorted(rows(vocab, "term_idx", "term", "df", "total", F.round("idf", 6)))
     assert got == [(0, "b", 2, 3, 1.287682), (1, "c", 1, 1, 1.693147)]
-    found = {r[0]: r[1:] for r in rows(Fe.feature_rows(terms, vocab, [kind]), "article_id", "split", "indices", "weights")}
+    found = {r[0]: r[1:] for r in rows(Fe.feature_rows(terms, vocab, [kind], SETTING), "article_id", "split", "indices", "weights")}
     assert len(found) == 6
     assert found[3][1] == [0, 1]
     assert found[3][2] == pytest.approx([0.6053485, 0.7959605], abs=1e-7)
@@ -42,7 +41,7 @@ def test_idf_and_weights_by_hand(spark):
 def test_bag_of_words_counts(spark):
     kind = Fe.bow_unigram(10)
     terms, vocab = fit(spark, SMALL, kind)
-    found = dict(rows(Fe.feature_rows(terms, vocab, [kind]), "article_id", "weights"))
+    found = dict(rows(Fe.feature_rows(terms, vocab, [kind], SETTING), "article_id", "weights"))
     assert found[2] == [2.0] and found[3] == [1.0, 1.0]
 
 
@@ -101,11 +100,11 @@ def test_features_against_plain_python(spark, partitions, longest, cap):
     ]
     kind = Fe.Representation("kind", longest, cap)
     df = texts(spark, data).repartition(partitions)
-    terms = Fe.document_terms(df, [kind], SETTING)
-    vocab = Fe.fitted_vocabulary(terms, df, [kind], min_df=2, max_df=0.9)
+    terms = Fe.document_tokens(df, SETTING)
+    vocab = Fe.fitted_vocabulary(terms, df, [kind], SETTING, min_df=2, max_df=0.9)
     kept, expected = expected_features(data, longest, cap, 2, 0.9)
     assert [t for _, t in sorted(rows(vocab, "term_idx", "term"))] == kept
-    features = Fe.feature_rows(terms, vocab, [kind])
+    features = Fe.feature_rows(terms, vocab, [kind], SETTING)
     got = {
         i: {k: round(w, 9) for k, w in zip(indices, weights)}
         for i, indices, weights in rows(features, "article_id", "indices", "weights")
@@ -119,9 +118,9 @@ def test_several_settings_and_representations_in_one_job(spark):
     settings = {"title": "clean_title", "twice": "twice"}
     df = texts(spark, SMALL).withColumn("twice", F.concat("clean_title", F.lit(" "), "clean_title"))
     kinds = [Fe.tfidf_unigram(10), Fe.tfidf_uni_bigram(10)]
-    terms = Fe.document_terms(df, kinds, settings)
-    vocab = Fe.fitted_vocabulary(terms, df, kinds, min_df=1)
-    features = Fe.feature_rows(terms, vocab, kinds)
+    terms = Fe.document_tokens(df, settings)
+    vocab = Fe.fitted_vocabulary(terms, df, kinds, settings, min_df=1)
+    features = Fe.feature_rows(terms, vocab, kinds, settings)
     assert features.count() == len(SMALL) * 4
     summary = Fe.feature_summary(vocab, df, kinds, settings)
     got = {(s, r): (size, a, b, c) for s, r, size, a, b, c in rows(summary)}
@@ -130,3 +129,36 @@ def test_several_settings_and_representations_in_one_job(spark):
     alone = fit(spark, SMALL, kinds[1])[1]
     both = vocab.where("setting = 'title' and representation = 'tfidf_uni_bigram'")
     assert sorted(rows(both)) == sorted(rows(alone))
+
+
+@pytest.mark.parametrize("longest", [1, 2])
+def test_joined_setting_equals_its_joined_text(spark, longest):
+    import random
+
+    draw = random.Random(longest)
+    words = ["a", "b", "c", "don't", "e", "'", "Zürich"]
+
+    def text():
+        return " ".join(draw.choice(words) for _ in range(draw.choice([0, 0, 1, 2, 9])))
+
+    data = [(i, i % 2, draw.choice(["train", "train", "val"]), text(), text(), text()) for i in range(80)]
+    df = spark.createDataFrame(data, "article_id long, label int, split string, t string, b string, other string")
+    df = df.withColumn("both", F.btrim(F.concat("t", F.lit(" "), "b")))
+    kinds = [Fe.Representation("few", longest, 9), Fe.Representation("raw", 1, 50, tfidf=False)]
+    apart = Fe.Inputs({"t": "t", "b": "b", "other": "other", "both": "both"})
+    joined = Fe.Inputs({"other": "other", "t": "t", "b": "b"}, ("both", "t", "b"))
+    found = []
+    for inputs in (apart, joined):
+        documents = Fe.document_tokens(df, inputs)
+        vocab = Fe.fitted_vocabulary(documents, df, kinds, inputs, min_df=1)
+        found.append((sorted(rows(vocab)), sorted(rows(Fe.feature_rows(documents, vocab, kinds, inputs)))))
+    assert found[0] == found[1] and len(found[0][1]) == 80 * 8
+
+
+def test_settings_without_any_known_term(spark):
+    df = texts(spark, [("train", ""), ("train", "1 2"), ("val", "a")])
+    kinds = [Fe.tfidf_unigram(10), Fe.bow_unigram(10)]
+    documents = Fe.document_tokens(df, SETTING)
+    vocab = Fe.fitted_vocabulary(documents, df, kinds, SETTING)
+    assert rows(vocab) == []
+    assert {tuple(map(tuple, r)) for r in rows(Fe.feature_rows(documents, vocab, kinds, SETTING), "indices", "weights")} == {((), ())}

@@ -59,10 +59,38 @@ def test_top_words_are_limited_before_the_last_shuffle(spark):
     assert not re.search(r"Filter.*size\(transform", text)
 
 
-def test_terms_are_counted_where_the_texts_lie(spark):
-    texts = KF.split_texts(spark, SF)
-    before = plan(texts).count("Exchange")
-    assert plan(Fe.document_terms(texts, [KF.UNIGRAM, KF.UNI_BIGRAM], id_col="source_row_id")).count("Exchange") == before
+def test_documents_stay_in_their_rows(spark):
+    """From the written tokens on, a feature query shuffles no document and tokenizes nothing again."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("bow_unigram", "tfidf_unigram", "tfidf_uni_bigram", "feature_matrix_packed"):
+            text = plan(entry.queries()[name](spark, SF))
+            assert "Exchange" not in text and "Join" not in text and "Generate explode" not in text, name
+            assert "regexp_extract_all" not in text and "tokens" in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_each_text_is_tokenized_once(spark):
+    parts = KF.split(spark, SF)
+    texts = Sa.split_texts(parts, KF.lowered(spark, SF), list(KF.INPUTS.own.values()), id_col="source_row_id")
+    before = plan(texts)
+    after = plan(Fe.document_tokens(texts, KF.INPUTS, id_col="source_row_id"))
+    assert after.count("Exchange") == before.count("Exchange")
+    assert after.count("regexp_extract_all") == 2 * (1 + before.count("regexp_extract_all"))  # title and body, in both branches of the union
+
+
+def test_split_starts_no_job(spark):
+    tracker, group = spark.sparkContext.statusTracker(), "no-job"
+    table = labels(spark, SF)
+    spark.sparkContext.setJobGroup(group, "split")
+    try:
+        Sa.sample_and_split(table, id_col="source_row_id")
+        Sa.sample_and_split(table, 40, id_col="source_row_id")
+        assert not tracker.getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_vocabulary_is_limited_before_the_last_shuffle(spark):

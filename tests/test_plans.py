@@ -1,5 +1,6 @@
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from prosemill import schema as S
@@ -18,7 +19,7 @@ def run(spark, tmp_path_factory):
     first = stage1.run(raw, f"{out}/handoff", expected={"original": 399, "master": 385}, gzip_csv=True)
     cleaned = cleaning.run(first.complete_cases, f"{out}/processed", markers=["with"], csv=True)
     built = features.run(
-        cleaned.articles, f"{out}/features", 40, max_features_unigram=200, max_features_bigram=300
+        cleaned.articles, f"{out}/features", 40, max_features_unigram=200, max_features_bigram=300, settings=features.CLEANED
     )
     return out, raw, first, cleaned, built
 
@@ -86,7 +87,7 @@ def test_profile(run, tmp_path):
 def test_conflict_and_repeated_id_stop_stage1(spark, tmp_path):
     columns = "source_row_id long, title string, text string, label int"
     conflict = spark.createDataFrame([(0, "A", "x", 0), (1, " A", "x ", 1)], columns)
-    with pytest.raises(ValueError, match="conflicting labels"):
+    with pytest.raises(PySparkException, match="conflicting labels"):
         stage1.run(conflict, str(tmp_path))
     repeated = spark.createDataFrame([(0, "A", "x", 0), (0, "B", "x", 1)], columns)
     with pytest.raises(ValueError, match="not a unique key"):

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from prosemill.operators import sampling as Sa
@@ -23,8 +24,10 @@ def test_downsample_rule(spark):
 def test_too_small_classes_are_refused(spark):
     with pytest.raises(ValueError, match=r"\[0\]"):
         Sa.label_samples(labelled(spark, 3, 10), 5, id_col="article_id")
-    with pytest.raises(ValueError, match="Too few rows"):
-        Sa.sample_and_split(labelled(spark, 1, 20))
+    for refused in (labelled(spark, 1, 20), labelled(spark, 0, 0)):
+        split = Sa.sample_and_split(refused)  # starts no job
+        with pytest.raises(PySparkException, match="Too few rows"):
+            split.count()
 
 
 def test_split_sizes_and_membership(spark):
@@ -70,7 +73,7 @@ def test_quotas_add_up(spark, sizes):
 
 @pytest.mark.parametrize("sizes", [{0: 5, 1: 5}, {0: 1, 1: 20}, {0: 100, 1: 4}, {0: 3, 1: 3, 2: 3}])
 def test_too_few_held_out_rows_are_refused(spark, sizes):
-    with pytest.raises(ValueError, match="Too few rows"):
+    with pytest.raises(PySparkException, match="Too few rows"):
         quotas(spark, sizes)
 
 
@@ -108,6 +111,7 @@ def test_texts_of_the_split(spark):
     texts = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "article_id long, clean_title string")
     found = Sa.split_texts(split, texts, ["clean_title"])
     assert sorted(rows(found)) == [(1, 0, "train", "a"), (2, 1, "val", "")]
-    Sa.require_all_found(found, split)
-    with pytest.raises(KeyError, match=r"\[2\]"):
-        Sa.require_all_found(Sa.split_texts(split, texts.where("article_id <> 2"), ["clean_title"]), split)
+    lost = Sa.split_texts(split, texts.where("article_id <> 2"), ["clean_title"])
+    for action in (lost.count, lost.collect, lambda: lost.write.format("noop").mode("overwrite").save()):
+        with pytest.raises(PySparkException, match="No article for ids: 1, the smallest is 2"):
+            action()

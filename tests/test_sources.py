@@ -3,7 +3,7 @@ import json
 from pathlib import Path
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 
 from prosemill.operators.columns import normalized_names, with_row_ids
 from prosemill.sources import csv as Csv
@@ -89,3 +89,35 @@ def test_vocabulary_json_in_column_order(spark, tmp_path):
 def test_missing_input_is_an_error(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         Csv.read_csv(spark, str(tmp_path / "none.csv"))
+
+
+def test_surplus_cells_are_never_lost(spark, tmp_path):
+    good = 'title,text,label\nt1,"a,b\nc",0\nt2,short\n'
+    (tmp_path / "a.csv").write_text(good)
+    bad = 'title,text,label\nx,"y",0,lost1,lost2\nu,"v ""w"",\nz",1,more\nt3,ok,1\n'
+    (tmp_path / "b.csv").write_text(bad)
+    rows_, rejected = Csv.read_csv_apart(spark, str(tmp_path))
+    assert sorted(rows(rows_)) == [("t1", "a,b\nc", "0"), ("t2", "short", None), ("t3", "ok", "1")]
+    found = sorted(rows(rejected))
+    assert [f.rsplit("/", 1)[1] for f, _ in found] == ["b.csv", "b.csv"]
+    assert sorted(r.strip() for _, r in found) == ['u,"v ""w"",\nz",1,more', 'x,"y",0,lost1,lost2']
+    df = Csv.read_csv(spark, str(tmp_path))
+    for action in (df.count, df.collect, df.select("label").collect):
+        with pytest.raises(PySparkException, match="more cells than its header"):
+            action()
+    assert sorted(rows(Csv.read_csv(spark, str(tmp_path / "a.csv")), "title")) == [("t1",), ("t2",)]
+
+
+def test_files_are_read_by_their_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("title,text,label\nt1,b1,0\n")
+    (tmp_path / "b.csv").write_text("text,title,label\nb2,t2,1\n")
+    (tmp_path / "c.csv").write_text(",text\n7,b3\n")
+    (tmp_path / "d.csv").write_text("")
+    df = Csv.read_csv_by_header(spark, str(tmp_path))
+    assert df.columns == ["title", "text", "label", "unnamed: 0"]
+    assert sorted(rows(df), key=str) == [("t1", "b1", "0", None), ("t2", "b2", "1", None), (None, "b3", None, "7")]
+    with pytest.raises(Exception, match="header does not conform"):
+        Csv.read_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]).collect()
+    (tmp_path / "e.csv").write_text("text,text\n1,2\n")
+    with pytest.raises(ValueError, match="Duplicate column names"):
+        Csv.read_csv(spark, str(tmp_path / "e.csv"))

@@ -128,3 +128,35 @@ def test_read_order_ids_over_many_files(spark, tmp_path):
     got = rows(C.with_row_ids(spark.read.parquet(path)))
     assert sorted(row_id for row_id, _ in got) == list(range(1000))
     assert all(row_id == value for row_id, value in got)
+
+
+def test_first_copy_in_file_order(spark, tmp_path):
+    """A serial column that falls: by row id the last row of the file would stay."""
+    from prosemill.plans import stage1 as plan
+    from prosemill.sources.csv import read_csv
+
+    lines = ["A,x,1", "B,y,0", " A ,x,1", "C,z,0", "B,y,0"]
+    (tmp_path / "a.csv").write_text(",title,text,label\n" + "".join(f"{9 - i},{line}\n" for i, line in enumerate(lines)))
+    (tmp_path / "b.csv").write_text(",title,text,label\n" + "0,A,x,1\n")
+    raw_ = read_csv(spark, str(tmp_path))
+    by_file = plan.run(raw_, str(tmp_path / "out"), file_order=True, expected={"master": 3, "original": 7})
+    assert sorted(rows(by_file.master, S.ARTICLE_ID, S.ROW_ID, S.TITLE)) == [(0, 9, "A"), (1, 8, "B"), (2, 6, "C")]
+    assert sorted(rows(by_file.removed, S.ROW_ID)) == [(0,), (5,), (7,)]
+    assert {r[0]: r[1:] for r in rows(by_file.counts)}["original"] == (6, 7, "CHECK")
+    assert {r[0]: r[1:] for r in rows(by_file.counts)}["master"] == (3, 3, "OK")
+    by_id = plan.run(raw_, str(tmp_path / "out2"))
+    assert sorted(rows(by_id.master, S.ARTICLE_ID, S.ROW_ID)) == [(0, 0), (1, 5), (2, 6)]
+    assert by_file.master.columns == by_id.master.columns
+
+
+def test_conflicting_labels_stop_the_numbering(spark, tmp_path):
+    from prosemill.plans import stage1 as plan
+
+    df = raw(spark, [*RAW, (5, "A", "x", 0)])
+    with pytest.raises(Exception, match="conflicting labels 0 and 1"):
+        plan.run(df, str(tmp_path / "out"))
+    assert not list((tmp_path / "out").glob("articles/**/*.parquet"))
+
+
+def test_first_rows(spark):
+    assert rows(C.first_rows(raw(spark).repartition(3), 2), S.ROW_ID) == [(0,), (1,)]

@@ -93,3 +93,26 @@ def test_counting_in_the_row_equals_a_counter(spark):
     df = spark.createDataFrame(list(enumerate(lists)), "i int, terms array<string>")
     for i, counted in rows(counted_in_row(df, "terms")):
         assert {e["term"]: e["tf"] for e in counted} == dict(Counter(lists[i]))
+
+
+MARKERS = ["new york", "new york times", "times and fox", "fox news", "fox", "u.s.", "(afp)", "k-9", "times", "s"]
+
+
+def test_all_markers_by_one_search(spark):
+    """Overlapping, nested and case-folded markers against one search for each."""
+    import random
+
+    from prosemill.functions.matching import found_markers, has_marker
+
+    draw = random.Random(8)
+    bits = ["New York", "new  york", "Times", "times and fox", "Fox News", "foxnews", "U.S.", "u.s", "(AFP)", "k-9", "K-9", "\u212a-9", "ſ", "s", "fox", "and", "-", "_", ".", "é"]
+    texts = ["".join(draw.choice(bits) + draw.choice([" ", " ", "", ","]) for _ in range(draw.randrange(9))) for _ in range(1500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, c string")
+    for markers in (MARKERS, MARKERS[:5], ["fox"]):
+        for ignore in (True, False):
+            one = found_markers(df, "c", markers, "found", ignore_case=ignore)
+            each = F.array_compact(F.array(*[F.when(has_marker(F.col("c"), m, ignore_case=ignore), F.lit(m)) for m in markers]))
+            wrong = one.where(~F.col("found").eqNullSafe(each)).collect()
+            assert wrong == [], wrong[:3]
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
