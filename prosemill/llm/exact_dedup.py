@@ -23,12 +23,15 @@ STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    # stores of a stream that has ended are closed soon
+    "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
     # many small stores: no room is set aside on disk before it is needed
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     # each batch writes only what it changed
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+SHUFFLES = "spark.sql.shuffle.partitions"
 #: The log arrives in about so many batches.
 BATCHES = 3
 #: Rows that one copy of a kept text is compared with, at most (about).
@@ -60,33 +63,30 @@ def _state(log: DataFrame) -> DataFrame:
         entry = F.struct("doc_id", "locator")
         return log.groupBy("digest").agg(F.max(entry).alias("keeper"), F.count(F.lit(1)).alias("group_size"))
     folder = files[0].rsplit("/", 1)[0]
-    before = {name: spark.conf.get(name, None) for name in STATE}
     updates, progress = new_folder(spark, "state_updates"), new_folder(spark, "state_progress")
 
     def store(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{updates}/batch={number}")
 
-    for name, value in STATE.items():
-        spark.conf.set(name, value)
-    try:
-        stream = (
-            spark.readStream.schema(log.schema)
-            .option("maxFilesPerTrigger", math.ceil(len(files) / BATCHES))
-            .parquet(folder)
-            .groupBy("digest")
-            .agg(F.max(F.struct("doc_id", "locator")).alias("keeper"), F.count(F.lit(1)).alias("group_size"))
-        )
-        query = (
-            stream.writeStream.outputMode("update")
-            .foreachBatch(store)
-            .option("checkpointLocation", progress)
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    # a session of its own, so that the settings of the caller's stay as they are meanwhile
+    session = spark.newSession()
+    for name, value in (STATE | {SHUFFLES: spark.conf.get(SHUFFLES)}).items():
+        session.conf.set(name, value)
+    stream = (
+        session.readStream.schema(log.schema)
+        .option("maxFilesPerTrigger", math.ceil(len(files) / BATCHES))
+        .parquet(folder)
+        .groupBy("digest")
+        .agg(F.max(F.struct("doc_id", "locator")).alias("keeper"), F.count(F.lit(1)).alias("group_size"))
+    )
+    query = (
+        stream.writeStream.outputMode("update")
+        .foreachBatch(store)
+        .option("checkpointLocation", progress)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
     seen = spark.read.schema(stream.schema).parquet(updates)
     # a digest is written again whenever it grows: keepers and counts only rise
     return seen.groupBy("digest").agg(F.max("keeper").alias("keeper"), F.max("group_size").alias("group_size"))
@@ -138,7 +138,8 @@ def exact_groups(df: DataFrame, digest: Callable[[Column], Column] = sha256) ->
 
     Texts are equal when their bytes are; a null text counts as empty. Of equal texts the row with
     the largest id stays, a null id being the smallest; of repeated rows with that id the last in
-    the log stays. An empty table gives no rows.
+    the log stays. Texts of any length are compared whole; an empty table gives no rows; other columns
+    stay in the log as they came.
     """
     log = _log(df, digest)
     groups = kept(_groups(log, digest), "exact_groups")

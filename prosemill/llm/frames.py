@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,60 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         start = stop
 
 
+@contextmanager
+def no_collector() -> Iterator[None]:
+    """Without the search for cycles, which costs much where many small objects live and none are cyclic."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
+#: What an entry of a dict takes beside its characters, in bytes.
+ENTRY_BYTES = 160
+
+
+def entry_bytes(entries: dict[str, bytes]) -> int:
+    """About what some entries of a dict take."""
+    return sum(map(len, entries)) + sum(map(len, entries.values())) + ENTRY_BYTES * len(entries)
+
+
+class Remembered:
+    """What a worker has found out about words, within a bound of bytes (memory, not results), in two
+    generations: a word met in one batch only is forgotten soon, one that comes back is kept, so
+    rare words never drive out frequent ones."""
+
+    def __init__(self, most: int) -> None:
+        self.most = most // 2  # bytes of a generation
+        self.often: dict[str, bytes] = {}
+        self.once: dict[str, bytes] = {}
+        self.often_bytes = self.once_bytes = 0
+
+    def of(self, words: set[str]) -> tuple[dict[str, bytes], set[str]]:
+        """What is known of the words, and those of which nothing is."""
+        found = {w: self.often[w] for w in words & self.often.keys()}
+        again = {w: self.once.pop(w) for w in words & self.once.keys()}
+        size = entry_bytes(again)
+        self.once_bytes -= size
+        if self.often_bytes + size > self.most:
+            self.often, self.often_bytes = {}, 0
+        self.often.update(again)
+        self.often_bytes += size
+        found.update(again)
+        return found, words - found.keys()
+
+    def add(self, new: dict[str, bytes]) -> None:
+        size = entry_bytes(new)
+        if self.once_bytes + size > self.most:
+            self.once, self.once_bytes = {}, 0
+        if size <= self.most:
+            self.once.update(new)
+            self.once_bytes += size
+
+
 def arrow_schema(fields: str) -> pa.Schema:
     """The Arrow schema of a Spark DDL string, for the types used here."""
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
@@ -57,12 +113,14 @@ def arrow_schema(fields: str) -> pa.Schema:
 
 
 def map_texts(
-    df: DataFrame, fields: str, prepare: Callable[[], Callable[[list[str]], list]], limit: int = SLICE_BYTES
-) -> DataFrame:
+    df: DataFrame, fields: str, prepare: Callable[[], Callable[[list[str]], list]], limit: int = SLICE_BYTES,
+    finish: Callable[[], None] | None = None,
+) -> DataFrame:
     """Add columns worked out from each text; the text itself is left out.
 
     `prepare` runs once in a task and gives a function from a list of texts to one
-    list (or array) per new column. All other columns pass through as they are.
+    list (or array) per new column. All other columns pass through as they are. `finish` runs when
+    a task ends, to give up what its worker would keep.
     """
     kept = [f for f in df.schema.fields if f.name != "text"]
     added = arrow_schema(fields)
@@ -70,12 +128,16 @@ def map_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = prepare()
-        for batch in batches:
-            for part in slices(batch, limit=limit):
-                columns = work(part.column("text").to_pylist())
-                arrays = [part.column(f.name) for f in kept]
-                arrays += [pa.array(c, type=f.type) for c, f in zip(columns, added, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
+        try:
+            for batch in batches:
+                for part in slices(batch, limit=limit):
+                    columns = work(part.column("text").to_pylist())
+                    arrays = [part.column(f.name) for f in kept]
+                    arrays += [pa.array(c, type=f.type) for c, f in zip(columns, added, strict=True)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
+        finally:
+            if finish is not None:
+                finish()
 
     return df.mapInArrow(run, schema)
 

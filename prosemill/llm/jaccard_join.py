@@ -6,10 +6,15 @@ time, and a pair is dropped once the posterior probability that its similarity r
 threshold is below a tolerance. The nodes that are left over form loose components; inside one,
 the surviving pairs are verified on the full sets.
 
-No pair is ever written out: buckets and components are cut into blocks of bounded size, each pair
-of blocks is compared inside one task, and what leaves the task is a number of links per node and
-one link to the smallest node it hangs together with. Rows so grow with nodes times blocks, and a
-group that holds a third of the table is spread over many tasks.
+No pair is ever written out: buckets and components are cut into blocks of bounded bytes and numbers
+of nodes, pairs of blocks are compared inside one task, a bounded run of pairs at a time, and what
+leaves the task is a number of links per node and one link to the smallest node it hangs together
+with. A group that holds a third of the table so is spread over many tasks.
+
+Buckets only tell which nodes hang together. So every block of a large bucket is first compared
+with itself and with the bucket's first block, which joins copies of one text in rows that grow with
+the nodes; afterwards only nodes outside a bucket's largest component meet all of its blocks. Counting
+all links of a component takes all pairs of its blocks.
 
 With BANDS bands of ROWS rows a pair at the threshold of 0.8 misses every bucket with a
 probability of 5e-8; the tolerance adds 1e-6 at most for each look.
@@ -35,9 +40,10 @@ SHINGLE, THRESHOLD, TOLERANCE = 5, 0.8, 1e-6
 BANDS, ROWS, LOOK = 32, 4, 16
 FIRST_BANDS = 6
 HASHES = BANDS * ROWS
-#: Nodes of a bucket compared together, and bytes of text of a component verified together.
-BLOCK_NODES, BLOCK_BYTES = 512, 2 << 20
-REMEMBERED = 300_000
+#: Nodes of a bucket compared together; bytes of text and nodes of a component verified together.
+BLOCK_NODES, BLOCK_BYTES, BLOCK_MEMBERS = 512, 2 << 20, 1024
+#: Pairs looked at together, and hashes of words that a task remembers (memory, not results).
+RUN_PAIRS, REMEMBERED = 200_000, 100_000
 
 _random = np.random.default_rng(5)
 _FACTORS = _random.integers(1, 1 << 63, HASHES, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
@@ -143,14 +149,14 @@ def block_pairs(second: np.ndarray, crossing: bool) -> Iterator[tuple[np.ndarray
     n = len(second)
     if crossing:
         left, right = np.flatnonzero(~second), np.flatnonzero(second)
-        step = max(1, 200_000 // max(len(right), 1))
+        step = max(1, RUN_PAIRS // max(len(right), 1))
         if not len(right):
             return
         for at in range(0, len(left), step):
             some = left[at : at + step]
             yield np.repeat(some, len(right)), np.tile(right, len(some))
         return
-    step = max(1, 200_000 // max(n, 1))
+    step = max(1, RUN_PAIRS // max(n, 1))
     for at in range(0, n, step):
         some = np.arange(at, min(n, at + step))
         sizes = n - 1 - some
@@ -173,6 +179,14 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
+def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest row that each row hangs together with, by what is known and some more pairs."""
+    if not len(a):
+        return label
+    known = np.flatnonzero(label != np.arange(len(label)))
+    return roots(len(label), np.concatenate([a, known]), np.concatenate([b, label[known]]))
+
+
 def by_group(
     df: DataFrame, keys: list[str], order: list[str], fields: str, work: Callable[[list], list[list]], width: int
 ) -> DataFrame:
@@ -196,95 +210,108 @@ def by_group(
             for column, more in zip(out, work(list(zip(*rows, strict=True))), strict=True):
                 column.extend(more)
 
-        for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for row in zip(*columns, strict=True):
-                group = row[: len(keys)]
-                if group != current:
-                    if rows:
-                        finish()
-                    current, rows = group, []
-                    if len(out[0]) > 5000:
-                        yield flushed()
-                rows.append(row[len(keys) :])
-        if rows:
-            finish()
-        if out[0]:
-            yield flushed()
+        try:
+            for batch in batches:
+                columns = [c.to_pylist() for c in batch.columns]
+                for row in zip(*columns, strict=True):
+                    group = row[: len(keys)]
+                    if group != current:
+                        if rows:
+                            finish()
+                        current, rows = group, []
+                        if len(out[0]) > 5000:
+                            yield flushed()
+                    rows.append(row[len(keys) :])
+            if rows:
+                finish()
+            if out[0]:
+                yield flushed()
+        finally:
+            HASH.clear()
 
     placed = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     return placed.mapInArrow(run, fields)
 
 
-def _blocked(df: DataFrame, key: str, blocks: str) -> DataFrame:
-    """Each row once for every pair of blocks that its own block is part of."""
+def _blocked(df: DataFrame, key: str, blocks: str, others: Column | None = None) -> DataFrame:
+    """Each row once for every pair of blocks that its own block is part of, or for its pairs with
+    the blocks in `others`, which may use `block`."""
     block = F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col(blocks).cast("int") - 1))
-    rows = df.withColumn("block", block).withColumn("other", other)
+    every = F.sequence(F.lit(0), F.col(blocks).cast("int") - 1)
+    rows = df.withColumn("block", block).withColumn("other", F.explode(every if others is None else others))
     return rows.select(
         key, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        (F.col("block") != F.col("other")).alias("crossing"), (F.col("block") > F.col("other")).alias("second"), *[c for c in df.columns if c not in (key, blocks)],
+        (F.col("block") != F.col("other")).alias("crossing"), (F.col("block") > F.col("other")).alias("second"),
+        *[c for c in df.columns if c not in (key, blocks)],
     )
 
 
 def _compared(columns: list) -> list[list]:
-    """One pair of blocks of a bucket: each node that survives with another, and the smallest such."""
-    crossing, second, nodes, values = columns
+    """One pair of blocks of a bucket: each node that survives with another, and the smallest such.
+    Nodes that are known to hang together are not compared."""
+    crossing, second, nodes, labels, values = columns
     node = np.array(nodes, dtype=np.int64)
     table = np.frombuffer(b"".join(values), dtype=np.uint8).reshape(len(node), HASHES)
-    left, right = _survivors(table, np.array(second), any(crossing))
-    label = roots(len(node), left, right)
-    own = np.flatnonzero(label != np.arange(len(node)))
+    _, first, group = np.unique(np.array(labels, dtype=np.int64), return_index=True, return_inverse=True)
+    known = first[group.reshape(-1)]
+    label = joined(np.arange(len(node)), np.arange(len(node)), known)
+    before = label
+    for a, b in block_pairs(np.array(second), any(crossing)):
+        apart = label[a] != label[b]
+        label = joined(label, *surviving(table, a[apart], b[apart]))
+    own = np.flatnonzero(label != before)
     return [node[own].tolist(), node[label[own]].tolist()]
 
 
-def _survivors(table: np.ndarray, second: np.ndarray, crossing: bool) -> tuple[np.ndarray, np.ndarray]:
-    found = [surviving(table, a, b) for a, b in block_pairs(second, crossing)]
-    if not found:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
-
-
-def verified(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float = THRESHOLD):
-    """Pairs whose similarity on the full sets reaches the threshold. `left` must be sorted."""
-    if not len(left):
-        return left, right
-    sizes = np.array([len(s) for s in sets])
-    _, local = np.unique(np.concatenate(sets), return_inverse=True)
-    local = local.reshape(-1)
-    ends = np.cumsum(sizes)
-    marks = np.zeros(int(local.max()) + 1 if len(local) else 1, dtype=bool)
-    keep = np.zeros(len(left), dtype=bool)
-    borders = np.flatnonzero(np.append(True, left[1:] != left[:-1]))
-    for start, stop in zip(borders, np.append(borders[1:], len(left)), strict=True):
-        a = left[start]
-        own = local[ends[a] - sizes[a] : ends[a]]
-        marks[own] = True
-        for at in range(start, stop, 256):
-            some = right[at : min(stop, at + 256)]
-            joined = np.concatenate([local[ends[b] - sizes[b] : ends[b]] for b in some])
-            begins = np.cumsum(sizes[some]) - sizes[some]
-            both = np.add.reduceat(marks[joined].astype(np.int64), begins)
-            keep[at : at + len(some)] = both >= threshold * (sizes[a] + sizes[some] - both) - 1e-9
-        marks[own] = False
-    return left[keep], right[keep]
+class Sets:
+    """The shingle sets of some nodes, as small numbers side by side."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets])
+        _, local = np.unique(np.concatenate(sets), return_inverse=True)
+        self.local = local.reshape(-1)
+        self.ends = np.cumsum(self.sizes)
+        self.marks = np.zeros(int(self.local.max()) + 1 if len(self.local) else 1, dtype=bool)
+
+    def of(self, i: int) -> np.ndarray:
+        return self.local[self.ends[i] - self.sizes[i] : self.ends[i]]
+
+    def verified(self, left: np.ndarray, right: np.ndarray, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs whose similarity on the full sets reaches the threshold. `left` must be sorted."""
+        if not len(left):
+            return left, right
+        keep = np.zeros(len(left), dtype=bool)
+        borders = np.flatnonzero(np.append(True, left[1:] != left[:-1]))
+        for start, stop in zip(borders, np.append(borders[1:], len(left)), strict=True):
+            a = left[start]
+            own = self.of(a)
+            self.marks[own] = True
+            for at in range(start, stop, 256):
+                some = right[at : min(stop, at + 256)]
+                together = np.concatenate([self.of(b) for b in some])
+                begins = np.cumsum(self.sizes[some]) - self.sizes[some]
+                both = np.add.reduceat(self.marks[together].astype(np.int64), begins)
+                keep[at : at + len(some)] = both >= threshold * (self.sizes[a] + self.sizes[some] - both) - 1e-9
+            self.marks[own] = False
+        return left[keep], right[keep]
 
 
 def _verified_block(columns: list) -> list[list]:
     """One pair of blocks of a component: nodes and different texts each node is linked to, and the
-    smallest node it hangs together with."""
+    smallest node it hangs together with. Pairs are verified and added up a run at a time."""
     crossing, second, nodes, values, variants, texts = columns
     node = np.array(nodes, dtype=np.int64)
     table = np.frombuffer(b"".join(values), dtype=np.uint8).reshape(len(node), HASHES)
-    left, right = _survivors(table, np.array(second), any(crossing))
-    order = np.argsort(left, kind="stable")
-    left, right = verified([shingles(t) for t in texts], left[order], right[order])
-    links = np.bincount(left, minlength=len(node)) + np.bincount(right, minlength=len(node))
     weights = np.array(variants, dtype=np.int64)
-    linked = np.zeros(len(node), dtype=np.int64)
-    np.add.at(linked, left, weights[right])
-    np.add.at(linked, right, weights[left])
-    label = roots(len(node), left, right)
+    sets = Sets([shingles(t) for t in texts])
+    links, linked = np.zeros(len(node), dtype=np.int64), np.zeros(len(node), dtype=np.int64)
+    label = np.arange(len(node))
+    for a, b in block_pairs(np.array(second), any(crossing)):
+        left, right = sets.verified(*surviving(table, a, b))
+        links += np.bincount(left, minlength=len(node)) + np.bincount(right, minlength=len(node))
+        np.add.at(linked, left, weights[right])
+        np.add.at(linked, right, weights[left])
+        label = joined(label, left, right)
     own = np.flatnonzero(links)
     return [node[own].tolist(), links[own].tolist(), linked[own].tolist(), node[label[own]].tolist()]
 
@@ -306,35 +333,66 @@ def _signatures(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     texts = rows.select(F.col("row.doc_id").alias("doc_id"), "place", _text().alias("text"))
     texts = texts.withColumn("digest", F.unhex(F.md5("text")))
-    signed = frames.map_texts(texts, "key binary, n int, sig binary, bands array<bigint>", prepare)
+    signed = frames.map_texts(texts, "key binary, n int, sig binary, bands array<bigint>", prepare, finish=HASH.clear)
     return rows, kept(signed, "signatures")
 
 
-def _loose(nodes: DataFrame, bands: slice, labels: DataFrame | None) -> DataFrame:
-    """Links (a, b) between nodes that survive the comparison in a bucket of some bands.
-
-    Of buckets with the same nodes one is enough, and one whose nodes all have one label already
-    has nothing to add.
-    """
-    some = F.slice("bands", bands.start + 1, bands.stop - bands.start)
+def _met(nodes: DataFrame, labels: DataFrame | None, bands: int) -> tuple[DataFrame, DataFrame]:
+    """Members (bucket, band, node, label) of the first bands, and buckets of more than one label."""
     if labels is None:
         known = nodes.withColumn("label", F.col("node"))
     else:
         known = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    member = known.select("node", "label", F.explode(some).alias("bucket"))
+    member = known.select("node", "label", F.posexplode(F.slice("bands", 1, bands)).alias("band", "bucket"))
     buckets = member.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"),
+        F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"), F.min("band").alias("band"),
         F.min("node").alias("first"), F.max("node").alias("last"),
         F.min("label").alias("low"), F.max("label").alias("high"),
     )
-    mixed = buckets.where("size > 1 AND low < high")
-    alike = mixed.groupBy("size", "sum", "first", "last").agg(F.min("bucket").alias("bucket"))
-    chosen = alike.select("bucket", F.ceil(F.col("size") / BLOCK_NODES).alias("blocks"))
-    placed = member.join(chosen, "bucket").join(nodes.select("node", "sig"), "node")
-    blocks = _blocked(placed.select("bucket", "blocks", "node", "sig"), "bucket", "blocks")
+    return member, buckets.where("size > 1 AND low < high")
+
+
+def _chosen(buckets: DataFrame) -> DataFrame:
+    """Of buckets with the same nodes one is enough; and its number of blocks."""
+    alike = buckets.groupBy("size", "sum", "first", "last").agg(F.min("bucket").alias("bucket"))
+    return alike.select("bucket", F.ceil(F.col("size") / BLOCK_NODES).cast("int").alias("blocks"))
+
+
+def _links(placed: DataFrame, nodes: DataFrame, others: Column) -> DataFrame:
+    """Links (a, b) between nodes that survive the comparison in some pairs of blocks."""
+    rows = placed.join(nodes.select("node", "sig"), "node")
+    rows = rows.select("bucket", "blocks", "node", "label", "sig", *[c for c in ("minor", "mixed") if c in rows.columns])
+    blocks = _blocked(rows, "bucket", "blocks", others).select("bucket", "low", "high", "crossing", "second", "node", "label", "sig")
     return by_group(blocks, ["bucket", "low", "high"], ["node"], "a bigint, b bigint", _compared, 2)
 
 
+def _first_links(nodes: DataFrame) -> DataFrame:
+    """A few bands join most of what belongs together: each block with itself and with the first."""
+    member, buckets = _met(nodes, None, FIRST_BANDS)
+    placed = member.join(_chosen(buckets), "bucket")
+    block, blocks = F.col("block"), F.col("blocks")
+    others = F.when(block == 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(F.lit(0), block))
+    return kept(_links(placed, nodes, others), "loose")
+
+
+def _other_links(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Of all bands the buckets that hold several components can add to them. In a large one, the
+    nodes outside its largest component meet all others: blocks without such a node need not meet."""
+    member, buckets = _met(nodes, labels, BANDS)
+    done = (F.col("band") < FIRST_BANDS) & (F.col("size") <= BLOCK_NODES)
+    placed = kept(member.join(_chosen(buckets.where(~done)), "bucket").select("bucket", "blocks", "node", "label"), "placed")
+    large = placed.where("blocks > 1")
+    sizes = large.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    marked = large.join(largest, "bucket").withColumn("minor", F.col("label") != F.col("largest")).drop("largest")
+    mixed = marked.where("minor").groupBy("bucket").agg(F.collect_set(block).alias("mixed"))  # no more than its blocks
+    marked = marked.join(mixed, "bucket")
+    small = placed.where("blocks = 1").withColumns({"minor": F.lit(True), "mixed": F.array().cast("array<int>")})
+    others = F.when(F.col("minor"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.col("mixed"))
+    return kept(_links(small.unionByName(marked), nodes, others), "loose")
+
+
 def jaccard_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All rows, and for each row its place, class and numbers of links.
 
@@ -344,6 +402,8 @@ def jaccard_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     with the same set as its own among them; `keeper` is the place of the row that stands for the
     class. Texts without words are never linked, each row is a class of its own; null texts count
     as empty. Repeated rows and rows with the same set share class and links. Null ids sort last.
+    Texts of any length are compared whole, one longer than a block in a block of its own; an empty
+    table gives no rows. Other columns stay with the rows as they came.
     """
     rows, signed = _signatures(df)
     found = signed.where("n > 0").groupBy("key").agg(
@@ -352,16 +412,14 @@ def jaccard_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     variants = signed.where("n > 0").select("key", "digest").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("variants"))
     nodes = kept(found.join(variants, "key").withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    # a few bands join most of what belongs together; of the others only buckets that hold
-    # several components can add to them
-    first = kept(_loose(nodes, slice(0, FIRST_BANDS), None), "loose")
-    second = kept(_loose(nodes, slice(FIRST_BANDS, BANDS), components(first)), "loose")
-    groups = components(first.unionByName(second))
+    first = _first_links(nodes)
+    groups = components(first.unionByName(_other_links(nodes, components(first))))
 
     # verify inside each loose component
     at = nodes.select("node", "place", "sig", "variants").join(groups, "node")
     texts = kept(at.join(rows.select("place", _text().alias("text")), "place").select("label", "node", "sig", "variants", "text"), "members")
-    sizes = texts.groupBy("label").agg(F.ceil(F.sum(F.octet_length("text") + 200) / BLOCK_BYTES).alias("blocks"))
+    by_bytes, by_nodes = F.sum(F.octet_length("text") + 200) / BLOCK_BYTES, F.count(F.lit(1)) / BLOCK_MEMBERS
+    sizes = texts.groupBy("label").agg(F.ceil(F.greatest(by_bytes, by_nodes)).alias("blocks"))
     pieces = _blocked(texts.join(sizes, "label").select("label", "blocks", "node", "sig", "variants", "text"), "label", "blocks")
     checked = kept(
         by_group(pieces, ["label", "low", "high"], ["node"], "node bigint, links bigint, texts bigint, root bigint", _verified_block, 4),

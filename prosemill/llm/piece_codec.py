@@ -1,10 +1,13 @@
 """SentencePiece encoding and decoding as shortest paths through a weighted transducer.
 
-Three machines are compiled from a model file and composed with each input on the fly:
-
-* the normaliser writes a blank mark before the text and for each blank;
-* the piece machine (a trie with outputs) reads characters and writes piece ids, and bytes for a
-  character without a piece of its own;
+Four machines are compiled from a model file and composed with each input on the fly:
+
+* the normaliser (see `normaliser`) rewrites characters by the model's table, and writes a blank mark
+  before the text and for each blank;
+* the piece machine (a trie with outputs) reads characters and writes piece ids;
+* the byte machine stands in it for every character without a piece of its own: its one arc reads
+  the character, costs more than any piece, and writes the ids of the character's bytes (or the
+  unknown id, once for a run of such characters, if the model has no byte pieces);
 * the pair acceptor weighs neighbouring pieces. For a unigram model each piece costs its negative
   score and pairs are free. For a byte-pair model a pair is free if merging the two pieces' joined
   text gives just these two back, and costs infinity if not.
@@ -29,10 +32,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from prosemill.llm import frames
+from prosemill.llm.normaliser import Normaliser
 from prosemill.llm.pieces import BLANK, BPE, BYTE, NORMAL, UNIGRAM, read_model
 
-#: A task remembers the paths of so many pre-tokens, and so many pairs (memory, not results).
-REMEMBERED, REMEMBERED_PAIRS = 400_000, 1_000_000
+#: A worker remembers the paths of pre-tokens in so many bytes, and so many pairs (memory, not results).
+REMEMBERED_BYTES, REMEMBERED_PAIRS = 96 << 20, 300_000
 #: A character without a piece costs this much more than the worst piece (a fixed value of the format).
 STRANGE_COST = 10.0
 INFINITY = float("inf")
@@ -46,6 +50,7 @@ class Transducer:
         if model.model_kind not in (UNIGRAM, BPE):
             raise ValueError("Only unigram and byte-pair models are piece machines.")
         self.model = model
+        self.normaliser = Normaliser(model.char_map, model.trims_blanks)
         self.bpe = model.model_kind == BPE
         normal = [i for i, kind in enumerate(model.kinds) if kind == NORMAL]
         self.ids = {model.pieces[i]: i for i in normal}
@@ -80,11 +85,16 @@ class Transducer:
             for i, (piece, kind) in enumerate(zip(model.pieces, model.kinds, strict=True))
         ]
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.remembered: dict[str, bytes] = {}
+        self.remembered = frames.Remembered(REMEMBERED_BYTES)
+
+    def forget(self) -> None:
+        """Give up what was remembered of texts; the machine itself stays."""
+        self.pairs = {}
+        self.remembered = frames.Remembered(REMEMBERED_BYTES)
 
     def normal_form(self, text: str) -> str:
         """The output of the normaliser."""
-        marked = text.replace(" ", BLANK)
+        marked = self.normaliser.run(text).replace(" ", BLANK)
         return BLANK + marked if marked and self.model.dummy_prefix else marked
 
     def _merge(self, text: str) -> list[str]:
@@ -156,10 +166,10 @@ class Transducer:
         while i < n:
             j = i + 1
             state = trie.get(part[i])
-            ends = [j] if state is None or "" not in state else []
+            ends = [(j, part[i])] if state is None or "" not in state else []
             while state is not None:
                 if "" in state:
-                    ends.append(j)
+                    ends.append((j, state[""]))
                 if j == n:
                     break
                 state = state.get(part[j])
@@ -170,9 +180,8 @@ class Transducer:
                 if not ends:
                     waiting.pop()
                     continue
-                end = ends.pop()
+                end, piece = ends.pop()
                 if last[end] is None:
-                    piece = part[start:end]
                     if before is None:
                         break
                     free = pairs.get((before, piece))
@@ -185,15 +194,18 @@ class Transducer:
             n = back[n]
         return pieces[::-1]
 
+    def _written(self, char: str) -> bytes | None:
+        """What the byte machine writes for a character; None is the unknown id."""
+        if not self.byte_ids:
+            return None
+        return b"".join(self.packed_bytes[byte] for byte in char.encode())
+
     def part_ids(self, part: str) -> bytes:
-        """Ids of one part as 32-bit numbers. Characters without a piece give the ids of their
-        bytes, or one unknown id for a run of them if the model has no byte pieces."""
+        """Ids of one part as 32-bit numbers: what its shortest path writes."""
         packed, ids = [], self.packed
         unknown = False
         for piece in self.path(part):
-            found = ids.get(piece)
-            if found is None and self.byte_ids:
-                found = ids[piece] = b"".join(self.packed_bytes[b] for b in piece.encode())
+            found = ids[piece] if piece in ids else self._written(piece)
             if found is not None:
                 packed.append(found)
             elif not unknown:
@@ -203,22 +215,23 @@ class Transducer:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        remembered = self.remembered
         split = [self.parts.findall(self.normal_form(text)) for text in texts]
-        missing = set().union(*split).difference(remembered)
-        if len(remembered) + len(missing) > REMEMBERED:
-            remembered.clear()
-            missing = set().union(*split)
-        for part in missing:
-            remembered[part] = self.part_ids(part)
-        return [np.frombuffer(b"".join(map(remembered.__getitem__, s)), dtype=np.int32) for s in split]
+        known, missing = self.remembered.of(set().union(*split))
+        new = {part: self.part_ids(part) for part in missing}
+        self.remembered.add(new)
+        known.update(new)
+        return [np.frombuffer(b"".join(map(known.__getitem__, s)), dtype=np.int32) for s in split]
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text of ids: pieces with marks as blanks, runs of bytes as UTF-8, no leading blank of its own."""
-        data = b"".join(map(self.shown.__getitem__, ids.tolist()))
-        if self.model.dummy_prefix and data.startswith(b" "):
-            data = data[1:]
-        return data.decode("utf-8", "replace")
+        """The text of ids: pieces with marks as blanks, runs of bytes as UTF-8, no blank of the
+        normaliser's own at the beginning."""
+        shown = list(map(self.shown.__getitem__, ids.tolist()))
+        if self.model.dummy_prefix or self.model.trims_blanks:
+            for i, piece in enumerate(shown):
+                shown[i] = piece.removeprefix(b" ")
+                if shown[i] or not self.model.trims_blanks:
+                    break
+        return b"".join(shown).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -240,7 +253,7 @@ def encode_pieces(df: DataFrame, model: bytes, *more: str) -> DataFrame:
     def prepare() -> Callable[[list[str]], list]:
         return lambda batch: [machine(sent.value).encode(batch)]
 
-    return frames.map_texts(frames.texts(df, *more), "ids array<int>", prepare)
+    return frames.map_texts(frames.texts(df, *more), "ids array<int>", prepare, finish=lambda: machine(sent.value).forget())
 
 
 def decode_pieces(df: DataFrame, model: bytes) -> DataFrame:

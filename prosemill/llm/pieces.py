@@ -58,8 +58,8 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
 
 
 def read_model(data: bytes) -> Model:
-    """Parse a model file. Models with own or unused pieces, trimmed blanks or a table of
-    character rewrites are refused, since their texts would be encoded differently."""
+    """Parse a model file. Models with own or unused pieces, with bare blanks or with the blank mark
+    behind words are refused, since their texts would be encoded differently."""
     pieces, scores, kinds = [], [], []
     trainer: dict = {}
     rules: dict = {}
@@ -77,6 +77,6 @@ def read_model(data: bytes) -> Model:
         pieces, scores, kinds, trainer.get(3, UNIGRAM), bool(trainer.get(35, 0)),
         bool(rules.get(3, 1)), rules.get(2, b""), bool(rules.get(4, 1)),
     )
-    if model.char_map or model.trims_blanks or {USER_DEFINED, UNUSED} & set(kinds):
-        raise ValueError("This model rewrites characters, trims blanks or has own pieces.")
+    if {USER_DEFINED, UNUSED} & set(kinds) or not rules.get(5, 1) or trainer.get(24, 0):
+        raise ValueError("This model has own or unused pieces, bare blanks or marks behind words.")
     return model

@@ -35,6 +35,8 @@ class Merger:
         model = read_model(data)
         if model.model_kind != BPE:
             raise ValueError("Merging needs a BPE model.")
+        if model.char_map or model.trims_blanks:
+            raise ValueError("This model rewrites characters or trims blanks: see `piece_codec`.")
         self.dummy_prefix = model.dummy_prefix
         normal = [i for i, kind in enumerate(model.kinds) if kind == NORMAL]
         symbols = {model.pieces[i]: n for n, i in enumerate(normal)}

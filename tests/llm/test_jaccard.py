@@ -160,3 +160,37 @@ def test_links_between_different_texts(spark):
     got = dict(rows(J.jaccard_report(df), "doc_id", "n_text_links"))
     assert got == {i: likes.get(t, 0) for i, t in enumerate(texts)}
     assert [got[i] for i in (0, 1, 4, 6, 8)] == [3, 3, 3, 1, 0]
+
+
+def forms(count, places):
+    """Short texts that differ from one text in one word; two are a link if that word stands at the same place."""
+    base = [f"w{k}" for k in range(60)]
+    return [" ".join([*base[: places[i % len(places)]], f"new{i}", *base[places[i % len(places)] + 1 :]]) for i in range(count)]
+
+
+def test_many_short_copies_by_formula(spark):
+    """One form letter in thousands of variants: every block is full, all links are counted."""
+    places = [10, 10, 40]
+    df = spark.createDataFrame(list(enumerate(forms(3000, places))), "doc_id long, text string").repartition(4)
+    got = rows(J.jaccard_report(df), "doc_id", "class_id", "n_links", "n_text_links")
+    assert sorted(got) == [(i, 2 if i % 3 == 2 else 0, n := 999 if i % 3 == 2 else 1999, n) for i in range(3000)]
+
+
+def test_blocks_hold_bounded_runs_of_pairs(monkeypatch):
+    monkeypatch.setattr(J, "RUN_PAIRS", 1000)
+    for n in (0, 1, 2, 50, 300):
+        second = np.arange(n) % 3 == 0
+        for crossing in (False, True):
+            runs = list(J.block_pairs(second, crossing))
+            assert all(len(a) <= max(1000, n) for a, _ in runs)
+            want = int(second.sum()) * int((~second).sum()) if crossing else n * (n - 1) // 2
+            assert len({tuple(p) for a, b in runs for p in zip(a.tolist(), b.tolist(), strict=True)}) == sum(len(a) for a, _ in runs) == want
+
+
+def test_labels_join_up_over_runs():
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(0, 400, 300), rng.integers(0, 400, 300)
+    label = np.arange(400)
+    for at in range(0, 300, 7):
+        label = J.joined(label, a[at : at + 7], b[at : at + 7])
+    assert (label == J.roots(400, a, b)).all()

@@ -10,7 +10,7 @@ import sentencepiece
 
 from prosemill.llm.catalog import PIECE_MODEL, tokenizer_file
 from prosemill.llm.piece_codec import Transducer, decode_pieces, encode_pieces, machine, round_trip
-from prosemill.llm.pieces import BYTE, NORMAL, UNIGRAM, UNKNOWN, read_model
+from prosemill.llm.pieces import BYTE, NORMAL, UNIGRAM, UNKNOWN, _number, read_model
 from prosemill.llm.token_counts import count_texts, token_counts
 from tests.conftest import rows
 from tests.llm.common import AWKWARD, awkward, documents, empty
@@ -96,7 +96,40 @@ def test_strange_characters():
     assert ids[-2:] == [1 + 0xC3, 1 + 0xA9] and bytes_.decode(np.array(ids)) == "aé"
 
 
+def with_normaliser(data, spec):
+    """The model file with other rules for characters and blanks."""
+    out, at = b"", 0
+    while at < len(data):
+        start = at
+        tag, at = _number(data, at)
+        size, at = _number(data, at)
+        at += size
+        if tag >> 3 != 3:
+            out += data[start:at]
+    size, head = len(spec), b""
+    while size > 127:
+        head, size = head + bytes([size & 127 | 128]), size >> 7
+    return out + bytes([3 << 3 | 2]) + head + bytes([size]) + spec
+
+
+@pytest.mark.parametrize(("rule", "prefix", "trims"), [("nmt_nfkc", True, True), ("nmt_nfkc_cf", False, False), ("nfkc", True, False), ("identity", False, True)])
+def test_rewriting_models_are_the_librarys(data, rule, prefix, trims):
+    normal = sentencepiece.SentencePieceNormalizer(rule_name=rule, add_dummy_prefix=prefix, escape_whitespaces=True, remove_extra_whitespaces=trims)
+    changed = with_normaliser(data, normal.serialized_normalizer_spec())
+    library = sentencepiece.SentencePieceProcessor(model_proto=changed)
+    rng = random.Random(7)
+    odd = [*PARTS, "ｱﾊﾟｰﾄ", "①", "ﬁ", "e\u0301", "\u00a0", "\u200b", "\ufeff", "Ⅷ", "ABC", "ß", "\u3000", "㌔", "½", "\u00b4", "İ", "\u1e9b\u0323", "가", "\u0001"]
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randint(0, 40))) for _ in range(2000)] + ["", " ", "  ", "   a   b  "]
+    ours, want = Transducer(changed), library.encode(texts)
+    assert [ours.normal_form(t) for t in texts[:500]] == [normal.normalize(t) for t in texts[:500]]
+    got = ours.encode(texts)
+    assert [g.tolist() for g in got] == want
+    assert [ours.decode(g) for g in got] == library.decode(want)
+    assert ours.normaliser.begins is not None or rule == "identity"
+
+
 def test_models_that_would_be_read_wrongly_are_refused():
-    trims = toy([("a", -1.0)])[:-2] + b"\x20\x01"
-    with pytest.raises(ValueError, match="trims"):
-        read_model(trims)
+    bare = toy([("a", -1.0)])
+    bare = bare[:-5] + bytes([bare[-5] + 2]) + bare[-4:] + b"\x28\x00"
+    with pytest.raises(ValueError, match="bare blanks"):
+        read_model(bare)
