@@ -62,6 +62,11 @@ class WordHashes(dict):
 HASH = WordHashes()
 
 
+def forget() -> None:
+    """Give up the hashes of this worker's words. (Workers find it by name, so it is their own.)"""
+    HASH.clear()
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
@@ -227,7 +232,7 @@ def by_group(
             if out[0]:
                 yield flushed()
         finally:
-            HASH.clear()
+            forget()
 
     placed = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     return placed.mapInArrow(run, fields)
@@ -333,7 +338,7 @@ def _signatures(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     texts = rows.select(F.col("row.doc_id").alias("doc_id"), "place", _text().alias("text"))
     texts = texts.withColumn("digest", F.unhex(F.md5("text")))
-    signed = frames.map_texts(texts, "key binary, n int, sig binary, bands array<bigint>", prepare, finish=HASH.clear)
+    signed = frames.map_texts(texts, "key binary, n int, sig binary, bands array<bigint>", prepare, finish=forget)
     return rows, kept(signed, "signatures")
 
 
