@@ -1,6 +1,7 @@
 """Quality classifier: random-indexing word vectors, pooled, under a small calibrated network.
 
-Every word (by a hash in one of BUCKETS buckets) has a sparse random index vector. Over all texts
+Words are counted over all texts. Each of the OWN most frequent ones has a number of its own, all others
+share the remaining numbers by a hash. Every number has a sparse random index vector. Over all texts
 the index vectors of a word's neighbours are added up; that sum, brought to length one, beside the
 word's own index vector is its vector. A document is the weighted mean and the spread of its
 words' vectors. A network with one hidden layer is fitted to labelled documents, and a temperature,
@@ -9,8 +10,10 @@ found on documents kept aside, makes its outputs probabilities.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -23,7 +26,9 @@ from pyspark.sql import functions as F
 
 from prosemill.llm import frames
 
-BUCKETS, WIDTH = 1 << 15, 32
+#: Numbers of words, 0 being no word's; those of single words; the width of an index vector.
+BUCKETS, OWN, WIDTH = 1 << 15, (1 << 14) - 1, 32
+LONGEST = 64
 #: Neighbours on each side, and entries of an index vector that are not zero.
 REACH, ENTRIES = 2, 2
 #: Frequent words count less: SMOOTH / (SMOOTH + share of the word).
@@ -31,27 +36,58 @@ SMOOTH = 1e-3
 #: The network is fitted to at most so many labelled rows, chosen by a hash of their ids.
 SAMPLE = 20_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-4
-#: A task remembers the buckets of so many words (memory, not results).
-REMEMBERED = 400_000
+#: A task remembers the numbers of so many rarer words (memory, not results), and holds counts of so many.
+REMEMBERED, HELD = 100_000, 200_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 
-class Buckets(dict):
-    """Bucket of each word; bucket 0 stands between documents and is no word's."""
+class Numbers(dict):
+    """Number of each word: its own if it is among the most frequent, or one shared by its hash.
+    Number 0 stands between documents and is no word's."""
+
+    def __init__(self, frequent: list[str]):
+        super().__init__(zip(frequent, range(1, len(frequent) + 1), strict=True))
+        self.frequent = frequent
 
     def __missing__(self, word: str) -> int:
-        if len(self) > REMEMBERED:
+        if len(self) > len(self.frequent) + REMEMBERED:
             self.clear()
-        bucket = self[word] = zlib.crc32(word.encode("utf-8", "replace")) % (BUCKETS - 1) + 1
-        return bucket
+            self.update(zip(self.frequent, range(1, len(self.frequent) + 1), strict=True))
+        number = self[word] = zlib.crc32(word.encode("utf-8", "replace")) % (BUCKETS - 1 - OWN) + 1 + OWN
+        return number
+
+
+def frequent_words(df: DataFrame) -> list[str]:
+    """The OWN most frequent words of all texts, ties by the word; words of more than LONGEST
+    characters share numbers in any case, which bounds the list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+
+        def handed() -> Iterator[pa.RecordBatch]:
+            words = list(counts)
+            for at in range(0, len(words), 20_000):
+                some = words[at : at + 20_000]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([counts[w] for w in some], pa.int64())], names=["word", "n"])
+            counts.clear()
 
+        for batch in batches:
+            for part in frames.slices(batch):
+                for text in part.column("text").to_pylist():
+                    counts.update(TOKEN.findall(text))
+                if len(counts) > HELD:
+                    yield from handed()
+        yield from handed()
 
-BUCKET = Buckets()
+    parts = frames.texts(df).select("text").mapInArrow(run, "word string, n bigint")
+    short = parts.where(F.length("word") <= LONGEST)
+    ranked = short.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(OWN)
+    return [row["word"] for row in ranked.collect()]
 
 
 @lru_cache(maxsize=1)
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
-    """Places and signs of each bucket's index vector; bucket 0 has none."""
+    """Places and signs of each number's index vector; number 0 has none."""
     random = np.random.default_rng(20)
     places = random.integers(0, WIDTH, (BUCKETS, ENTRIES))
     signs = random.choice([-1.0, 1.0], (BUCKETS, ENTRIES))
@@ -59,27 +95,30 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return places, signs
 
 
-def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all tokens, text after text, and the number of tokens of each text."""
+def tokens(texts: list[str], numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all tokens, text after text, and how many tokens each text has."""
     found = [TOKEN.findall(text) for text in texts]
     sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-    ids = np.fromiter((BUCKET[w] for words in found for w in words), dtype=np.int64, count=int(sizes.sum()))
+    known = map(numbers.__getitem__, itertools.chain.from_iterable(found))
+    ids = np.fromiter(known, dtype=np.int64, count=int(sizes.sum()))
     return ids, sizes
 
 
-def context_sums(df: DataFrame) -> np.ndarray:
-    """For each bucket the sum of its neighbours' index vectors, and in the last column its count.
+def context_sums(df: DataFrame, frequent: list[str]) -> np.ndarray:
+    """For each number the sum of its neighbours' index vectors, and in the last column its count.
 
     All texts take part; each task sends one table of fixed size.
     """
     width = WIDTH + 1
+    sent = df.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = Numbers(sent.value)
         places, signs = index_vectors()
         total = np.zeros(BUCKETS * width)
         for batch in batches:
             for part in frames.slices(batch):
-                ids, sizes = tokens(part.column("text").to_pylist())
+                ids, sizes = tokens(part.column("text").to_pylist(), numbers)
                 gap = np.repeat(np.arange(len(sizes)), sizes) * REACH  # so many zeros before each text
                 spread = np.zeros(len(ids) + REACH * len(sizes), dtype=np.int64)
                 spread[np.arange(len(ids)) + gap] = ids
@@ -95,7 +134,7 @@ def context_sums(df: DataFrame) -> np.ndarray:
 
 
 def word_vectors(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Vector and weight of each bucket."""
+    """Vector and weight of each number."""
     places, signs = index_vectors()
     own = np.zeros((BUCKETS, WIDTH))
     for k in range(ENTRIES):
@@ -107,9 +146,9 @@ def word_vectors(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.hstack([context, own]).astype(np.float32), (SMOOTH / (SMOOTH + share)).astype(np.float32)
 
 
-def pooled(texts: list[str], vectors: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def pooled(texts: list[str], numbers: Numbers, vectors: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Weighted mean and spread of each text's word vectors; zeros for a text without words."""
-    ids, sizes = tokens(texts)
+    ids, sizes = tokens(texts, numbers)
     out = np.zeros((len(texts), 2 * vectors.shape[1]), dtype=np.float32)
     full = np.flatnonzero(sizes)
     starts = (np.cumsum(sizes) - sizes)[full]
@@ -198,24 +237,30 @@ def quality_scores(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Da
 
     Word vectors are learned from all texts, the network from at most `sample` labelled rows chosen
     by a hash. Null and empty texts are scored like any text without words; repeated rows are
-    scored each; labels that are null are left out. The word vectors have a fixed size.
+    scored each, a text of any length whole; labels that are null are left out; an empty table gives
+    no rows; other columns are not read. The word vectors have a fixed size.
     """
     spark = df.sparkSession
-    vectors, weights = word_vectors(context_sums(df))
-    sent = spark.sparkContext.broadcast((vectors, weights))
+    frequent = frequent_words(df)
+    vectors, weights = word_vectors(context_sums(df, frequent))
+    sent = spark.sparkContext.broadcast((frequent, vectors, weights))
     usable = labels.where(F.col("quality").isNotNull()).select("doc_id", F.col("quality").cast("double").alias("quality"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
     rows = frames.texts(df).join(chosen, "doc_id")
 
     def features() -> Callable[[list[str]], list]:
-        return lambda batch: [list(pooled(batch, *sent.value).astype(np.float32))]
+        words, *rest = sent.value
+        numbers = Numbers(words)
+        return lambda batch: [list(pooled(batch, numbers, *rest).astype(np.float32))]
 
     seen = frames.map_texts(rows, "features array<float>", features).orderBy("doc_id", "quality").limit(sample).collect()
     x = np.array([r["features"] for r in seen], dtype=np.float64).reshape(-1, 2 * vectors.shape[1])
     model = spark.sparkContext.broadcast(fit(x, np.array([r["quality"] for r in seen], dtype=np.float64)))
 
     def prepare() -> Callable[[list[str]], list]:
-        return lambda batch: [model.value.scores(pooled(batch, *sent.value))]
+        words, *rest = sent.value
+        numbers = Numbers(words)
+        return lambda batch: [model.value.scores(pooled(batch, numbers, *rest))]
 
     return frames.map_texts(frames.texts(df), "score double", prepare)
 

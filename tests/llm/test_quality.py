@@ -1,10 +1,12 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from prosemill.llm.frames import table
-from prosemill.llm.quality import BUCKETS, REACH, WIDTH, context_sums, fit, index_vectors, quality_report, tokens
+from prosemill.llm import quality as Q
+from prosemill.llm.quality import BUCKETS, REACH, WIDTH, Numbers, context_sums, fit, frequent_words, index_vectors, pooled, quality_report, tokens
 from tests.conftest import rows
 from tests.llm.common import MIDDLE, awkward, documents, empty
 
@@ -13,19 +15,50 @@ def test_context_sums_by_definition(spark):
     docs = documents()[:40]
     df = spark.createDataFrame([(d["doc_id"], d["text"]) for d in docs], "doc_id long, text string").repartition(7)
     places, signs = index_vectors()
+    frequent = frequent_words(df)
+    numbers = Numbers(frequent)
     want = np.zeros((BUCKETS, WIDTH + 1))
     for d in docs:
-        ids = tokens([d["text"]])[0].tolist()
+        ids = tokens([d["text"]], numbers)[0].tolist()
         for i, word in enumerate(ids):
             want[word, WIDTH] += 1
             for other in ids[max(0, i - REACH) : i] + ids[i + 1 : i + 1 + REACH]:
                 np.add.at(want[word], places[other], signs[other])
     want[0, :] = 0
-    got = context_sums(df)
+    got = context_sums(df, frequent)
     got[0, :] = 0
     assert np.allclose(got, want)
 
 
+def test_frequent_words_have_numbers_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(Q, "OWN", 50)
+    docs = documents()[:60]
+    df = spark.createDataFrame([(d["doc_id"], d["text"]) for d in docs], "doc_id long, text string").repartition(5)
+    counts = Counter(w for d in docs for w in Q.TOKEN.findall(d["text"] or ""))
+    frequent = frequent_words(df)
+    assert frequent == sorted(counts, key=lambda w: (-counts[w], w.encode()))[:50]
+    numbers = Numbers(frequent)
+    assert [numbers[w] for w in frequent] == list(range(1, 51))
+    assert all(50 < numbers[w] < BUCKETS for w in counts if w not in frequent)
+
+
+def test_pooling_by_definition():
+    random = np.random.default_rng(3)
+    numbers = Numbers(["a", "b", "c"])
+    vectors, weights = random.normal(size=(BUCKETS, 4)).astype(np.float32), random.random(BUCKETS).astype(np.float32)
+    texts = ["a b b strange", "", "c", "!! a"]
+    found = pooled(texts, numbers, vectors, weights)
+    for text, got in zip(texts, found, strict=True):
+        ids = [numbers[w] for w in Q.TOKEN.findall(text)]
+        if not ids:
+            assert not got.any()
+            continue
+        w, v = weights[ids], vectors[ids]
+        mean = (v * w[:, None]).sum(0) / w.sum()
+        spread = np.sqrt((w[:, None] * (v - mean) ** 2).sum(0) / w.sum())
+        assert np.allclose(got, np.concatenate([mean, spread]), atol=1e-3)
+
+
 def test_network_learns_and_is_calibrated():
     random = np.random.default_rng(1)
     x = random.normal(size=(4000, 10))
