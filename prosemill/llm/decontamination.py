@@ -105,8 +105,9 @@ def contamination(
     """Per row: its words, its hit words with their offsets in the original text, and the items
     whose windows occur, sorted as text.
 
-    A null text has no words and is clean; repeated rows are scanned each; an empty benchmark
-    hits nothing; an item id that repeats counts once; of other columns those in `more` stay.
+    A null text has no words and is clean; repeated rows are scanned each, a text of any length
+    whole; an empty table gives no rows, an empty benchmark hits nothing; an item id that repeats
+    counts once; of other columns those in `more` stay.
 
     The benchmark's bytes are summed before any of it is sent: up to `block_bytes` there is one
     automaton and the corpus is scanned once. A larger one is cut into blocks of that size by a

@@ -136,7 +136,8 @@ def predicted_languages(df: DataFrame, profiles: DataFrame, *more: str) -> DataF
     texts without a letter are `und`; if no language was learned, so are all.
 
     The profiles (at most PROFILE rows for each language that was learned) are fetched and sent to
-    the executors. Repeated rows are judged each; other columns than those asked for are left out.
+    the executors. Repeated rows are judged each, by the whole of a text of any length; an empty table
+    gives no rows; other columns than those asked for are left out.
     """
     rows = [(r["lang"], r["gram"], r["place"]) for r in profiles.collect()]
     sent = df.sparkSession.sparkContext.broadcast(rows)

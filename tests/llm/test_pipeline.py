@@ -2,11 +2,12 @@ from collections import defaultdict
 
 import public_tokenizers
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from prosemill.llm.frames import table
 from tests.conftest import rows
-from tests.llm.common import SF, documents
+from tests.llm.common import AWKWARD, SF, awkward, documents, empty
 from tests.llm.test_decontamination import brute as contaminated
 from tests.llm.test_jaccard import brute as classes
 
@@ -45,3 +46,25 @@ def test_each_stage_against_plain_code(spark):
 def test_run(spark):
     whole = P.run(spark, SF)
     assert whole.columns == ["doc_id", "lang", "source", "ids"] and 100 < whole.count() < 200
+
+
+def written(spark, tmp_path, docs, items):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_run_over_awkward_rows(spark, tmp_path):
+    docs = awkward(spark).withColumns({"lang": F.lit(None).cast("string"), "source": F.lit("s")})
+    sf_dir = written(spark, tmp_path, docs, [("q1", "word word"), ("q2", None)])
+    got = rows(P.run(spark, sf_dir), "doc_id", "ids")
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    texts = dict(AWKWARD)
+    assert sorted(got, key=str) == sorted([(i, library.encode(texts[i])) for i in (None, 5, 6, 8, 9, 12)], key=str)
+
+
+def test_run_over_an_empty_table(spark, tmp_path):
+    docs = empty(spark).withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(1)})
+    assert rows(P.run(spark, written(spark, tmp_path, docs, [("q", "a b c")]))) == []
+    for _, stage in P.STAGES:
+        assert stage(spark, docs, str(tmp_path)).count() == 0
