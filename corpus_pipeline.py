@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and gives the rows it keeps, with the columns of
 `documents`; the last one gives piece ids. Between stages the rows are written as Parquet in the
 shared folder and read again, so a lost executor costs one stage's work at most.
+
+All stages read whole texts of any length and take null ids, repeated ids, repeated rows and further
+columns as they come; a stage over an empty table gives an empty one. Columns that carry the names
+used inside do no harm.
 """
 
 from __future__ import annotations
@@ -20,28 +24,34 @@ from prosemill.llm.shared import kept
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go; those with letters stay, whatever language is predicted."""
+    """Documents without a letter go, null and blank texts among them; those with letters stay,
+    whatever language is predicted, repeated rows each."""
     return with_language(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest id stays."""
+    """Of equal texts the one with the largest id stays, of repeated rows with that id one; null texts
+    count as empty, null ids as the smallest."""
     return without_copies(docs)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the one with the smallest id stays."""
+    """Of each class of near copies the one with the smallest id stays, a null id only where there is
+    no other; of repeated rows one. Texts without words stay, each."""
     return one_per_class(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go, repeated rows each; null texts stay, and
+    with an empty benchmark all do."""
     return without_benchmark(docs, table(spark, sf_dir, "benchmark"))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each document's pieces."""
-    return encode_pieces(docs, tokenizer_file(PIECE_MODEL), "lang", "source")
+    """Ids of each document's pieces, beside its id and, where there are such columns, its language and
+    source; a null text has no pieces, repeated rows are encoded each."""
+    beside = [name for name in ("lang", "source") if name in docs.columns]
+    return encode_pieces(docs, tokenizer_file(PIECE_MODEL), *beside)
 
 
 STAGES = [
