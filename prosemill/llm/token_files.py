@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,18 +29,26 @@ from prosemill.llm.wavelet import WaveletMatrix
 SHARD_TOKENS = 1 << 20
 #: Bytes that remembered words may take in a worker (memory, not results), and bytes of texts that
 #: are encoded together.
-REMEMBERED_BYTES, TOGETHER_BYTES = 192 << 20, 8 << 20
+REMEMBERED_BYTES, TOGETHER_BYTES = 160 << 20, 8 << 20
 #: Blanks of str.split that the tokenizer does not take for white space.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 SHARDS = "part int, shard int, n_tokens bigint, image binary"
 DOCUMENTS = "part int, shard int, doc_id bigint, begin bigint, n_tokens bigint, ids_crc32 bigint"
 
 
+def stem_of(word: str) -> str:
+    """A word without the ASCII punctuation behind its letters, in small letters if it is ASCII.
+    The tokenizer cuts there too and does not tell letters' cases apart; other words stay whole."""
+    stem = word.rstrip(string.punctuation)
+    if not (stem.isalpha() and stem.lower().isalpha()):  # a small form may hold a mark
+        return word
+    return stem.lower() if stem.isascii() else stem
+
+
 class WordEncoder:
-    """Ids by the tokenizers library, word by word: right for a tokenizer that drops white space and
-    never joins across it. Each distinct word is encoded by the library once and remembered within a
-    bound of bytes; when that is reached, the words of the texts at hand stay, so rare words never
-    drive out frequent ones."""
+    """Ids by the tokenizers library, word by word: right for a tokenizer that drops white space,
+    never joins across it, cuts letters from punctuation and lower-cases. Each distinct stem and
+    tail is encoded by the library once, and remembered within a bound of bytes."""
 
     def __init__(self, tokenizer: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,34 +58,43 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.known: dict[str, bytes] = {}
+        self.remembered: dict[str, bytes] = {}
         self.size = 0
 
     def _by_library(self, words: list[str]) -> dict[str, bytes]:
         """Ids of each word, all words in one call."""
-        if not words:
-            return {}
         found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
         ids = np.array(found.ids, dtype=self.kind)
         ends = np.cumsum(np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(words))).tolist() if len(ids) else [0] * len(words)
         packed, size = ids.tobytes(), ids.itemsize
         return {w: packed[a * size : b * size] for w, a, b in zip(words, [0, *ends], ends, strict=False)}
 
+    def _learn(self, words: set[str]) -> None:
+        known = self.remembered
+        stems = {word: stem_of(word) for word in words}
+        tails = {word[len(stem) :] for word, stem in stems.items()}
+        parts = self._by_library(list(tails.union(stems.values()).difference(known, ("",))))
+        parts[""] = b""
+        made = {}
+        for word, stem in stems.items():
+            tail = word[len(stem) :]
+            first = parts[stem] if stem in parts else known[stem]
+            made[word] = first + (parts[tail] if tail in parts else known[tail]) if tail else first
+        parts.update(made)
+        known.update(parts)
+        self.size += frames.entry_bytes(parts)
+
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         split = [
             t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
             if any(c in t for c in SEPARATORS) else t.split() for t in texts
         ]
-        new = self._by_library(list(set(itertools.filterfalse(self.known.__contains__, itertools.chain.from_iterable(split)))))
-        size = frames.entry_bytes(new)
-        if self.size + size > REMEMBERED_BYTES:
-            here = set().union(*split)
-            self.known = {word: ids for word, ids in self.known.items() if word in here}
-            self.size = frames.entry_bytes(self.known)
-        self.known.update(new)
-        self.size += size
+        if self.size > REMEMBERED_BYTES:
+            self.remembered, self.size = {}, 0
+        known = self.remembered
+        self._learn(set(itertools.filterfalse(known.__contains__, itertools.chain.from_iterable(split))))
         last = np.array([end], dtype=self.kind).tobytes()
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, s)) + last, dtype=self.kind) for s in split]
+        return [np.frombuffer(b"".join(map(known.__getitem__, s)) + last, dtype=self.kind) for s in split]
 
 
 @lru_cache(maxsize=2)
