@@ -161,6 +161,7 @@ def _trained(df: DataFrame, lexicon, weights: R.Weights) -> R.Weights:
                     encoded.append(known.symbols(words, known.placed(words)))
                 trainer.train(encoded)
                 seen += sum(len(t) for _, t in encoded)
+        trainer.finish()
         if seen:
             values = np.append(R.packed(trainer.weights) * (seen / 1e6), seen / 1e6)
             yield frames.pieces_of(values, TaskContext.get().partitionId() // frames.FAN_IN)
@@ -211,8 +212,9 @@ def lm_scores(df: DataFrame, training: DataFrame, rounds: int = ROUNDS) -> DataF
 
     A null text counts as empty and is its end alone; repeated rows are learned from and scored
     each; without training texts every token has the base's probability for an unseen one. Every
-    training token is trained on once, in one of the rounds. Only the most frequent words, at most
-    SENT_WORDS, are sent to tasks.
+    training token is trained on once, in one of the rounds. A text of any length is scored whole,
+    its state carried to its end; an empty table gives no rows; other columns are not read. Only the
+    most frequent words, at most SENT_WORDS, are sent to tasks.
     """
     context = df.sparkSession.sparkContext
     learned = frames.texts(training)

@@ -7,6 +7,8 @@ the output layers at zero the biases make the model the unigram model it starts
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 
 SYMBOLS, CLASS = 2048, 64
@@ -18,8 +20,9 @@ SUFFIXES = 256
 INPUTS = SYMBOLS + SUFFIXES
 HIDDEN, WINDOW, LANES = 16, 32, 192
 RATE, CLIP = 6e-3, 1.0
-#: Rows that are scored together, few enough for the processor's cache.
-ROWS = 4096
+#: Lanes of texts that are scored side by side, and rows whose outputs are worked out together: few
+#: enough for the processor's cache.
+SCORED, ROWS = 1024, 16384
 
 Weights = dict[str, np.ndarray]
 
@@ -40,22 +43,40 @@ def initial(share: np.ndarray) -> Weights:
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-x))
+def _gates(x: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """Both gates, in the place of their part of `x`."""
+    gates = x[:, : 2 * HIDDEN]
+    gates += u[:, : 2 * HIDDEN]
+    np.negative(gates, out=gates)
+    np.exp(gates, out=gates)
+    gates += 1
+    return np.reciprocal(gates, out=gates)
 
 
 def _step(weights: Weights, tokens: np.ndarray, state: np.ndarray):
     """The state after one symbol in each lane, and what the way back needs."""
     x, u = weights["inputs"][tokens], state @ weights["gates"]
-    gates = _sigmoid(x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
+    gates = _gates(x, u)
     reset, keep = gates[:, :HIDDEN], gates[:, HIDDEN:]
-    new = np.tanh(x[:, 2 * HIDDEN :] + reset * u[:, 2 * HIDDEN :])
-    return new + keep * (state - new), (reset, keep, new, u)
-
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    new = reset * u[:, 2 * HIDDEN :]
+    new += x[:, 2 * HIDDEN :]
+    np.tanh(new, out=new)
+    after = state - new
+    after *= keep
+    after += new
+    return after, (reset, keep, new, u)
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Probabilities of each row. The largest entry is taken off only where needed."""
+    with np.errstate(over="ignore"):
+        made = np.exp(x)
+        total = made @ np.ones(x.shape[1], dtype=x.dtype)
+    if not (np.isfinite(total).all() and total.min() > 1e-30):
+        made = np.exp(x - x.max(axis=1, keepdims=True))
+        total = made.sum(axis=1)
+    made *= (1.0 / total)[:, None]
+    return made
 
 
 def log_probabilities(weights: Weights, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
@@ -91,132 +112,215 @@ def _log_probabilities(weights: Weights, states: np.ndarray, targets: np.ndarray
 def document_scores(weights: Weights, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Log-likelihood of whole texts, each given as its input and target symbols.
 
-    Texts run side by side, the longest first; a window's states are scored together and the state
-    goes on into the next window, to the end of every text.
+    Texts are laid end to end in lanes, the longest first into the shortest lane; a window's states
+    are scored together and the state goes on into the next window, to the end of every text.
     """
-    lengths = np.array([len(t) for _, t in texts])
-    order = np.argsort(-lengths, kind="stable")
-    total = np.zeros(len(texts))
-    if not len(texts):
-        return total
-    flat_in, flat_out = (np.concatenate([texts[i][k] for i in order]) for k in (0, 1))
-    sizes = lengths[order]
+    if not texts:
+        return np.zeros(0)
+    lanes: list[list[int]] = [[] for _ in range(min(SCORED, len(texts)))]
+    waiting = [(0, i) for i in range(len(lanes))]
+    for n in sorted(range(len(texts)), key=lambda n: -len(texts[n][1])):
+        length, i = waiting[0]
+        lanes[i].append(n)
+        heapq.heapreplace(waiting, (length + len(texts[n][1]), i))
+    lanes.sort(key=lambda lane: -sum(len(texts[n][1]) for n in lane))
+    order = [n for lane in lanes for n in lane]
+    lengths = np.array([len(texts[n][1]) for n in order])
+    flat_in, flat_out = (np.concatenate([texts[n][k][: len(texts[n][1])] for n in order]) for k in (0, 1))
+    owner = np.repeat(np.array(order), lengths)
+    fresh = np.zeros(len(flat_out), dtype=bool)
+    fresh[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
+    sizes = np.array([sum(len(texts[n][1]) for n in lane) for lane in lanes])
     starts = np.cumsum(sizes) - sizes
-    state = np.zeros((len(texts), HIDDEN), dtype=np.float32)
+    total = np.zeros(len(texts))
+    state = np.zeros((len(lanes), HIDDEN), dtype=np.float32)
     for begin in range(0, int(sizes[0]), WINDOW):
-        states, targets, owners = [], [], []
+        states, places = [], []
         for t in range(begin, min(begin + WINDOW, int(sizes[0]))):
             live = int(np.searchsorted(-sizes, -t, "left"))
             at = starts[:live] + t
+            state[:live][fresh[at]] = 0
             states.append(_advance(weights, flat_in[at], state, live))
-            targets.append(flat_out[at])
-            owners.append(np.arange(live))
-        found = log_probabilities(weights, np.concatenate(states), np.concatenate(targets))
-        total += np.bincount(np.concatenate(owners), found, len(texts))
-    out = np.zeros(len(texts))
-    out[order] = total
-    return out
+            places.append(at)
+        where = np.concatenate(places)
+        found = log_probabilities(weights, np.concatenate(states), flat_out[where])
+        total += np.bincount(owner[where], found, len(texts))
+    return total
 
 
 def _advance(weights: Weights, tokens: np.ndarray, state: np.ndarray, live: int) -> np.ndarray:
-    """Move the live lanes one symbol on, in place."""
-    after, _kept = _step(weights, tokens, state[:live])
-    state[:live] = after
-    return after
+    """Move the live lanes one symbol on, in place; gives a copy of their states. The same as `_step`
+    without what the way back needs."""
+    x, own = weights["inputs"][tokens], state[:live]
+    u = own @ weights["gates"]
+    gates, new = _gates(x, u), x[:, 2 * HIDDEN :]
+    u = u[:, 2 * HIDDEN :]
+    u *= gates[:, :HIDDEN]
+    new += u
+    np.tanh(new, out=new)
+    own -= new
+    own *= gates[:, HIDDEN:]
+    own += new
+    return own.copy()
+
+
+class Lane:
+    """Texts laid end to end, waiting to be trained on."""
+
+    def __init__(self) -> None:
+        self.parts: list[np.ndarray] = []
+        self.length = 0
+
+    def add(self, text: tuple[np.ndarray, np.ndarray]) -> None:
+        inputs, targets = text
+        fresh = np.zeros(len(targets), dtype=np.int16)
+        fresh[:1] = 1
+        self.parts.append(np.stack([inputs[: len(targets)].astype(np.int16), targets.astype(np.int16), fresh]))
+        self.length += len(targets)
+
+    def taken(self, length: int) -> np.ndarray:
+        """The first symbols: inputs, targets, and where a text begins."""
+        whole = np.concatenate(self.parts, axis=1)
+        self.parts, self.length = [whole[:, length:]], whole.shape[1] - length
+        return whole[:, :length]
 
 
 class Trainer:
-    """Truncated backpropagation through windows of symbols, with Adam."""
+    """Truncated backpropagation through windows of symbols, with Adam.
+
+    Texts are laid end to end in LANES lanes that move on together, so a window is full whatever
+    the lengths of the texts are. The state is carried from window to window through a text and starts
+    anew where the next one begins; the gradient stops at both.
+    """
 
     def __init__(self, weights: Weights):
         self.weights = {k: v.copy() for k, v in weights.items()}
         self.first = {k: np.zeros_like(v) for k, v in weights.items()}
         self.second = {k: np.zeros_like(v) for k, v in weights.items()}
         self.steps = 0
+        self.lanes = [Lane() for _ in range(LANES)]
+        self.state = np.zeros((LANES, HIDDEN), dtype=weights["gates"].dtype)
 
     def train(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """One pass over runs of symbols, LANES side by side; the state is carried from window to
-        window, the gradient stops at a window's border."""
-        texts = sorted((t for t in texts if len(t[1])), key=lambda t: -len(t[1]))
-        for at in range(0, len(texts), LANES):
-            lanes = texts[at : at + LANES]
-            sizes = np.array([len(t) for _, t in lanes])
-            state = np.zeros((len(lanes), HIDDEN), dtype=np.float32)
-            for begin in range(0, int(sizes[0]), WINDOW):
-                live = int((sizes > begin).sum())
-                stop = min(begin + WINDOW, int(sizes[0]))
-                inputs = np.zeros((stop - begin, live), dtype=np.int64)
-                targets = np.full((stop - begin, live), -1, dtype=np.int64)
-                for lane in range(live):
-                    a, b = lanes[lane][0][begin:stop], lanes[lane][1][begin:stop]
-                    inputs[: len(a), lane] = a
-                    targets[: len(b), lane] = b
-                state = self._window(inputs, targets, state[:live])
-
-    def _window(self, inputs: np.ndarray, targets: np.ndarray, state: np.ndarray) -> np.ndarray:
+        """Put texts into the lanes, the longest first into the shortest lane, and train on the
+        windows that all lanes can fill."""
+        waiting = [(lane.length, i) for i, lane in enumerate(self.lanes)]
+        heapq.heapify(waiting)
+        for text in sorted((t for t in texts if len(t[1])), key=lambda t: -len(t[1])):
+            i = waiting[0][1]
+            self.lanes[i].add(text)
+            heapq.heapreplace(waiting, (self.lanes[i].length, i))
+        full = waiting[0][0] // WINDOW * WINDOW
+        if full:
+            self._windows(np.arange(LANES), full)
+
+    def finish(self) -> None:
+        """Train on what is left in the lanes. It is cut into equal parts, so that the last windows are
+        full as well; a text that is cut there goes on from a fresh state."""
+        left = np.concatenate([lane.taken(lane.length) for lane in self.lanes if lane.length] or [np.zeros((3, 0), np.int16)], axis=1)
+        size = max(WINDOW, -(-left.shape[1] // LANES))
+        self.state[:] = 0
+        for i in range(0, left.shape[1], size):
+            part = left[:, i : i + size]
+            part[2, 0] = 1
+            self.lanes[i // size].parts, self.lanes[i // size].length = [part], part.shape[1]
+        while live := [i for i, lane in enumerate(self.lanes) if lane.length]:  # the last part may be shorter
+            self._windows(np.array(live), min(self.lanes[i].length for i in live))
+
+    def _windows(self, live: np.ndarray, length: int) -> None:
+        stacked = np.stack([self.lanes[i].taken(length) for i in live], axis=2)
+        inputs, targets, fresh = stacked.astype(np.int64)
+        state = self.state[live]
+        for begin in range(0, length, WINDOW):
+            window = slice(begin, begin + WINDOW)
+            state = self._window(inputs[window], targets[window], fresh[window] == 0, state)
+        self.state[live] = state
+
+    def _window(self, inputs: np.ndarray, targets: np.ndarray, goes_on: np.ndarray, state: np.ndarray) -> np.ndarray:
         w = self.weights
-        kept, states = [], [state]
-        for row in inputs:
-            after, more = _step(w, row, states[-1])
+        going = goes_on[:, :, None].astype(state.dtype)
+        broken = ~goes_on.all(axis=1)
+        kept, before, after = [], [], []
+        for t, row in enumerate(inputs):
+            if broken[t]:
+                state = state * going[t]
+            before.append(state)
+            state, more = _step(w, row, state)
             kept.append(more)
-            states.append(after)
-        after = np.stack(states[1:])
-        real = targets >= 0
+            after.append(state)
         slopes = {k: np.zeros_like(v) for k, v in w.items()}
-        back = np.zeros_like(after)
-        back[real] = self._output(after[real], targets[real], slopes)
+        back = self._output(np.concatenate(after), targets.reshape(-1), slopes).reshape(*inputs.shape, HIDDEN)
         carried = np.zeros_like(state)
-        scale = 1.0 / max(1, int(real.sum()))
-        inner = np.zeros((*inputs.shape, 3 * HIDDEN), dtype=np.float32)
+        scale = 1.0 / targets.size
+        inner = np.empty((*inputs.shape, 3 * HIDDEN), dtype=state.dtype)
+        d_gates = np.empty_like(inner)
         for t in range(len(inputs) - 1, -1, -1):
             reset, keep, new, u = kept[t]
             total = back[t] + carried
-            d_new = total * (1 - keep) * (1 - new * new)
-            d_keep = total * (states[t] - new) * keep * (1 - keep)
-            d_reset = d_new * u[:, 2 * HIDDEN :] * reset * (1 - reset)
-            d_gates = np.hstack([d_reset, d_keep, d_new * reset])
-            inner[t] = np.hstack([d_reset, d_keep, d_new])
-            slopes["gates"] += states[t].T @ d_gates
-            carried = total * keep + d_gates @ w["gates"].T
+            d_new = total * (1 - keep)
+            d_new *= 1 - new * new
+            inner[t, :, 2 * HIDDEN :] = d_new
+            inner[t, :, HIDDEN : 2 * HIDDEN] = total * (before[t] - new) * keep * (1 - keep)
+            inner[t, :, :HIDDEN] = d_new * u[:, 2 * HIDDEN :] * reset * (1 - reset)
+            d_gates[t] = inner[t]
+            d_gates[t, :, 2 * HIDDEN :] *= reset
+            carried = total * keep + d_gates[t] @ w["gates"].T
+            if broken[t]:
+                carried *= going[t]
+        slopes["gates"] += np.concatenate(before).T @ d_gates.reshape(-1, 3 * HIDDEN)
         flat, rows = inner.reshape(-1, 3 * HIDDEN), inputs.reshape(-1)
-        order = np.argsort(rows, kind="stable")
+        order = np.argsort(rows.astype(np.int16), kind="stable")
         borders = np.flatnonzero(np.append(True, np.diff(rows[order]) > 0))
-        slopes["inputs"][rows[order][borders]] = np.add.reduceat(flat[order], borders)
-        self._update(slopes, scale)
-        return states[-1]
+        touched = rows[order][borders]
+        slopes["inputs"][touched] = np.add.reduceat(flat[order], borders)
+        self._update(slopes, scale, touched)
+        return state
 
     def _output(self, states: np.ndarray, targets: np.ndarray, slopes: Weights) -> np.ndarray:
         """Gradient of the output layers; gives the gradient of the states."""
         w = self.weights
+        order = np.argsort(targets.astype(np.int16), kind="stable")
+        states, targets = states[order], targets[order]
         kind, inner = np.divmod(targets, CLASS)
-        rows = np.arange(len(targets))
-        error = np.exp(_log_softmax(states @ w["class_out"].T + w["class_bias"]))
-        error[rows, kind] -= 1
+        error = _softmax(states @ w["class_out"].T + w["class_bias"])
+        error[np.arange(len(targets)), kind] -= 1
         slopes["class_out"] += error.T @ states
         slopes["class_bias"] += error.sum(axis=0)
         back = error @ w["class_out"]
-        order = np.argsort(kind, kind="stable")
-        borders = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        borders = np.searchsorted(kind, np.arange(CLASSES + 1))
         for c in np.flatnonzero(np.diff(borders)):
-            own = order[borders[c] : borders[c + 1]]
-            error = np.exp(_log_softmax(states[own] @ w["word_out"][c].T + w["word_bias"][c]))
-            error[np.arange(len(own)), inner[own]] -= 1
+            own = slice(borders[c], borders[c + 1])
+            error = _softmax(states[own] @ w["word_out"][c].T + w["word_bias"][c])
+            error[np.arange(len(error)), inner[own]] -= 1
             slopes["word_out"][c] += error.T @ states[own]
             slopes["word_bias"][c] += error.sum(axis=0)
             back[own] += error @ w["word_out"][c]
-        return back
+        out = np.empty_like(back)
+        out[order] = back
+        return out
 
-    def _update(self, slopes: Weights, scale: float) -> None:
+    def _update(self, slopes: Weights, scale: float, touched: np.ndarray) -> None:
+        """One step of Adam; of the input rows only those that occurred are moved."""
         self.steps += 1
+        slopes = slopes | {"inputs": slopes["inputs"][touched]}
         norm = np.sqrt(sum(float((g * g).sum()) for g in slopes.values())) * scale
         scale *= min(1.0, CLIP / max(norm, 1e-9))
+        rate = RATE * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
         for k, g in slopes.items():
             g *= scale
             m, v = self.first[k], self.second[k]
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            rate = RATE * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
-            self.weights[k] -= rate * m / (np.sqrt(v) + 1e-6)
+            if k == "inputs":
+                own_m, own_v = m[touched], v[touched]
+            else:
+                own_m, own_v = m, v
+            own_m += 0.1 * (g - own_m)
+            own_v += 0.01 * (g * g - own_v)
+            step = rate * own_m / (np.sqrt(own_v) + 1e-6)
+            if k == "inputs":
+                m[touched], v[touched] = own_m, own_v
+                self.weights[k][touched] -= step
+            else:
+                self.weights[k] -= step
 
 
 def packed(weights: Weights) -> np.ndarray:

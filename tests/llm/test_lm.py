@@ -101,14 +101,16 @@ def test_texts_side_by_side_score_as_alone(weights):
 
 
 def test_gradient(weights, monkeypatch):
-    """The way back against differences, over one window."""
+    """The way back against differences, over one window in which texts end and begin."""
+    monkeypatch.setattr(R, "LANES", 2)
     weights = {k: v.astype(np.float64) for k, v in weights.items()}
     random = np.random.default_rng(6)
-    text = [(random.integers(0, R.INPUTS, 8), random.integers(0, R.SYMBOLS, 8)) for _ in range(3)]
+    text = [(random.integers(0, R.INPUTS, n), random.integers(0, R.SYMBOLS, n)) for n in (8, 8, 5, 9, 1)]
     trainer = R.Trainer(weights)
     slopes = {}
-    monkeypatch.setattr(trainer, "_update", lambda g, scale: slopes.update({k: v.copy() for k, v in g.items()}))
+    monkeypatch.setattr(trainer, "_update", lambda g, scale, touched: slopes.update({k: v.copy() for k, v in g.items()}))
     trainer.train(text)
+    trainer.finish()
     for name in weights:
         flat = np.flatnonzero(slopes[name].reshape(-1))
         for at in random.choice(flat, 5):
@@ -121,6 +123,33 @@ def test_gradient(weights, monkeypatch):
             assert slopes[name].reshape(-1)[at] == pytest.approx(want, rel=2e-2, abs=2e-3)
 
 
+def test_lanes_train_on_every_token_once(weights, monkeypatch):
+    """What goes through the windows is every text in its own order, from a fresh state; only what is
+    left at the end is cut, and every window is full until then."""
+    monkeypatch.setattr(R, "LANES", 3)
+    monkeypatch.setattr(R, "WINDOW", 5)
+    trainer, lanes, sizes = R.Trainer(weights), {}, []
+
+    def watched(inputs, targets, goes_on, state):
+        sizes.append(inputs.shape)
+        for lane in range(inputs.shape[1]):
+            entries = zip(inputs[:, lane].tolist(), targets[:, lane].tolist(), goes_on[:, lane].tolist(), strict=True)
+            lanes.setdefault(lane, []).extend(entries)
+        return state
+
+    monkeypatch.setattr(trainer, "_window", watched)
+    random = np.random.default_rng(8)
+    texts = [(random.integers(0, 99, n + 1), random.integers(0, 99, n)) for n in (0, 1, 40, 3, 7, 7, 12, 1, 30, 90, 41)]
+    for at in range(0, len(texts), 4):
+        trainer.train(texts[at : at + 4])
+    assert sizes and set(sizes) == {(5, 3)}
+    before = {tuple(e) for entries in lanes.values() for e in entries if not e[2]}
+    assert before <= {(int(x[0]), int(y[0]), False) for x, y in texts if len(y)}
+    trainer.finish()
+    got = [(x, y) for entries in lanes.values() for x, y, _ in entries]
+    assert sorted(got) == sorted((x, y) for xs, ys in texts for x, y in zip(xs.tolist(), ys.tolist(), strict=False))
+
+
 def _exact(weights, texts):
     total = 0.0
     for inputs, targets in texts:
