@@ -37,7 +37,9 @@ SMOOTH = 1e-3
 SAMPLE = 20_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-4
 #: A task remembers the numbers of so many rarer words (memory, not results), and holds counts of so many.
-REMEMBERED, HELD = 100_000, 200_000
+REMEMBERED, HELD = 300_000, 200_000
+#: Tokens whose vectors are gathered together, few enough for the processor's cache.
+TOGETHER = 4096
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 
@@ -157,7 +159,7 @@ def pooled(texts: list[str], numbers: Numbers, vectors: np.ndarray, weights: np.
     # whole texts, in runs that keep the gathered vectors small
     run = 0
     while run < len(full):
-        stop = max(run + 1, int(np.searchsorted(starts, starts[run] + 200_000)))
+        stop = max(run + 1, int(np.searchsorted(starts, starts[run] + TOGETHER)))
         a, b = starts[run], starts[stop] if stop < len(full) else len(ids)
         w = weights[ids[a:b], None]
         values = vectors[ids[a:b]]
