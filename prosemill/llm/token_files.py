@@ -9,6 +9,7 @@ its own. Spark writes the images, so any store it can write to will do.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import string
 import struct
@@ -18,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,8 +32,6 @@ SHARD_TOKENS = 1 << 20
 #: Bytes that remembered words may take in a worker (memory, not results), and bytes of texts that
 #: are encoded together.
 REMEMBERED_BYTES, TOGETHER_BYTES = 160 << 20, 8 << 20
-#: Blanks of str.split that the tokenizer does not take for white space.
-SEPARATORS = "\x1c\x1d\x1e\x1f"
 SHARDS = "part int, shard int, n_tokens bigint, image binary"
 DOCUMENTS = "part int, shard int, doc_id bigint, begin bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -45,9 +45,39 @@ def stem_of(word: str) -> str:
     return stem.lower() if stem.isascii() else stem
 
 
+def listed(words: pa.Array) -> list[str]:
+    """The words as a list; much faster by way of numpy."""
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def cut(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Stems and tails of the words."""
+    plain = pc.ascii_rtrim(words, string.punctuation)
+    stems = pc.if_else(pc.ascii_is_alpha(plain), pc.ascii_lower(plain), words)  # right for words in ASCII
+    wide = pc.invert(pc.string_is_ascii(words))
+    if pc.any(wide).as_py():
+        stems = pc.replace_with_mask(stems, wide, pa.array(list(map(stem_of, listed(words.filter(wide)))), pa.string()))
+    starts, sizes = pc.binary_length(stems).to_numpy(), pc.binary_length(words).to_numpy()
+    tails = pa.repeat("", len(words))
+    longer = pa.array(sizes > starts)
+    if pc.any(longer).as_py():
+        some = zip(listed(words.filter(longer)), (starts - sizes)[sizes > starts].tolist(), strict=True)
+        tails = pc.replace_with_mask(tails, longer, pa.array([w[n:] for w, n in some], pa.string()))  # ASCII, a byte each
+    return stems, tails
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of the values, one behind the other."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    places = np.arange(ends[-1] if len(ends) else 0, dtype=np.int64)
+    places += np.repeat(starts - (ends - sizes), sizes)
+    return values[places]
+
+
 class WordEncoder:
     """Ids by the tokenizers library, word by word: right for a tokenizer that drops white space,
-    never joins across it, cuts letters from punctuation and lower-cases. Each distinct stem and
+    never joins across it, cuts letters from punctuation and lower-cases. Texts are cut at ASCII
+    blanks (the library drops all others) and their words numbered in Arrow; each distinct stem and
     tail is encoded by the library once, and remembered within a bound of bytes."""
 
     def __init__(self, tokenizer: bytes):
@@ -57,44 +87,77 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_buffer(tokenizer)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.remembered: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.kind = np.uint16 if len(vocabulary) <= 1 << 16 else np.uint32
+        suffix = json.loads(tokenizer)["model"].get("end_of_word_suffix")
+        #: Which ids end a word, if the model marks them.
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        if suffix:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        """Row 0 is the empty word, which has no ids."""
+        self.rows: dict[str, int] = {"": 0}
+        self.ids = np.zeros(0, dtype=self.kind)
+        self.starts = self.sizes = np.zeros(1, dtype=np.int64)
         self.size = 0
 
-    def _by_library(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of each word, all words in one call."""
+    def _by_library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, and how many each has. Words of letters are encoded as one text if the
+        ids tell where a word ends, all others in one call as words."""
+        if self.ends.any() and all(map(str.isalpha, words)):
+            found = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, dtype=self.kind)
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) == len(words):
+                return ids, np.diff(last, prepend=-1)
         found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
         ids = np.array(found.ids, dtype=self.kind)
-        ends = np.cumsum(np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(words))).tolist() if len(ids) else [0] * len(words)
-        packed, size = ids.tobytes(), ids.itemsize
-        return {w: packed[a * size : b * size] for w, a, b in zip(words, [0, *ends], ends, strict=False)}
-
-    def _learn(self, words: set[str]) -> None:
-        known = self.remembered
-        stems = {word: stem_of(word) for word in words}
-        tails = {word[len(stem) :] for word, stem in stems.items()}
-        parts = self._by_library(list(tails.union(stems.values()).difference(known, ("",))))
-        parts[""] = b""
-        made = {}
-        for word, stem in stems.items():
-            tail = word[len(stem) :]
-            first = parts[stem] if stem in parts else known[stem]
-            made[word] = first + (parts[tail] if tail in parts else known[tail]) if tail else first
-        parts.update(made)
-        known.update(parts)
-        self.size += frames.entry_bytes(parts)
-
-    def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
-        split = [
-            t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            if any(c in t for c in SEPARATORS) else t.split() for t in texts
-        ]
+        return ids, np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(words))
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if w.isalpha()]
+        for some in (plain, [w for w in words if not w.isalpha()] if len(plain) < len(words) else []):
+            if some:
+                ids, sizes = self._by_library(some)
+                self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+                self.sizes = np.concatenate([self.sizes, sizes])
+                self.ids = np.concatenate([self.ids, ids])
+                self.rows.update(zip(some, range(len(self.rows), len(self.sizes)), strict=True))
+                self.size += frames.ENTRY_BYTES * len(some) + sum(map(len, some)) + ids.nbytes
+
+    def _places(self, parts: pa.Array) -> np.ndarray:
+        """The row of each stem or tail."""
+        numbered = parts.dictionary_encode()
+        distinct = listed(numbered.dictionary)
+        self._learn(list(itertools.filterfalse(self.rows.__contains__, distinct)))
+        rows = np.fromiter(map(self.rows.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+        return rows[numbered.indices.to_numpy()]
+
+    def encode(self, texts: list[str] | pa.Array, end: int) -> list[np.ndarray]:
         if self.size > REMEMBERED_BYTES:
-            self.remembered, self.size = {}, 0
-        known = self.remembered
-        self._learn(set(itertools.filterfalse(known.__contains__, itertools.chain.from_iterable(split))))
-        last = np.array([end], dtype=self.kind).tobytes()
-        return [np.frombuffer(b"".join(map(known.__getitem__, s)) + last, dtype=self.kind) for s in split]
+            self._forget()
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
+        numbered = split.flatten().dictionary_encode()
+        stems, tails = cut(numbered.dictionary)
+        pairs = np.stack([self._places(stems), self._places(tails)], axis=1)
+        # ids of each distinct word, and behind them the end as one more word
+        each = self.sizes[pairs]
+        of_words = gathered(self.ids, self.starts[pairs].reshape(-1), each.reshape(-1))
+        sizes = np.append(each.sum(axis=1), 1)
+        starts = np.cumsum(sizes) - sizes
+        # the words of the texts in order, an end behind those of each
+        counts = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(counts + 1) - 1
+        order = np.full(len(numbered) + len(counts), len(numbered.dictionary))
+        inside = np.ones(len(order), dtype=bool)
+        inside[ends] = False
+        order[inside] = numbered.indices.to_numpy()
+        sizes = sizes[order]
+        tokens = gathered(np.append(of_words, np.array(end, dtype=self.kind)), starts[order], sizes)
+        borders = np.cumsum(sizes)[ends].tolist()
+        return [tokens[a:b] for a, b in zip([0, *borders], borders, strict=False)]
 
 
 @lru_cache(maxsize=2)
@@ -146,7 +209,7 @@ def write_token_files(
         with frames.no_collector():
             for batch in batches:
                 for rows in frames.slices(batch, limit=TOGETHER_BYTES):
-                    encoded = encoder(sent.value).encode(rows.column("text").to_pylist(), end)
+                    encoded = encoder(sent.value).encode(rows.column("text"), end)
                     for doc_id, tokens in zip(rows.column("doc_id").to_pylist(), encoded, strict=True):
                         ids.append(doc_id)
                         runs.append(tokens)

@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -72,3 +73,26 @@ def test_no_documents(spark):
     path = new_folder(spark, "test_files")
     write_token_files(empty(spark), tokenizer_file(WORD_MODEL), WORD_END, path)
     assert read_token_files(spark, path).count() == 0
+
+
+@pytest.mark.parametrize("bound", [0, 1 << 20])
+def test_each_stem_and_tail_is_learned_once(monkeypatch, bound):
+    """Whatever the forms of a word, the library is asked for its letters and its marks only; with
+    and without a memory, and for a model whose ids do not tell where a word ends."""
+    from prosemill.llm import token_files
+
+    monkeypatch.setattr(token_files, "REMEMBERED_BYTES", bound)
+    data = tokenizer_file(WORD_MODEL)
+    encoder, asked = WordEncoder(data), []
+    by_library = encoder._by_library
+    monkeypatch.setattr(encoder, "_by_library", lambda words: asked.extend(words) or by_library(words))
+    texts = ["The  the, THE; (the) Été, été\x0bé", "", " the,, the\u2003the ", "the; the,"]
+    want = [[*x.ids, WORD_END] for x in Tokenizer.from_buffer(data).encode_batch(texts, add_special_tokens=False)]
+    for marked in (True, False):
+        asked.clear()
+        encoder._forget()
+        encoder.ends &= marked
+        for _ in range(2):
+            assert [t.tolist() for t in encoder.encode(texts, WORD_END)] == want
+        once = ["the", "(the)", "Été", "été", "é", "the\u2003the", ",", ";", ",,"]
+        assert Counter(asked) == Counter(once * (1 if bound else 2))
