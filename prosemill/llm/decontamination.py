@@ -157,7 +157,7 @@ def _scanned(source: DataFrame, items: DataFrame, window: int) -> DataFrame:
                 arrays += [pa.array(counts, pa.int64()), pa.array(hits, pa.list_(place)), pa.array(owners, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(frames.handing_back(run), schema)
 
 
 def without_benchmark(df: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -112,6 +113,28 @@ def arrow_schema(fields: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in pairs])
 
 
+def give_back() -> None:
+    """Hand memory that is free in this worker back to the system: a worker is used again by later
+    tasks and stages, and what it has once taken would count against its executor all the time."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def handing_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A map over batches that hands free memory back when a task ends."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
 def map_texts(
     df: DataFrame, fields: str, prepare: Callable[[], Callable[[list[str]], list]], limit: int = SLICE_BYTES,
     finish: Callable[[], None] | None = None,
@@ -120,7 +143,7 @@ def map_texts(
 
     `prepare` runs once in a task and gives a function from a list of texts to one
     list (or array) per new column. All other columns pass through as they are. `finish` runs when
-    a task ends, to give up what its worker would keep.
+    a task ends, to give up what its worker would keep; memory that is free then is handed back.
     """
     kept = [f for f in df.schema.fields if f.name != "text"]
     added = arrow_schema(fields)
@@ -139,7 +162,7 @@ def map_texts(
             if finish is not None:
                 finish()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(handing_back(run), schema)
 
 
 #: Arrays of one fixed size travel in so many pieces, and so many tasks' pieces are added at a time.

@@ -235,7 +235,7 @@ def by_group(
             forget()
 
     placed = df.repartition(*keys).sortWithinPartitions(*keys, *order)
-    return placed.mapInArrow(run, fields)
+    return placed.mapInArrow(frames.handing_back(run), fields)
 
 
 def _blocked(df: DataFrame, key: str, blocks: str, others: Column | None = None) -> DataFrame:

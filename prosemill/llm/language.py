@@ -98,7 +98,7 @@ def language_profiles(df: DataFrame, size: int = PROFILE) -> DataFrame:
                     [pa.array([lang] * len(values), pa.string()), pa.array(values.astype(np.int64)), pa.array(numbers, pa.int64())],
                     names=["lang", "gram", "n"])
 
-    sums = rows.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    sums = rows.mapInArrow(frames.handing_back(run), "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     return sums.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size).select("lang", "gram", "place")
 

@@ -37,6 +37,8 @@ from prosemill.llm.pieces import BLANK, BPE, BYTE, NORMAL, UNIGRAM, read_model
 
 #: A worker remembers the paths of pre-tokens in so many bytes, and so many pairs (memory, not results).
 REMEMBERED_BYTES, REMEMBERED_PAIRS = 96 << 20, 300_000
+#: Texts of about so many bytes are cut into parts together: a part takes many times its own bytes.
+TOGETHER_BYTES = 1 << 20
 #: A character without a piece costs this much more than the worst piece (a fixed value of the format).
 STRANGE_COST = 10.0
 INFINITY = float("inf")
@@ -253,7 +255,9 @@ def encode_pieces(df: DataFrame, model: bytes, *more: str) -> DataFrame:
     def prepare() -> Callable[[list[str]], list]:
         return lambda batch: [machine(sent.value).encode(batch)]
 
-    return frames.map_texts(frames.texts(df, *more), "ids array<int>", prepare, finish=lambda: machine(sent.value).forget())
+    return frames.map_texts(
+        frames.texts(df, *more), "ids array<int>", prepare, TOGETHER_BYTES, finish=lambda: machine(sent.value).forget()
+    )
 
 
 def decode_pieces(df: DataFrame, model: bytes) -> DataFrame:
@@ -291,4 +295,4 @@ def round_trip(df: DataFrame, model: bytes) -> DataFrame:
 
         return work
 
-    return frames.map_texts(frames.texts(df), "n_pieces bigint, ids_crc32 bigint, restored boolean", prepare)
+    return frames.map_texts(frames.texts(df), "n_pieces bigint, ids_crc32 bigint, restored boolean", prepare, TOGETHER_BYTES)
