@@ -16,11 +16,13 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
-from itertools import repeat
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +37,8 @@ SENT_WORDS = 1 << 18
 ROUNDS = 2
 #: Texts of about so many bytes are scored side by side.
 SIDE_BY_SIDE = 32 << 20
-#: A task holds counts of so many words, then hands them on.
-HELD = 400_000
+#: Words are counted over texts of about so many bytes, then handed on.
+COUNTED = 16 << 20
 #: Fixed: small letters, and the word that stands for a text's end (no word is empty).
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 END_WORD = b""
@@ -47,30 +49,40 @@ def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(LOWER).split()
 
 
+def numbered(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of some texts, the number of each word in text order, and how many words each
+    text has. The words are those of `tokens`, but cut and told apart in Arrow."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    ends = words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py()
+    found = words.flatten().cast(pa.binary()).dictionary_encode()
+    del words
+    distinct, numbers = found.dictionary, found.indices.to_numpy()
+    blank = pc.index(distinct, pa.scalar(END_WORD, pa.binary())).as_py()
+    if blank >= 0:  # what stands before a leading blank or behind the last one is no word
+        real = numbers != blank
+        ends, numbers = np.append(0, np.cumsum(real))[ends], numbers[real]
+    return distinct, numbers, np.diff(ends)
+
+
+def as_list(words: pa.Array) -> list[bytes]:
+    """The same as `to_pylist`, which makes a scalar of every word first."""
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
 def word_counts(df: DataFrame) -> DataFrame:
     """How often each word occurs in all texts, and as END_WORD how many texts there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def handed() -> Iterator[pa.RecordBatch]:
-            words, numbers = list(counts), list(counts.values())
-            counts.clear()
-            for at in range(0, len(words), 20_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(words[at : at + 20_000], pa.binary()), pa.array(numbers[at : at + 20_000], pa.int64())], names=["word", "n"]
-                )
-
         for batch in batches:
-            for part in frames.slices(batch):
-                for text in part.column("text").to_pylist():
-                    counts.update(tokens(text))
-                counts[END_WORD] += part.num_rows
-                if len(counts) > HELD:
-                    yield from handed()
-        yield from handed()
-
-    parts = df.select("text").mapInArrow(run, "word binary, n bigint")
+            for part in frames.slices(batch, limit=COUNTED):
+                distinct, numbers, _ = numbered(part.column("text"))
+                times = np.bincount(numbers, minlength=len(distinct))
+                words = pa.concat_arrays([distinct.filter(pa.array(times > 0)), pa.array([END_WORD], pa.binary())])
+                found = pa.RecordBatch.from_arrays([words, pa.array(np.append(times[times > 0], part.num_rows), pa.int64())], names=["word", "n"])
+                for at in range(0, found.num_rows, 20_000):
+                    yield found.slice(at, 20_000)
+
+    parts = df.select("text").mapInArrow(frames.handing_back(run), "word binary, n bigint")
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -89,6 +101,7 @@ class Lexicon:
         symbol = {END_WORD: R.END} | {w: i + 2 for i, w in enumerate(named)}
         #: Place of each word in the arrays below, whose last entry is for words that were not sent.
         self.places = {w: i for i, (w, _) in enumerate(words)}
+        self.words = pa.array([w for w, _ in words], pa.binary())
         self.targets = np.array([*(symbol.get(w, R.OTHER) for w, _ in words), R.OTHER])
         self.inputs = np.array([*(symbol[w] if w in symbol else suffix(w) for w, _ in words), 0])
         #: Logarithms of smoothed counts.
@@ -117,6 +130,43 @@ class Lexicon:
         first, last = np.array([R.END]), np.array([R.END])
         return np.concatenate([first, inputs]).astype(np.int16), np.concatenate([self.targets[at], last]).astype(np.int16)
 
+    def encoded(self, texts: pa.Array) -> Encoded:
+        """What `placed` and `symbols` give for all words of some texts, each distinct word looked up once."""
+        distinct, numbers, sizes = numbered(texts)
+        at = pc.fill_null(pc.index_in(distinct, self.words), -1).to_numpy()
+        inputs, targets = self.inputs[at].astype(np.int16), self.targets[at].astype(np.int16)
+        inputs[at < 0] = [suffix(word) for word in as_list(distinct.filter(pa.array(at < 0)))]
+        ends = np.cumsum(sizes + 1)
+        first, last = np.zeros(len(numbers) + len(sizes), dtype=bool), np.zeros(len(numbers) + len(sizes), dtype=bool)
+        first[ends - sizes - 1], last[ends - 1] = True, True
+        whole_in, whole_out = np.full(len(first), R.END, dtype=np.int16), np.full(len(first), R.END, dtype=np.int16)
+        whole_in[~first], whole_out[~last] = inputs[numbers], targets[numbers]
+        runs = [slice(end - size - 1, end) for end, size in zip(ends.tolist(), sizes.tolist(), strict=True)]
+        return Encoded([(whole_in[run], whole_out[run]) for run in runs], distinct, numbers, sizes, at[numbers])
+
+
+@dataclass(frozen=True)
+class Encoded:
+    """Some texts as input and target symbols, with their words: the distinct ones, the number and the
+    place of each word in text order, and how many each text has."""
+
+    symbols: list[tuple[np.ndarray, np.ndarray]]
+    distinct: pa.Array
+    numbers: np.ndarray
+    sizes: np.ndarray
+    places: np.ndarray
+
+    def unsent(self) -> tuple[np.ndarray, list[list[bytes]], list[list[int]]]:
+        """For each text how many words were not sent, which ones, and how often each occurs."""
+        none = self.places < 0
+        text = np.repeat(np.arange(len(self.sizes)), self.sizes)[none]
+        keys, times = np.unique(text * len(self.distinct) + self.numbers[none], return_counts=True)
+        owner, number = np.divmod(keys, max(len(self.distinct), 1))
+        words, times = as_list(self.distinct.take(pa.array(number))), times.tolist()
+        ends = np.searchsorted(owner, np.arange(len(self.sizes) + 1)).tolist()
+        runs = [slice(a, b) for a, b in pairwise(ends)]
+        return np.bincount(text, minlength=len(self.sizes)), [words[run] for run in runs], [times[run] for run in runs]
+
 
 @lru_cache(maxsize=1)
 def _lexicon(sent) -> Lexicon:
@@ -155,10 +205,7 @@ def _trained(df: DataFrame, lexicon, weights: R.Weights) -> R.Weights:
         trainer, seen = R.Trainer(R.unpacked(start.value, R.initial(known.share))), 0
         for batch in batches:
             for part in frames.slices(batch):
-                encoded = []
-                for text in part.column("text").to_pylist():
-                    words = tokens(text)
-                    encoded.append(known.symbols(words, known.placed(words)))
+                encoded = known.encoded(part.column("text")).symbols
                 trainer.train(encoded)
                 seen += sum(len(t) for _, t in encoded)
         trainer.finish()
@@ -166,7 +213,7 @@ def _trained(df: DataFrame, lexicon, weights: R.Weights) -> R.Weights:
             values = np.append(R.packed(trainer.weights) * (seen / 1e6), seen / 1e6)
             yield frames.pieces_of(values, TaskContext.get().partitionId() // frames.FAN_IN)
 
-    total = frames.summed(df.select("text").mapInArrow(run, frames.SUMS), size + 1)
+    total = frames.summed(df.select("text").mapInArrow(frames.handing_back(run), frames.SUMS), size + 1)
     return R.unpacked(total[:size] / total[size], weights) if total[size] > 0 else weights
 
 
@@ -188,17 +235,21 @@ def _partial(df: DataFrame, lexicon, weights: R.Weights) -> DataFrame:
 
         def work(batch: list[str]) -> list:
             encoded, columns = [], [[] for _ in range(7)]
-            for text in batch:
-                words = tokens(text)
-                at = known.placed(words)
-                symbols = known.symbols(words, at)
-                encoded.append(symbols)
-                logs, other, unsent = known.logs[at], symbols[1][:-1] == R.OTHER, np.flatnonzero(at < 0)
-                rare = Counter([words[i] for i in unsent.tolist()])
-                row = (len(words) + 1, len(words) - len(unsent) + has_end, float(logs.sum()) + end,
-                       float(logs[other].sum()), int(other.sum()), list(rare), list(rare.values()))
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
+            for part in frames.slices(pa.RecordBatch.from_arrays([pa.array(batch, pa.string())], names=["text"])):
+                found = known.encoded(part.column("text"))
+                encoded += found.symbols
+                logs, other = known.logs[found.places], known.targets[found.places] == R.OTHER
+                ends = np.append(0, np.cumsum(found.sizes))
+                others = np.append(0, np.cumsum(other))[ends]
+                unsent, rare, times = found.unsent()
+                columns[0] += (found.sizes + 1).tolist()
+                columns[1] += (found.sizes - unsent + has_end).tolist()
+                columns[2] += [float(logs[a:b].sum()) + end for a, b in pairwise(ends.tolist())]
+                logs = logs[other]
+                columns[3] += [float(logs[a:b].sum()) for a, b in pairwise(others.tolist())]
+                columns[4] += np.diff(others).tolist()
+                columns[5] += rare
+                columns[6] += times
             columns[3] = np.array(columns[3]) + R.document_scores(model, encoded) / np.log(10.0)
             return columns
 

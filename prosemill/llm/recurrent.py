@@ -44,9 +44,8 @@ def initial(share: np.ndarray) -> Weights:
 
 
 def _gates(x: np.ndarray, u: np.ndarray) -> np.ndarray:
-    """Both gates, in the place of their part of `x`."""
-    gates = x[:, : 2 * HIDDEN]
-    gates += u[:, : 2 * HIDDEN]
+    """Both gates, in an array of their own: steps through parts of wider rows are slower."""
+    gates = x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN]
     np.negative(gates, out=gates)
     np.exp(gates, out=gates)
     gates += 1
@@ -55,7 +54,12 @@ def _gates(x: np.ndarray, u: np.ndarray) -> np.ndarray:
 
 def _step(weights: Weights, tokens: np.ndarray, state: np.ndarray):
     """The state after one symbol in each lane, and what the way back needs."""
-    x, u = weights["inputs"][tokens], state @ weights["gates"]
+    return _moved(weights, weights["inputs"][tokens], state)
+
+
+def _moved(weights: Weights, x: np.ndarray, state: np.ndarray):
+    """The same, given the symbols' rows of the input layer."""
+    u = state @ weights["gates"]
     gates = _gates(x, u)
     reset, keep = gates[:, :HIDDEN], gates[:, HIDDEN:]
     new = reset * u[:, 2 * HIDDEN :]
@@ -64,7 +68,7 @@ def _step(weights: Weights, tokens: np.ndarray, state: np.ndarray):
     after = state - new
     after *= keep
     after += new
-    return after, (reset, keep, new, u)
+    return after, (reset, keep, new, u[:, 2 * HIDDEN :])
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -241,11 +245,11 @@ class Trainer:
         going = goes_on[:, :, None].astype(state.dtype)
         broken = ~goes_on.all(axis=1)
         kept, before, after = [], [], []
-        for t, row in enumerate(inputs):
+        for t, x in enumerate(w["inputs"][inputs]):
             if broken[t]:
                 state = state * going[t]
             before.append(state)
-            state, more = _step(w, row, state)
+            state, more = _moved(w, x, state)
             kept.append(more)
             after.append(state)
         slopes = {k: np.zeros_like(v) for k, v in w.items()}
@@ -254,16 +258,27 @@ class Trainer:
         scale = 1.0 / targets.size
         inner = np.empty((*inputs.shape, 3 * HIDDEN), dtype=state.dtype)
         d_gates = np.empty_like(inner)
+        # what does not depend on the step behind is worked out for the whole window at once
+        resets, keeps, news, us = (np.stack(parts) for parts in zip(*kept, strict=True))
+        from_new = 1 - news * news
+        moved = np.stack(before) - news
+        not_reset, not_kept = 1 - resets, 1 - keeps
         for t in range(len(inputs) - 1, -1, -1):
-            reset, keep, new, u = kept[t]
             total = back[t] + carried
-            d_new = total * (1 - keep)
-            d_new *= 1 - new * new
+            keep, reset = keeps[t], resets[t]
+            d_new = total * not_kept[t]
+            d_new *= from_new[t]
+            d_keep = total * moved[t]
+            d_keep *= keep
+            d_keep *= not_kept[t]
+            d_reset = d_new * us[t]
+            d_reset *= reset
+            d_reset *= not_reset[t]
+            inner[t, :, :HIDDEN] = d_reset
+            inner[t, :, HIDDEN : 2 * HIDDEN] = d_keep
             inner[t, :, 2 * HIDDEN :] = d_new
-            inner[t, :, HIDDEN : 2 * HIDDEN] = total * (before[t] - new) * keep * (1 - keep)
-            inner[t, :, :HIDDEN] = d_new * u[:, 2 * HIDDEN :] * reset * (1 - reset)
-            d_gates[t] = inner[t]
-            d_gates[t, :, 2 * HIDDEN :] *= reset
+            d_gates[t, :, : 2 * HIDDEN] = inner[t, :, : 2 * HIDDEN]
+            d_gates[t, :, 2 * HIDDEN :] = d_new * reset
             carried = total * keep + d_gates[t] @ w["gates"].T
             if broken[t]:
                 carried *= going[t]

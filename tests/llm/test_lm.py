@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,3 +186,21 @@ def test_training_reads_every_token_once(spark, tmp_path, monkeypatch):
     known = L.Lexicon(sorted(counts.items()), counts.total(), len(counts))
     whole = [known.symbols(w, known.placed(w)) for w in (L.tokens(t) for _, t in pairs)]
     assert got == sorted(json.dumps([x.tolist(), y.tolist()]) for x, y in whole)
+
+
+def test_words_of_a_slice_are_told_apart_once(monkeypatch):
+    asked = []
+    monkeypatch.setattr(L, "suffix", lambda word: asked.append(word) or R.SYMBOLS + zlib.crc32(word[-2:]) % R.SUFFIXES)
+    texts = ["", " Rare  rare\tA\x1cb ", "a\u00a0A \u0130 \u00e9", "\x0b\x0c\r\n", "rare known RARE \u00c9", "known"]
+    known = L.Lexicon([(L.END_WORD, 6), (b"known", 2)], 20, 9)
+    found = known.encoded(pa.array(["left out", *texts]).slice(1))
+    assert sorted(asked) == sorted({word for text in texts for word in L.tokens(text)} - {b"known"})
+    counts, rare, times = found.unsent()
+    for i, text in enumerate(texts):
+        split = L.tokens(text)
+        want = known.symbols(split, known.placed(split))
+        assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(found.symbols[i], want, strict=True))
+        unsent = Counter(word for word in split if word != b"known")
+        assert found.sizes[i] == len(split) and counts[i] == unsent.total()
+        assert dict(zip(rare[i], times[i], strict=True)) == unsent
+    assert known.encoded(pa.array([], pa.string())).symbols == []
