@@ -1,7 +1,8 @@
 """Vocabularies fitted on the training part, bag-of-words and TF-IDF features.
 
 Texts are tokenized once. Documents stay in their rows from there on: what is shuffled are counts
-of terms for the vocabulary, nothing else.
+of terms for the vocabulary, nothing else. Words are counted first, then the pairs of those words whose
+pairs can still be among the most frequent terms.
 """
 
 from __future__ import annotations
@@ -16,11 +17,14 @@ from pyspark.sql import functions as F
 
 from prosemill import schema as S
 from prosemill.functions.text import bigrams, tokens
+from prosemill.session import written
 
 # A term is kept from this many training documents on, and up to
 # this share of them.
 MIN_DF = 5
 MAX_DF = 0.95
+# Pairs are looked for among so many words at most; beyond that all pairs are counted.
+PAIR_WORDS = 30_000
 
 
 @dataclass(frozen=True)
@@ -90,59 +94,68 @@ def _setting_terms(inputs: Inputs, name: str, longest: int) -> Column:
     return F.concat(whole, bigrams(whole)) if longest > 1 else whole
 
 
-def term_counts(documents: DataFrame, longest: int, settings: Inputs | dict[str, str] | None = None) -> DataFrame:
+def only_words(documents: DataFrame, words: Iterable[str], settings: Inputs | dict[str, str] | None = None) -> DataFrame:
+    """The documents with null in place of every token that is not one of the words.
+
+    They are written: pairs read each token several times over, for every setting it is in. Tokens
+    hold small letters and apostrophes only (`FEATURE_TOKEN`), so they stand between quotes as they
+    are: a list of thousands of words is handed over as one text.
+    """
+    listed = ", ".join(f'"{word}"' for word in sorted(set(words))) or "null"
+    names = list(_inputs(settings).own)
+    own = documents.withColumns({f"_own{i}": F.col("tokens")[name] for i, name in enumerate(names)})
+    known = [F.expr(f"transform(_own{i}, word -> if(word IN ({listed}), word, null))").alias(name) for i, name in enumerate(names)]
+    return written(own.withColumn("tokens", F.struct(*known)).select(*documents.columns), "known_tokens")
+
+
+def term_counts(
+    documents: DataFrame, longest: int, settings: Inputs | dict[str, str] | None = None, *, shortest: int = 1
+) -> DataFrame:
     """Rows (setting, term, df, total): documents with the term, and its occurrences.
 
-    All settings are counted in one pass over the terms of their parts. A document's terms are
-    sorted in its own row, so that the first one of each kind is known there and no shuffle is
-    needed to count documents. A joined setting takes the terms of its two parts and the pair
-    across their border.
+    Occurrences are counted over all terms of a document, documents over its distinct ones, which
+    are known in its own row. A joined setting has the occurrences of its two parts and of the pair
+    across their border; its documents are those of the second part and those where only the first
+    part or the border has the term. Null tokens, see `only_words`, make no terms.
     """
     inputs = _inputs(settings)
-    joined = inputs.members(inputs.joined[0]) if inputs.joined else []
-    ordered = [*joined, *[name for name in inputs.own if name not in joined]]
-    sources = [(name, _setting_terms(inputs, name, longest)) for name in ordered]
-    if joined and longest > 1:
-        first, second = (F.col("tokens")[name] for name in joined)
-        pair = F.concat(F.element_at(first, -1), F.lit(" "), F.element_at(second, 1))
-        border = F.when((F.size(first) > 0) & (F.size(second) > 0), F.array(pair))
-        # it stands behind the joined parts and before all others, see `first_of_all`
-        sources.insert(2, ("", F.coalesce(border, F.array().cast("array<string>"))))
-    numbers = {name: F.lit(i).cast("tinyint") for i, (name, _) in enumerate(sources)}
-
-    def marked(terms: Column, number: Column) -> Column:
-        return F.transform(terms, lambda term: F.struct(term.alias("term"), number.alias("source")))
-
-    entries = [marked(terms, numbers[name]) for name, terms in sources]
-    every = F.concat(*entries) if len(entries) > 1 else entries[0]
-    in_order = documents.select(F.sort_array(every).alias("_terms"))
-
-    def flagged(entry: Column, i: Column) -> Column:
-        before = F.get(F.col("_terms"), i - 1)
-        return F.struct(
-            entry["term"].alias("term"), entry["source"].alias("source"),
-            F.coalesce(before["term"] != entry["term"], F.lit(True)).alias("first_of_all"),
-            F.coalesce(before != entry, F.lit(True)).alias("first_of_source"),
-        )
-
-    rows = in_order.select(F.inline_outer(F.transform("_terms", flagged))).where(F.col("term").isNotNull())
-    counts = []
-    for name, number in numbers.items():
-        if name:
-            mine = F.col("source") == number
-            counts += [F.count_if(mine & F.col("first_of_source")).alias(f"_df_{name}"), F.count_if(mine).alias(f"_total_{name}")]
+
+    def terms(words: Column) -> Column:
+        made = words if longest == 1 else bigrams(words) if shortest > 1 else F.concat(words, bigrams(words))
+        return F.array_compact(made)
+
+    def counted(made: Column, source: str) -> DataFrame:
+        return documents.select(F.explode(made).alias("term"), F.lit(source).alias("source"))
+
+    own = {name: terms(F.col("tokens")[name]) for name in inputs.own}
+    rows, sums = [], {}
+    for name, made in own.items():
+        rows += [counted(made, f"total {name}"), counted(F.array_distinct(made), f"df {name}")]
+        sums[name] = ([f"df {name}"], [f"total {name}"])
     if inputs.joined:
-        # the joined sources have the smallest numbers, so one of them is the first of all or none is
-        mine = F.col("source") < 2 + (longest > 1)
-        counts += [
-            F.count_if(mine & F.col("first_of_all")).alias(f"_df_{inputs.joined[0]}"),
-            F.count_if(mine).alias(f"_total_{inputs.joined[0]}"),
-        ]
+        name, *parts = inputs.joined
+        first, second = (F.col("tokens")[part] for part in parts)
+        border = F.array().cast("array<string>")
+        if longest > 1:
+            border = F.array_compact(bigrams(F.concat(F.slice(first, -1, 1), F.slice(second, 1, 1))))
+            border = F.when((F.size(first) > 0) & (F.size(second) > 0), border).otherwise(F.array().cast("array<string>"))
+            rows.append(counted(border, "total border"))
+        rows.append(counted(F.array_except(F.concat(own[parts[0]], border), own[parts[1]]), "df first"))
+        sums[name] = ([f"df {parts[1]}", "df first"], [*(f"total {part}" for part in parts), "total border"])
+    every = rows[0]
+    for more in rows[1:]:
+        every = every.unionByName(more)
+    sources = sorted({source for pair in sums.values() for each in pair for source in each})
+    numbers = {source: f"_{i}" for i, source in enumerate(sources)}
+    by_term = every.groupBy("term").agg(*[F.count_if(F.col("source") == source).alias(at) for source, at in numbers.items()])
+
+    def added(names: list[str]) -> Column:
+        return sum((F.col(numbers[name]) for name in names[1:]), F.col(numbers[names[0]]))
+
     found = [
-        F.struct(F.lit(name).alias("setting"), F.col(f"_df_{name}").alias("df"), F.col(f"_total_{name}").alias("total"))
+        F.struct(F.lit(name).alias("setting"), added(sums[name][0]).alias("df"), added(sums[name][1]).alias("total"))
         for name in inputs.names()
     ]
-    by_term = rows.groupBy("term").agg(*counts)
     return by_term.select("term", F.inline(F.array(*found))).where("df > 0").select("setting", "term", "df", "total")
 
 
@@ -163,9 +176,16 @@ def fitted_vocabulary(
     representations = list(representations)
     train = F.col("split") == S.SPLITS[0]
     train_rows = split.where(train).agg(F.count(F.lit(1)).alias("n")).scalar()
-    counts = term_counts(documents.where(train), max(r.longest for r in representations), settings).where(
-        (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * train_rows)
-    )
+    learned = documents.where(train)
+    usual = F.col("df") <= F.lit(max_df) * train_rows
+    words = term_counts(learned, 1, settings).where(F.col("df") >= min_df)
+    caps = [r.max_features for r in representations if r.longest > 1]
+    if caps:
+        words = written(words, "words")
+        chosen = _pair_words(words, words.where(usual), max(caps))
+        pairs = learned if chosen is None else only_words(learned, chosen, settings)
+        words = words.unionByName(term_counts(pairs, 2, settings, shortest=2).where(F.col("df") >= min_df))
+    counts = words.where(usual)
     kept = None
     for r in representations:
         candidates = counts if r.longest > 1 else counts.where(~F.contains("term", F.lit(" ")))
@@ -183,6 +203,20 @@ def fitted_vocabulary(
     )
 
 
+def _pair_words(words: DataFrame, candidates: DataFrame, cap: int) -> list[str] | None:
+    """The words a pair in the vocabulary can be made of, or None if they are more than PAIR_WORDS.
+
+    A pair occurs no more often, and in no more documents, than either of its words. Where the cap is
+    filled by words alone, a pair that is rarer than the last of them cannot get in, so both words of
+    one that does occur at least that often. Words in too many documents make pairs all the same.
+    """
+    lasts = _most_frequent(candidates, cap).groupBy("setting").agg(F.min("total").alias("last"), F.count(F.lit(1)).alias("found"))
+    lasts = lasts.where(F.col("found") >= cap).select("setting", "last")
+    able = words.join(F.broadcast(lasts), "setting", "left").where(F.col("total") >= F.coalesce("last", F.lit(0)))
+    found = able.select("term").distinct().limit(PAIR_WORDS + 1).collect()
+    return [row["term"] for row in found] if len(found) <= PAIR_WORDS else None
+
+
 def _most_frequent(candidates: DataFrame, cap: int) -> DataFrame:
     """The most frequent terms of each setting.
 
@@ -217,13 +251,14 @@ def feature_rows(
     lists: dict[tuple[str, str], list[tuple[int, str, float]]] = {}
     for setting, name, *entry in wanted.select("setting", "representation", "term_idx", "term", "idf").collect():
         lists.setdefault((setting, name), []).append(tuple(entry))
-    made, columns = documents, []
+    known_words = {word for known in lists.values() for _, term, _ in known for word in term.split(" ")}
+    made, columns = only_words(documents, known_words, inputs), []
     for i, (setting, r) in enumerate((s, r) for s in inputs.names() for r in representations):
         known = sorted(lists.get((setting, r.name), []))
         indices, counts = F.array().cast("array<int>"), F.array().cast("array<double>")
         if known:
             model = CountVectorizerModel.from_vocabulary([term for _, term, _ in known], inputCol=f"_terms{i}", outputCol=f"_found{i}")
-            made = made.withColumn(f"_terms{i}", _setting_terms(inputs, setting, r.longest))
+            made = made.withColumn(f"_terms{i}", F.array_compact(_setting_terms(inputs, setting, r.longest)))
             made = model.transform(made).withColumn(f"_found{i}", F.unwrap_udt(f"_found{i}")).drop(f"_terms{i}")
             indices, counts = F.col(f"_found{i}.indices"), F.col(f"_found{i}.values")
         weights = counts

@@ -162,3 +162,29 @@ def test_settings_without_any_known_term(spark):
     vocab = Fe.fitted_vocabulary(documents, df, kinds, SETTING)
     assert rows(vocab) == []
     assert {tuple(map(tuple, r)) for r in rows(Fe.feature_rows(documents, vocab, kinds, SETTING), "indices", "weights")} == {((), ())}
+
+
+def test_pairs_are_counted_only_where_they_can_get_in(spark, monkeypatch):
+    import random
+
+    draw = random.Random(3)
+    words = ["x y", "don't a", "b", "c", "d", "e", "f", "g", "h", "i"]
+    data = [("train", "the " + " ".join(draw.choices(words, range(10, 0, -1), k=draw.randrange(0, 12)))) for _ in range(60)]
+    kind, counted = Fe.Representation("kind", 2, 6), []
+
+    def watched(documents, longest, settings=None, *, shortest=1):
+        found = counts(documents, longest, settings, shortest=shortest)
+        counted.append({t for (t,) in rows(found, "term")})
+        return found
+
+    counts = Fe.term_counts
+    monkeypatch.setattr(Fe, "term_counts", watched)
+    kept, _ = expected_features(data, 2, 6, 2, 0.9)
+    _, vocab = fit(spark, data, kind, min_df=2, max_df=0.9)
+    assert [t for _, t in sorted(rows(vocab, "term_idx", "term"))] == kept and any(" " in t for t in kept)
+    singles, pairs = counted
+    assert not any(" " in t for t in singles) and all(" " in t for t in pairs)
+    assert len({w for t in pairs for w in t.split()}) < len(singles)
+    monkeypatch.setattr(Fe, "PAIR_WORDS", 1)
+    _, whole = fit(spark, data, kind, min_df=2, max_df=0.9)
+    assert len(counted[3]) > len(pairs) and sorted(rows(whole)) == sorted(rows(vocab))
