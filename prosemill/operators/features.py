@@ -7,16 +7,18 @@ pairs can still be among the most frequent terms.
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
 
-from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prosemill import schema as S
-from prosemill.functions.text import bigrams, tokens
+from prosemill.functions.terms import Listed, Tokens, counted, numbered, runs, side_by_side, spelled, term_key
+from prosemill.functions.text import tokens
 from prosemill.session import written
 
 # A term is kept from this many training documents on, and up to
@@ -55,19 +57,17 @@ class Inputs:
     there is one, the setting (name, first, second) whose text is the first's, a blank, the second's.
 
     The joined setting is put together from the tokens of its parts, since no token holds a blank.
-    Name it only where the text really is the join of the two.
+    Name it only where the text really is the join of the two. With `words` given, terms are made of
+    these alone.
     """
 
     own: dict[str, str]
     joined: tuple[str, str, str] | None = None
+    words: frozenset[str] | None = None
 
     def names(self) -> list[str]:
         return [*self.own, *([self.joined[0]] if self.joined else [])]
 
-    def members(self, name: str) -> list[str]:
-        """The own settings whose tokens, in order, are those of the setting."""
-        return list(self.joined[1:]) if self.joined and name == self.joined[0] else [name]
-
 
 def _inputs(settings: Inputs | dict[str, str] | None) -> Inputs:
     if isinstance(settings, Inputs):
@@ -78,34 +78,32 @@ def _inputs(settings: Inputs | dict[str, str] | None) -> Inputs:
 def document_tokens(
     texts: DataFrame, settings: Inputs | dict[str, str] | None = None, *, id_col: str = S.ARTICLE_ID
 ) -> DataFrame:
-    """Rows (id, label, split, tokens), with an array of tokens for every setting of its own.
+    """Rows (id, label, split, tokens), with the tokens of every setting of its own, a blank between two.
 
-    Each text is tokenized once, where it lies; a null text has no tokens.
+    Each text is tokenized once, where it lies; a null text has no tokens. No token holds a blank, and one
+    text is written, read and handed over at a fraction of the cost of an array.
     """
-    none = F.array().cast("array<string>")
-    arrays = [F.coalesce(tokens(F.col(column)), none).alias(name) for name, column in _inputs(settings).own.items()]
-    return texts.select(id_col, S.LABEL, "split", F.struct(*arrays).alias("tokens"))
+    found = [F.array_join(tokens(F.col(column)), " ").alias(name) for name, column in _inputs(settings).own.items()]
+    return texts.select(id_col, S.LABEL, "split", F.struct(*found).alias("tokens"))
 
 
-def _setting_terms(inputs: Inputs, name: str, longest: int) -> Column:
-    """Tokens of a setting and, for two-token terms, its pairs, repeats kept."""
-    arrays = [F.col("tokens")[member] for member in inputs.members(name)]
-    whole = F.concat(*arrays) if len(arrays) > 1 else arrays[0]
-    return F.concat(whole, bigrams(whole)) if longest > 1 else whole
+def only_words(settings: Inputs | dict[str, str] | None, words: Iterable[str]) -> Inputs:
+    """The settings with terms of these words only; all other tokens make none, and keep their place."""
+    return replace(_inputs(settings), words=frozenset(words))
 
 
-def only_words(documents: DataFrame, words: Iterable[str], settings: Inputs | dict[str, str] | None = None) -> DataFrame:
-    """The documents with null in place of every token that is not one of the words.
+def _own_tokens(documents: DataFrame, inputs: Inputs, *others: str) -> tuple[DataFrame, list[str]]:
+    """The documents with a column of tokens for every own setting, null if there are none, and the names
+    of these columns."""
+    columns = [f"_own{i}" for i in range(len(inputs.own))]
+    own = [F.nullif(F.col("tokens")[name], F.lit("")).alias(column) for name, column in zip(inputs.own, columns, strict=True)]
+    return documents.select(*others, *own), columns
 
-    They are written: pairs read each token several times over, for every setting it is in. Tokens
-    hold small letters and apostrophes only (`FEATURE_TOKEN`), so they stand between quotes as they
-    are: a list of thousands of words is handed over as one text.
-    """
-    listed = ", ".join(f'"{word}"' for word in sorted(set(words))) or "null"
-    names = list(_inputs(settings).own)
-    own = documents.withColumns({f"_own{i}": F.col("tokens")[name] for i, name in enumerate(names)})
-    known = [F.expr(f"transform(_own{i}, word -> if(word IN ({listed}), word, null))").alias(name) for i, name in enumerate(names)]
-    return written(own.withColumn("tokens", F.struct(*known)).select(*documents.columns), "known_tokens")
+
+def _by_setting(tokens: list[Tokens], own: list[str], joined: tuple[str, str, str] | None) -> dict[str, Tokens]:
+    """The tokens of every setting; those of the joined one are its parts' tokens, one after the other."""
+    found = dict(zip(own, tokens, strict=True))
+    return found | {joined[0]: found[joined[1]].then(found[joined[2]])} if joined else found
 
 
 def term_counts(
@@ -113,48 +111,27 @@ def term_counts(
 ) -> DataFrame:
     """Rows (setting, term, df, total): documents with the term, and its occurrences.
 
-    Occurrences are counted over all terms of a document, documents over its distinct ones, which
-    are known in its own row. A joined setting has the occurrences of its two parts and of the pair
-    across their border; its documents are those of the second part and those where only the first
-    part or the border has the term. Null tokens, see `only_words`, make no terms.
+    Documents are read once. Their tokens are numbered where they lie, a run of documents at a time, and a
+    run gives each of its terms once, with its counts for every setting; these are what is shuffled.
     """
     inputs = _inputs(settings)
-
-    def terms(words: Column) -> Column:
-        made = words if longest == 1 else bigrams(words) if shortest > 1 else F.concat(words, bigrams(words))
-        return F.array_compact(made)
-
-    def counted(made: Column, source: str) -> DataFrame:
-        return documents.select(F.explode(made).alias("term"), F.lit(source).alias("source"))
-
-    own = {name: terms(F.col("tokens")[name]) for name in inputs.own}
-    rows, sums = [], {}
-    for name, made in own.items():
-        rows += [counted(made, f"total {name}"), counted(F.array_distinct(made), f"df {name}")]
-        sums[name] = ([f"df {name}"], [f"total {name}"])
-    if inputs.joined:
-        name, *parts = inputs.joined
-        first, second = (F.col("tokens")[part] for part in parts)
-        border = F.array().cast("array<string>")
-        if longest > 1:
-            border = F.array_compact(bigrams(F.concat(F.slice(first, -1, 1), F.slice(second, 1, 1))))
-            border = F.when((F.size(first) > 0) & (F.size(second) > 0), border).otherwise(F.array().cast("array<string>"))
-            rows.append(counted(border, "total border"))
-        rows.append(counted(F.array_except(F.concat(own[parts[0]], border), own[parts[1]]), "df first"))
-        sums[name] = ([f"df {parts[1]}", "df first"], [*(f"total {part}" for part in parts), "total border"])
-    every = rows[0]
-    for more in rows[1:]:
-        every = every.unionByName(more)
-    sources = sorted({source for pair in sums.values() for each in pair for source in each})
-    numbers = {source: f"_{i}" for i, source in enumerate(sources)}
-    by_term = every.groupBy("term").agg(*[F.count_if(F.col("source") == source).alias(at) for source, at in numbers.items()])
-
-    def added(names: list[str]) -> Column:
-        return sum((F.col(numbers[name]) for name in names[1:]), F.col(numbers[names[0]]))
-
+    texts, columns = _own_tokens(documents, inputs)
+    own, joined = list(inputs.own), inputs.joined
+    known = None if inputs.words is None else pa.array(sorted(inputs.words), pa.string())
+    numbers = [f"_{kind}{i}" for i in range(len(inputs.names())) for kind in ("df", "total")]
+
+    def of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in (run for batch in batches for run in runs(batch, columns)):
+            found, words = numbered(run, columns, known)
+            by_setting = _by_setting(found, own, joined).values()
+            keys, counts = side_by_side([counted(*each.terms(len(words), longest, shortest), run.num_rows) for each in by_setting])
+            yield pa.RecordBatch.from_arrays([spelled(keys, words), *map(pa.array, counts)], ["term", *numbers])
+
+    parts = texts.mapInArrow(of_runs, ", ".join(["term string", *(f"{name} long" for name in numbers)]))
+    by_term = parts.groupBy("term").agg(*[F.sum(name).alias(name) for name in numbers])
     found = [
-        F.struct(F.lit(name).alias("setting"), added(sums[name][0]).alias("df"), added(sums[name][1]).alias("total"))
-        for name in inputs.names()
+        F.struct(F.lit(name).alias("setting"), F.col(f"_df{i}").alias("df"), F.col(f"_total{i}").alias("total"))
+        for i, name in enumerate(inputs.names())
     ]
     return by_term.select("term", F.inline(F.array(*found))).where("df > 0").select("setting", "term", "df", "total")
 
@@ -183,8 +160,8 @@ def fitted_vocabulary(
     if caps:
         words = written(words, "words")
         chosen = _pair_words(words, words.where(usual), max(caps))
-        pairs = learned if chosen is None else only_words(learned, chosen, settings)
-        words = words.unionByName(term_counts(pairs, 2, settings, shortest=2).where(F.col("df") >= min_df))
+        able = settings if chosen is None else only_words(settings, chosen)
+        words = words.unionByName(term_counts(learned, 2, able, shortest=2).where(F.col("df") >= min_df))
     counts = words.where(usual)
     kept = None
     for r in representations:
@@ -241,8 +218,8 @@ def feature_rows(
 ) -> DataFrame:
     """Rows (setting, representation, split, id, label, indices, weights).
 
-    A document's terms are looked up and counted in its own row: nothing is shuffled, and a document
-    without a known term has empty arrays. A vocabulary has at most as many terms for each setting
+    A document's terms are looked up and counted where it lies, a run of documents at a time: nothing is
+    shuffled, and a document without a known term has empty arrays. A vocabulary has at most as many terms for each setting
     and representation as its cap says; it is fetched here and sent to the tasks.
     """
     inputs, representations = _inputs(settings), list(representations)
@@ -251,44 +228,41 @@ def feature_rows(
     lists: dict[tuple[str, str], list[tuple[int, str, float]]] = {}
     for setting, name, *entry in wanted.select("setting", "representation", "term_idx", "term", "idf").collect():
         lists.setdefault((setting, name), []).append(tuple(entry))
-    known_words = {word for known in lists.values() for _, term, _ in known for word in term.split(" ")}
-    made, columns = only_words(documents, known_words, inputs), []
-    for i, (setting, r) in enumerate((s, r) for s in inputs.names() for r in representations):
-        known = sorted(lists.get((setting, r.name), []))
-        indices, counts = F.array().cast("array<int>"), F.array().cast("array<double>")
-        if known:
-            model = CountVectorizerModel.from_vocabulary([term for _, term, _ in known], inputCol=f"_terms{i}", outputCol=f"_found{i}")
-            made = made.withColumn(f"_terms{i}", F.array_compact(_setting_terms(inputs, setting, r.longest)))
-            made = model.transform(made).withColumn(f"_found{i}", F.unwrap_udt(f"_found{i}")).drop(f"_terms{i}")
-            indices, counts = F.col(f"_found{i}.indices"), F.col(f"_found{i}.values")
-        weights = counts
-        if r.tfidf and known:
-            weights = _weighted(counts, indices, [value for _, _, value in known])
-        columns.append(
-            F.struct(
-                F.lit(setting).alias("setting"), F.lit(r.name).alias("representation"), F.lit(r.tfidf).alias("_unit"),
-                indices.alias("indices"), weights.alias("_weights"),
-            )
-        )
-    rows = made.select(id_col, S.LABEL, "split", F.inline(F.array(*columns)))
-    weights = F.when(F.col("_unit"), _unit_length(F.col("_weights"))).otherwise(F.col("_weights"))
-    return rows.select("setting", "representation", "split", id_col, S.LABEL, "indices", weights.alias("weights"))
-
-
-def _weighted(counts: Column, indices: Column, idf: list[float]) -> Column:
-    values = F.from_json(F.lit(json.dumps(idf)), "array<double>")  # folded into one constant
-    return F.zip_with(counts, indices, lambda n, at: n * F.get(values, at))
-
-
-def _unit_length(weights: Column) -> Column:
-    """Divide by the Euclidean length.
-
-    The length is passed as an array of its own: named inside the lambda it would
-    be worked out anew for every weight.
-    """
-    squares = F.aggregate(weights, F.lit(0.0), lambda acc, w: acc + w * w)
-    lengths = F.array_repeat(F.sqrt(squares), F.size(weights))
-    return F.zip_with(weights, lengths, lambda w, length: w / length)
+    known = sorted({word for entries in lists.values() for _, term, _ in entries for word in term.split(" ")})
+    numbers = {word: i for i, word in enumerate(known)}
+    vocabularies = [
+        (setting, r.name, _listed(sorted(lists.get((setting, r.name), [])), r, numbers)) for setting in inputs.names() for r in representations
+    ]
+    beside = ["split", id_col, S.LABEL]
+    texts, columns = _own_tokens(documents, inputs, *beside)
+    own, joined, words = list(inputs.own), inputs.joined, pa.array(known, pa.string())
+
+    def of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in (run for batch in batches for run in runs(batch, columns)):
+            tokens = _by_setting(numbered(run, columns, words)[0], own, joined)
+            for setting, name, listed in vocabularies:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.repeat(setting, run.num_rows), pa.repeat(name, run.num_rows), *(run.column(column) for column in beside),
+                        *listed.entries(tokens[setting], len(words), run.num_rows),
+                    ],
+                    names,
+                )
+
+    fields = T.StructType().add("setting", "string").add("representation", "string")
+    for column in beside:
+        fields = fields.add(column, documents.schema[column].dataType)
+    fields = fields.add("indices", T.ArrayType(T.IntegerType())).add("weights", T.ArrayType(T.DoubleType()))
+    names = fields.names
+    return texts.mapInArrow(of_runs, fields)
+
+
+def _listed(entries: list[tuple[int, str, float]], kind: Representation, numbers: dict[str, int]) -> Listed:
+    """A vocabulary's entries (position, term, idf) by the numbers of the words."""
+    keys = np.array([term_key([numbers[word] for word in term.split(" ")], len(numbers)) for _, term, _ in entries], dtype=np.int64)
+    order = np.argsort(keys)
+    idf = np.array([value for _, _, value in entries], dtype=np.float64)
+    return Listed(keys[order], order, idf if kind.tfidf else None, kind.longest)
 
 
 def long_features(features: DataFrame, *, id_col: str = S.ARTICLE_ID) -> DataFrame:

@@ -188,3 +188,57 @@ def test_pairs_are_counted_only_where_they_can_get_in(spark, monkeypatch):
     monkeypatch.setattr(Fe, "PAIR_WORDS", 1)
     _, whole = fit(spark, data, kind, min_df=2, max_df=0.9)
     assert len(counted[3]) > len(pairs) and sorted(rows(whole)) == sorted(rows(vocab))
+
+
+def test_documents_are_read_once_for_all_counts(spark, tmp_path):
+    from tests.test_plan_shapes import plan
+
+    data = [
+        (0, 0, "train", "a b", "b c c b"), (1, 0, "train", "", "a b"), (2, 1, "train", "b", ""), (3, 1, "train", None, None),
+        (3, 1, "train", "b c", "b c é b'"), (4, 0, "train", "A 1", "c, c"), (5, 0, "val", "b", "a"),
+    ]
+    df = spark.createDataFrame(data, "article_id long, label int, split string, t string, b string")
+    inputs = Fe.Inputs({"t": "t", "b": "b"}, ("both", "t", "b"))
+    Fe.document_tokens(df, inputs).write.parquet(f"{tmp_path}/tokens")
+    documents = spark.read.parquet(f"{tmp_path}/tokens")
+
+    def expected(known=None):
+        import re
+
+        found = {}
+        for row in data:
+            own = [re.findall(r"[a-z']+", text or "") for text in row[3:]]
+            for setting, words in zip(["t", "b", "both"], [*own, own[0] + own[1]]):
+                made = [(w,) for w in words] + list(zip(words, words[1:]))
+                for term, n in Counter(t for t in made if known is None or known.issuperset(t)).items():
+                    df, total = found.get((setting, " ".join(term)), (0, 0))
+                    found[setting, " ".join(term)] = (df + 1, total + n)
+        return sorted((*at, *n) for at, n in found.items())
+
+    counts = Fe.term_counts(documents, 2, inputs)
+    assert plan(counts).count("Scan parquet") == 1 and plan(counts).count("MapInArrow") == 1
+    assert sorted(rows(counts)) == expected()
+    assert sorted(rows(Fe.term_counts(documents, 2, Fe.only_words(inputs, ["b", "c", "z"])))) == expected({"b", "c", "z"})
+    pairs = Fe.term_counts(documents, 2, inputs, shortest=2)
+    assert sorted(rows(pairs)) == [row for row in expected() if " " in row[1]]
+    assert rows(Fe.term_counts(documents.where("split = 'none'"), 2, inputs)) == []
+    assert rows(Fe.term_counts(documents, 2, Fe.only_words(inputs, []))) == []
+
+
+def test_runs_hold_whole_rows_of_bounded_size(monkeypatch):
+    import pyarrow as pa
+
+    from prosemill.functions import terms as Te
+
+    texts = ["a b", None, "b b b a", "c", "a c", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(texts[::-1])], ["x", "y"])
+    monkeypatch.setattr(Te, "RUN_BYTES", 6)
+    found = list(Te.runs(batch, ["x", "y"]))
+    assert len(found) > 2 and pa.Table.from_batches(found).equals(pa.Table.from_batches([batch]))
+    spelled = []
+    for run in found:
+        (x, y), words = Te.numbered(run, ["x", "y"])
+        both = x.then(y)
+        spelled += [[words[int(w)].as_py() for w in both.words[both.rows == i]] for i in range(run.num_rows)]
+    assert spelled == [" ".join(t for t in pair if t).split() for pair in zip(texts, texts[::-1])]
+    assert not list(Te.runs(batch.slice(0, 0), ["x", "y"]))
